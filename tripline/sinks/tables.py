@@ -11,7 +11,8 @@ of readers.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from tripline.functions.times import month_of
 from tripline.operators.dedup import TRIP_KEY, latest
 from tripline.operators.rollup import ROLLUPS, RollupSpec, build, merge
+from tripline.operators.staging import stage
 from tripline.schema import TRIPS
 from tripline.sources.messages import fact_value
 
@@ -28,6 +30,11 @@ VERSION_ORDER = ["ingested_at", "write_seq", "batch_id"]
 
 FOLDED = re.compile(r"^folded-(\d+)$")
 
+#: Columns the rollups are built from.
+ROLLUP_INPUT = sorted(
+    {"pickup_datetime"} | {c for r in ROLLUPS for c in (*r.keys, *r.sums)}
+)
+
 #: Separate runs of days beyond which a scan tests a set of days instead.
 MAX_DAY_RUNS = 32
 
@@ -174,6 +181,9 @@ class FactTable:
         out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         return out.select(*TRIPS.names, "write_seq", "pickup_month")
 
+    def is_settled(self, months: Iterable[int]) -> bool:
+        return all(self.files.settled(m) for m in months)
+
     def statistics(self) -> DataFrame:
         """Rows, bytes and newest file time per month, from files and footers alone."""
         per_file = (
@@ -265,15 +275,20 @@ class RollupTables:
         Late, corrected and redelivered trips all end in the same rollup. The
         number of days is bounded: accepted pickups lie between 2009 and tomorrow.
         """
-        if days:
-            self._write(facts.current(on_days(days)), sequence, specs)
+        if not days:
+            return
+        trips = facts.current(on_days(days)).select(*ROLLUP_INPUT)
+        if not facts.is_settled({d.year * 100 + d.month for d in days}):
+            # picking versions shuffles: once for all rollups, not once for each
+            trips = stage(trips, "days")
+        self._write(trips, sequence, specs)
 
     def append_raw(self, trips: DataFrame, sequence: int, specs=tuple(ROLLUPS)) -> None:
         """Add one delivery's components; the same number again replaces them."""
         self._write(trips, sequence, specs)
 
     def _write(self, trips: DataFrame, sequence: int, specs) -> None:
-        for spec in specs:
+        def one(spec: RollupSpec) -> None:
             states = build(trips, spec).withColumns(
                 {
                     "version": F.lit(sequence).cast("bigint"),
@@ -282,6 +297,10 @@ class RollupTables:
             )
             self.files(spec).write(states, delivery_name(sequence), spec.key_columns)
 
+        # independent jobs: the small ones fill the cores the others leave idle
+        with ThreadPoolExecutor(len(specs)) as pool:
+            list(pool.map(one, specs))
+
     @staticmethod
     def _latest_days(states: DataFrame, spec: RollupSpec) -> DataFrame:
         day = Window.partitionBy("rollup_month", F.to_date(spec.grain)).orderBy(F.desc("version"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tripline.functions.identity import hash_fields
 from tripline.operators.sizing import Dimension
 from tripline.schema import RAW_COLUMNS, RENAMES
+from tripline.sources.trips import spread
 from tripline.sources.zones import zone_dimension
 
 SOURCE_FILE = "lineitem.parquet"
@@ -98,7 +99,7 @@ def raw_rides(spark: SparkSession, sf_dir: str) -> DataFrame:
     Batches follow the order key, so nothing bounds their size: process these
     with ``bounded_batches=False``.
     """
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     again = F.when(F.col("l_returnflag") == "R", F.array(F.lit(1), F.lit(2)))
     sent = lines.withColumn("write_seq", F.explode(F.coalesce(again, F.array(F.lit(1)))))
     return sent.select(
