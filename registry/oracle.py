@@ -327,11 +327,6 @@ _LATER = "TIMESTAMP '2014-10-30 00:00:00'"
 
 def replayed(now: str) -> str:
     """First judgement picks the letters, the second one judges them again."""
-    first = errors()
-    renamed = first
-    for name in ["sent", "raw", "checked", "gated", "measured", "judged", "ranked", "verdict",
-                 "rejected"]:
-        renamed = renamed.replace(f"\n{name} AS (", f"\n{name} AS (", 1)
     again = f""",
 letters AS (SELECT * FROM rejected WHERE stage <> 'deduplication'),
 rejudged AS (
@@ -349,7 +344,7 @@ rejudged AS (
     WHEN pickup_datetime > {now} + INTERVAL '1' DAY THEN 'future' ELSE 'ok' END AS failure)
   FROM letters
 )"""
-    return renamed + again
+    return errors() + again
 
 
 _REPLAY = replayed(_LATER)
@@ -836,7 +831,7 @@ def oracle() -> dict[str, str]:
             CURRENT,
             "SELECT "
             + ", ".join(
-                f"quantile_cont(CAST(total_amount AS DOUBLE), {q}) AS q{round(q * 100):02d}"
+                f"round(quantile_cont(CAST(total_amount AS DOUBLE), {q}), 6) AS q{round(q * 100):02d}"
                 for q in (0.25, 0.5, 0.75, 0.95, 0.99)
             )
             + ", CAST(min(total_amount) AS DOUBLE) AS min_fare,"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,13 +87,33 @@ def rejections(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     )
 
 
+# -- derived data, written once per application ----------------------------
+
+_derived: dict[tuple[str, str, str], object] = {}
+
+
+def once(make):
+    """Derive something from the tables of a folder the first time it is asked for."""
+
+    def get(spark: SparkSession, sf_dir: str):
+        key = (spark.sparkContext.applicationId, sf_dir, make.__name__)
+        if key not in _derived:
+            _derived[key] = make(spark, sf_dir)
+        return _derived[key]
+
+    return get
+
+
+@once
+def valid_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.stage(processed(spark, sf_dir).valid, "valid")
+
+
+@once
 def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = processed(spark, sf_dir, keep=("write_seq", "row_order"))
     failed_at = F.col("row_order.l_shipdate").cast("timestamp")
-    return deadletters.dead_letters(done.rejected, failed_at)
-
-
-# -- tables built once per application ------------------------------------
+    return deadletters.stage_letters(deadletters.dead_letters(done.rejected, failed_at))
 
 
 @dataclass(frozen=True)
@@ -101,39 +122,29 @@ class Store:
     rollups: RollupTables
 
 
-_stores: dict[tuple[str, str], Store] = {}
-
-
+@once
 def store(spark: SparkSession, sf_dir: str) -> Store:
     """Fact table of both deliveries and its rollups."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stores:
-        facts = filled_facts(spark, sf_dir)
-        rollups = RollupTables(spark, staging.new_folder(spark, "rollups"))
-        rollups.refresh(facts, touched_days(facts.versions()), 1)
-        _stores[key] = Store(facts, rollups)
-    return _stores[key]
+    facts = filled_facts(spark, sf_dir)
+    rollups = RollupTables(spark, staging.new_folder(spark, "rollups"))
+    rollups.refresh(facts, touched_days(facts.versions()), 1)
+    return Store(facts, rollups)
 
 
 def filled_facts(spark: SparkSession, sf_dir: str) -> FactTable:
-    valid = staging.stage(processed(spark, sf_dir).valid, "valid")
+    valid = valid_trips(spark, sf_dir)
     facts = FactTable(spark, staging.new_folder(spark, "trips"))
     for number in (1, 2):
         facts.append(valid.filter(F.col("write_seq") == number), number)
     return facts
 
 
-_sources: dict[tuple[str, str], str] = {}
-
-
+@once
 def source_path(spark: SparkSession, sf_dir: str) -> str:
     """Ride records in a Parquet folder under the source's own column names."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _sources:
-        path = staging.new_folder(spark, "source")
-        workload.source_rides(spark, sf_dir).write.parquet(path)
-        _sources[key] = path
-    return _sources[key]
+    path = staging.new_folder(spark, "source")
+    workload.source_rides(spark, sf_dir).write.parquet(path)
+    return path
 
 
 def finite(df: DataFrame) -> DataFrame:
@@ -214,9 +225,10 @@ def _(spark, sf_dir):
     return zones.read_zones(spark, path)
 
 
+@once
 def message_folder(spark: SparkSession, sf_dir: str) -> str:
     path = staging.new_folder(spark, "messages")
-    valid = staging.stage(processed(spark, sf_dir).valid, "valid")
+    valid = valid_trips(spark, sf_dir)
     for number in (1, 2):
         part = valid.filter(F.col("write_seq") == number)
         message_sink.publish(message_sink.trip_messages(part), path, number)
@@ -310,7 +322,7 @@ def _(spark, sf_dir):
 
 @query("k4_dead_letter_write")
 def _(spark, sf_dir):
-    ready = deadletters.stage_letters(letters(spark, sf_dir))
+    ready = letters(spark, sf_dir)
     topic, folder = staging.new_folder(spark, "dlq"), staging.new_folder(spark, "rejected")
     letter_sink.send(ready, topic, folder)
     from_files, _bad = rejects.read_rejects(spark, folder)
@@ -357,7 +369,7 @@ def _(spark, sf_dir):
 @query("k6_small_insert")
 def _(spark, sf_dir):
     """Rows that carry only part of the fields: the rest takes its insert default."""
-    valid = processed(spark, sf_dir).valid
+    valid = valid_trips(spark, sf_dir)
     part = ["trip_id", "vendor_id", "pickup_datetime", "batch_id"]
     text = F.to_json(F.struct(*part)).cast("binary")
     decoded = messages.decode(valid.select(text.alias("value")), messages.TRIP_WIRE)
@@ -795,7 +807,7 @@ def _(spark, sf_dir):
 @query("q11_replay_topic")
 def _(spark, sf_dir):
     topic = staging.new_folder(spark, "dlq")
-    ready = deadletters.stage_letters(letters(spark, sf_dir))
+    ready = letters(spark, sf_dir)
     letter_sink.send(ready, topic, None)
     to = jobs.Destinations(
         messages=staging.new_folder(spark, "recovered"),
@@ -844,7 +856,7 @@ def _(spark, sf_dir):
 @query("a7_incremental")
 def _(spark, sf_dir):
     """Deliveries one by one, refreshing touched days only."""
-    valid = staging.stage(processed(spark, sf_dir).valid, "valid")
+    valid = valid_trips(spark, sf_dir)
     facts = FactTable(spark, staging.new_folder(spark, "trips"))
     tables = RollupTables(spark, staging.new_folder(spark, "rollups"))
     for number in (1, 2):
@@ -919,8 +931,6 @@ def _(spark, sf_dir):
 
 @query("o3_recent_batches")
 def _(spark, sf_dir):
-    from datetime import datetime
-
     return operations.recent_batches(versions(spark, sf_dir), datetime(2014, 9, 29, 22, 0, 0))
 
 
@@ -1005,7 +1015,7 @@ _adhoc("h4_vendor_comparison", adhoc.vendor_comparison)
 @query("t1_micro_batches")
 def _(spark, sf_dir):
     """Small triggers give the same tables as large ones."""
-    facts, _rollups = consumed(spark, sf_dir, per_trigger=3)
+    facts, _rollups = consumed(spark, sf_dir, per_trigger=6)
     return month_totals(facts)
 
 
@@ -1057,7 +1067,7 @@ def _(spark, sf_dir):
     folder = staging.new_folder(spark, "messages")
     facts = FactTable(spark, staging.new_folder(spark, "trips"))
     offsets_at = staging.new_folder(spark, "offsets")
-    valid = staging.stage(processed(spark, sf_dir).valid, "valid")
+    valid = valid_trips(spark, sf_dir)
     for number in (1, 2):
         part = valid.filter(F.col("write_seq") == number)
         message_sink.publish(message_sink.trip_messages(part), folder, number)
@@ -1069,7 +1079,7 @@ def _(spark, sf_dir):
 @query("t6_late_data")
 def _(spark, sf_dir):
     """Newest trips first, older ones late: hours already reported are corrected."""
-    valid = staging.stage(processed(spark, sf_dir).valid, "valid")
+    valid = valid_trips(spark, sf_dir)
     facts = FactTable(spark, staging.new_folder(spark, "trips"))
     tables = RollupTables(spark, staging.new_folder(spark, "rollups"))
     parts = [

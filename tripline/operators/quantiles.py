@@ -59,4 +59,6 @@ def money_quantiles(df: DataFrame, col: str, probabilities: list[float]) -> Data
     low = F.max(F.when(F.col("low"), value))
     high = F.max(F.when(F.col("high"), value))
     part = F.max(F.col("place") - F.floor("place"))
-    return hits.groupBy("probability").agg((low + (high - low) * part).alias("value"))
+    # past the sixth decimal there is only floating-point noise
+    value = F.round(low + (high - low) * part, 6)
+    return hits.groupBy("probability").agg(value.alias("value"))
