@@ -40,14 +40,16 @@ class Rule:
     knows_trip: bool = False
 
 
-DUPLICATE = Rule(
-    name="duplicate",
-    broken=F.lit(False),  # decided by keep_first, not by the record alone
-    stage="deduplication",
-    error_type="WithinBatchDuplicate",
-    message=F.concat(F.lit("Duplicate trip_id within batch: "), F.col("trip_id")),
-    knows_trip=True,
-)
+def duplicate_rule() -> Rule:
+    """Decided by keep-first, not by the record alone."""
+    return Rule(
+        "duplicate",
+        F.lit(False),
+        "deduplication",
+        "WithinBatchDuplicate",
+        F.concat(F.lit("Duplicate trip_id within batch: "), F.col("trip_id")),
+        knows_trip=True,
+    )
 
 
 #: Rules per projection. The JVM leaves methods over 8000 bytecodes interpreted,
@@ -297,5 +299,5 @@ def trip_rules(
     rules += _money_rules(types)
     rules.append(_range_rule(types))
     rules += _trip_rules(types, now)
-    rules.append(DUPLICATE)
+    rules.append(duplicate_rule())
     return rules
