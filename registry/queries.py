@@ -1015,7 +1015,7 @@ _adhoc("h4_vendor_comparison", adhoc.vendor_comparison)
 @query("t1_micro_batches")
 def _(spark, sf_dir):
     """Small triggers give the same tables as large ones."""
-    facts, _rollups = consumed(spark, sf_dir, per_trigger=6)
+    facts, _rollups = consumed(spark, sf_dir, per_trigger=8)
     return month_totals(facts)
 
 

@@ -33,12 +33,30 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tripline/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, scratch: Scratch | None = None) -> DataFrame:
     """Write the frame once as Parquet and read it back.
 
     Later branches then read only their columns, and lost executors cost no
-    recomputation of the lineage above.
+    recomputation of the lineage above. With ``scratch`` the copy goes when that ends.
     """
     path = new_folder(df.sparkSession, name)
+    if scratch is not None:
+        scratch.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Deletes the copies staged within its ``with`` block at the block's end."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_error: object) -> None:
+        for path in self.paths:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -6,14 +6,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripline.functions.encode import JSON_OPTIONS
 from tripline.functions.times import from_epoch, parse_timestamp
 from tripline.operators.sizing import Dimension
-from tripline.operators.staging import stage
+from tripline.operators.staging import Scratch, stage
 from tripline.plans.ingest import Processed, process
 from tripline.schema import DEAD_LETTERS, MONEY_FIELDS, RAW_COLUMNS, TRIPS
-from pyspark.sql import types as T
 
 
 def record_json() -> Column:
@@ -132,7 +132,7 @@ def replay(
     now: Column | None = None,
     replay_batch: Column | None = None,
     repeats_too: bool = False,
-    staged: bool = True,
+    scratch: Scratch | None = None,
 ) -> Replayed:
     """Run every letter's record through the rules again, each as its own batch.
 
@@ -150,7 +150,7 @@ def replay(
     done = process(
         records, zones, now=now, schema_gate=False, keep=("letter",), one_by_one=True
     )
-    return Replayed(done.staged() if staged else done)
+    return Replayed(done.staged(scratch))
 
 
 def of_batch(letters: DataFrame, batch_id: str) -> DataFrame:
@@ -179,6 +179,6 @@ def exhausted(letters: DataFrame, retries: int = 3) -> DataFrame:
     return letters.filter(F.col("retry_count") >= retries)
 
 
-def stage_letters(letters: DataFrame) -> DataFrame:
+def stage_letters(letters: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """Written once before a dual write, so both destinations get the same letters."""
-    return stage(letters, "letters")
+    return stage(letters, "letters", scratch)

@@ -12,7 +12,7 @@ from tripline.operators.dedup import mark_repeats
 from tripline.operators.enrich import add_zones
 from tripline.operators.rules import Rule, describe, first_broken, knows_trip, position, trip_rules
 from tripline.operators.sizing import Dimension
-from tripline.operators.staging import stage
+from tripline.operators.staging import Scratch, stage
 from tripline.schema import MONEY_FIELDS, RAW_COLUMNS, TRIPS, complete_raw, raw_types
 
 #: Slices for a batch whose size nothing bounds.
@@ -36,8 +36,8 @@ class Processed:
     ingested_at: Column
     keep: tuple[str, ...] = ()
 
-    def staged(self) -> Processed:
-        done = stage(self.judged, "judged")
+    def staged(self, scratch: Scratch | None = None) -> Processed:
+        done = stage(self.judged, "judged", scratch)
         return Processed(done, self.rules, self.zones, self.ingested_at, self.keep)
 
     @property

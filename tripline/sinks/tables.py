@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tripline.functions.times import month_of
 from tripline.operators.dedup import TRIP_KEY, latest
 from tripline.operators.rollup import ROLLUPS, RollupSpec, build, merge
-from tripline.operators.staging import stage
+from tripline.operators.staging import Scratch, stage
 from tripline.schema import TRIPS
 from tripline.sources.messages import fact_value
 
@@ -278,10 +278,11 @@ class RollupTables:
         if not days:
             return
         trips = facts.current(on_days(days)).select(*ROLLUP_INPUT)
-        if not facts.is_settled({d.year * 100 + d.month for d in days}):
-            # picking versions shuffles: once for all rollups, not once for each
-            trips = stage(trips, "days")
-        self._write(trips, sequence, specs)
+        with Scratch(self.spark) as scratch:
+            if not facts.is_settled({d.year * 100 + d.month for d in days}):
+                # picking versions shuffles: once for all rollups, not once for each
+                trips = stage(trips, "days", scratch)
+            self._write(trips, sequence, specs)
 
     def append_raw(self, trips: DataFrame, sequence: int, specs=tuple(ROLLUPS)) -> None:
         """Add one delivery's components; the same number again replaces them."""

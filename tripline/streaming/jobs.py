@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tripline.operators.sizing import Dimension
-from tripline.operators.staging import stage
-from tripline.plans.deadletters import dead_letters, replay
+from tripline.operators.staging import Scratch, stage
+from tripline.plans.deadletters import dead_letters, replay, stage_letters
 from tripline.plans.ingest import process, run_log
 from tripline.schema import TRIPS
 from tripline.sinks.deadletters import send
@@ -74,13 +74,14 @@ def produce(
     def each(batch: DataFrame, number: int) -> None:
         clock = F.current_timestamp() if now is None else now
         began = batch.sparkSession.sql("SELECT current_timestamp() AS t").first().t
-        done = process(batch, zones(), now=now, ingested_at=ingested_at).staged()
-        publish(trip_messages(done.valid), to.messages, number, to.fmt)
-        letters = stage(dead_letters(done.rejected, clock), "letters")
-        send(letters, to.letters_topic, to.letters_folder, number, to.fmt)
-        if to.run_log:
-            log_rows = run_log(done, F.lit(began), F.current_timestamp())
-            write_run_log(log_rows, to.run_log, number)
+        with Scratch(batch.sparkSession) as scratch:
+            done = process(batch, zones(), now=now, ingested_at=ingested_at).staged(scratch)
+            publish(trip_messages(done.valid), to.messages, number, to.fmt)
+            letters = stage_letters(dead_letters(done.rejected, clock), scratch)
+            send(letters, to.letters_topic, to.letters_folder, number, to.fmt)
+            if to.run_log:
+                log_rows = run_log(done, F.lit(began), F.current_timestamp())
+                write_run_log(log_rows, to.run_log, number)
 
     return each
 
@@ -100,10 +101,11 @@ def consume(facts: FactTable, rollups: RollupTables | None) -> Callable[[DataFra
 
     def each(batch: DataFrame, number: int) -> None:
         rows = trip_rows(decode(batch, TRIP_WIRE))
-        facts_rows = stage(rows, "consumed")
-        facts.append(facts_rows, number)
-        if rollups is not None:
-            rollups.refresh(facts, touched_days(facts_rows), number)
+        with Scratch(batch.sparkSession) as scratch:
+            kept = stage(rows, "consumed", scratch)
+            facts.append(kept, number)
+            if rollups is not None:
+                rollups.refresh(facts, touched_days(kept), number)
 
     return each
 
@@ -121,10 +123,11 @@ def replay_topic(
 
     def each(batch: DataFrame, number: int) -> None:
         letters = dead_letter_rows(decode(batch, DEAD_LETTER_WIRE))
-        done = replay(letters, zones(), now=now, replay_batch=replay_batch)
-        publish(trip_messages(done.recovered), to.messages, number, to.fmt)
-        again = stage(done.still_invalid, "letters")
-        send(again, to.letters_topic, to.letters_folder, number, to.fmt)
+        with Scratch(batch.sparkSession) as scratch:
+            done = replay(letters, zones(), now, replay_batch, scratch=scratch)
+            publish(trip_messages(done.recovered), to.messages, number, to.fmt)
+            again = stage_letters(done.still_invalid, scratch)
+            send(again, to.letters_topic, to.letters_folder, number, to.fmt)
 
     return each
 
