@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from tripline import workload
 from tripline.functions import codes, encode, identity, times, values
 from tripline.operators import dedup, enrich, gate, rollup, staging
-from tripline.operators.sizing import Dimension
 from tripline.plans import adhoc, dashboard, deadletters, ingest, operations
 from tripline.schema import RAW_COLUMNS, TRIPS, raw_types
 from tripline.session import prepare

@@ -10,20 +10,27 @@ from pyspark.sql import functions as F
 BLOCK_CENTS = 100_000
 
 
-def money_quantiles(df: DataFrame, col: str, probabilities: list[float]) -> DataFrame:
-    """Rows (probability, value): linear interpolation between the two nearest ranks.
-
-    Values are counted per cent (partial aggregation), then ranked by running
-    counts: over blocks first, inside each block second. Every window partition
-    is bounded by the column's type.
-    """
-    cents = (F.col(col) * 100).cast("bigint")
-    counts = (
+def money_counts(df: DataFrame, col: str) -> DataFrame:
+    """Rows per cent value (partial aggregation, then one shuffle on the value)."""
+    return (
         df.filter(F.col(col).isNotNull())
-        .groupBy(cents.alias("cents"))
+        .groupBy((F.col(col) * 100).cast("bigint").alias("cents"))
         .agg(F.count("*").alias("n"))
-        .withColumn("block", F.floor(F.col("cents") / BLOCK_CENTS))
     )
+
+
+def money_quantiles(df: DataFrame, col: str, probabilities: list[float]) -> DataFrame:
+    """Rows (probability, value): linear interpolation between the two nearest ranks."""
+    return quantiles_of(money_counts(df, col), probabilities)
+
+
+def quantiles_of(counts: DataFrame, probabilities: list[float]) -> DataFrame:
+    """Quantiles from counts per cent.
+
+    Values are ranked by running counts: over blocks first, inside each block
+    second. Every window partition is bounded by the money type.
+    """
+    counts = counts.withColumn("block", F.floor(F.col("cents") / BLOCK_CENTS))
     over_blocks = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
         counts.groupBy("block")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession

@@ -7,8 +7,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripline.functions.times import minutes
-from tripline.operators.quantiles import money_quantiles
+from tripline.functions.times import minutes, month_of
+from tripline.operators.quantiles import money_counts, quantiles_of
 from tripline.plans.dashboard import today
 
 QUANTILES = [0.25, 0.50, 0.75, 0.95, 0.99]
@@ -19,35 +19,48 @@ def _mean(col: str) -> Column:
     return F.sum(col).cast("double") / F.count(col)
 
 
-def _starts(day: Column) -> Column:
-    return day.cast("timestamp")
+def within(trips: DataFrame, first: Column, after: Column) -> DataFrame:
+    """Trips picked up from day ``first`` to before day ``after``.
 
-
-def on_day(as_of: datetime | None, back: int = 0) -> Column:
-    """Pickup from ``back`` days before the day of ``as_of`` to its end, as a time range."""
-    first, after = F.date_sub(today(as_of), back), F.date_add(today(as_of), 1)
-    return (F.col("pickup_datetime") >= _starts(first)) & (
-        F.col("pickup_datetime") < _starts(after)
+    A time range the scan can prune row groups by, and where the table has its
+    month column, a month range that prunes folders.
+    """
+    held = trips.filter(
+        (F.col("pickup_datetime") >= first.cast("timestamp"))
+        & (F.col("pickup_datetime") < after.cast("timestamp"))
     )
+    if "pickup_month" in trips.columns:
+        held = held.filter(
+            F.col("pickup_month").between(month_of(first), month_of(F.date_sub(after, 1)))
+        )
+    return held
+
+
+def on_day(trips: DataFrame, as_of: datetime | None, back: int = 0) -> DataFrame:
+    """From ``back`` days before the day of ``as_of`` to that day's end."""
+    return within(trips, F.date_sub(today(as_of), back), F.date_add(today(as_of), 1))
 
 
 def fare_distribution(trips: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """Quantiles, least, greatest and mean total of one day, in one row."""
-    that_day = trips.filter(on_day(as_of)).select("total_amount")
-    parts = money_quantiles(that_day, "total_amount", QUANTILES)
-    picked = [
-        F.max(F.when(F.col("probability") == p, F.col("value"))).alias(f"q{round(p * 100):02d}")
-        for p in QUANTILES
-    ]
-    extent = that_day.agg(
-        F.min("total_amount").alias("min_fare"),
-        F.max("total_amount").alias("max_fare"),
-        _mean("total_amount").alias("avg_fare"),
+    """Quantiles, least, greatest and mean total of one day, in one row.
+
+    Everything comes from the day's counts per cent value.
+    """
+    counts = money_counts(on_day(trips, as_of), "total_amount")
+    quantiles = quantiles_of(counts, QUANTILES).select(
+        F.format_string("q%02.0f", F.col("probability") * 100).alias("name"),
+        "value",
+    )
+    total = F.sum(F.col("cents") * F.col("n")) / F.lit(100.0)
+    extent = counts.agg(
+        (F.min("cents") / F.lit(100.0)).alias("min_fare"),
+        (F.max("cents") / F.lit(100.0)).alias("max_fare"),
+        (total / F.sum("n")).alias("avg_fare"),
+    ).unpivot([], ["min_fare", "max_fare", "avg_fare"], "name", "value")
+    names = [*[f"q{round(p * 100):02d}" for p in QUANTILES], "min_fare", "max_fare", "avg_fare"]
+    return quantiles.unionByName(extent).agg(
+        *[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names]
     )
-    # both sides are single rows
-    return parts.agg(*picked).withColumn("_one", F.lit(1)).join(
-        extent.withColumn("_one", F.lit(1)), "_one"
-    ).drop("_one")
 
 
 def distance_bucket(miles: Column) -> Column:
@@ -62,7 +75,7 @@ def distance_bucket(miles: Column) -> Column:
 
 def distance_distribution(trips: DataFrame, as_of: datetime | None = None) -> DataFrame:
     return (
-        trips.filter(on_day(as_of))
+        on_day(trips, as_of)
         .groupBy(distance_bucket(F.col("trip_distance")).alias("distance_bucket"))
         .agg(
             F.count("*").alias("trips"),
@@ -77,7 +90,7 @@ def distance_distribution(trips: DataFrame, as_of: datetime | None = None) -> Da
 def peak_hours(trips: DataFrame, as_of: datetime | None = None, days: int = 7) -> DataFrame:
     """Hour-of-day profile over ``days`` days and the day of ``as_of``."""
     return (
-        trips.filter(on_day(as_of, days))
+        on_day(trips, as_of, days)
         .groupBy(F.hour("pickup_datetime").alias("hour_of_day"))
         .agg(
             F.count("*").alias("trips"),
@@ -91,11 +104,8 @@ def peak_hours(trips: DataFrame, as_of: datetime | None = None, days: int = 7) -
 def vendor_comparison(trips: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Vendors over the calendar month of ``as_of``."""
     first = F.trunc(today(as_of), "month")
-    in_month = (F.col("pickup_datetime") >= _starts(first)) & (
-        F.col("pickup_datetime") < _starts(F.add_months(first, 1))
-    )
     return (
-        trips.filter(in_month)
+        within(trips, first, F.add_months(first, 1))
         .groupBy("vendor_id")
         .agg(
             F.count("*").alias("trips"),
