@@ -7,6 +7,7 @@ from tests.conftest import plan_of
 from tests.rides import rides, zone_frame
 from tripline.operators import rollup
 from tripline.operators.staging import new_folder
+from tripline.plans import adhoc
 from tripline.plans.ingest import process
 from tripline.sinks.tables import FactTable, RollupTables, between, on_days, touched_days
 from tripline.sources.zones import zone_dimension
@@ -119,3 +120,15 @@ def test_raw_rollups_count_inserts(spark):
         tables.append_raw(trips(spark, at(1)), number, [rollup.DAILY])
     (row,) = tables.read(rollup.DAILY, raw=True).collect()
     assert row.n == 2
+
+
+def test_adhoc_reports_prune_months(spark, facts):
+    facts.append(trips(spark, *[at(d, month=m) for m in (1, 2, 3) for d in (1, 2, 3)]), 0)
+    as_of = datetime(2024, 2, 3, 12)
+    report = adhoc.vendor_comparison(facts.current(), as_of)
+    assert [r.trips for r in report.collect()] == [3]
+    assert "pickup_month" in plan_of(report).split("PartitionFilters: [")[1].split("]")[0]
+    (fares,) = adhoc.fare_distribution(facts.current(), as_of).collect()
+    assert (fares.q50, fares.min_fare, fares.max_fare, fares.avg_fare) == (19.8,) * 4
+    assert adhoc.peak_hours(facts.current(), as_of, 1).collect()[0].trips == 2
+    assert adhoc.distance_distribution(facts.current(), as_of).first().distance_bucket == "3-5 miles"
