@@ -29,10 +29,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def drop_staged(df: DataFrame) -> None:
     """Delete the files of a frame made by ``staged`` that nothing reads any more."""
-    spark = df.sparkSession
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        drop_folder(df.sparkSession, folder)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
@@ -59,6 +62,15 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER_LETTERS, LOWER_LETTERS)
 
 
+def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``docs`` but for the keys in ``gone``; all columns, and rows with a null key, stay.
+
+    The keys to drop are distinct, so no key of ``docs`` is multiplied or gathered.
+    """
+    keys = gone.where(F.col(key).isNotNull()).select(F.col(key).alias("__gone_key")).distinct()
+    return docs.join(keys, docs[key] == keys["__gone_key"], "left_anti")
+
+
 def popcount(values: np.ndarray) -> np.ndarray:
     return np.bitwise_count(values)
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripline.llm.common import LOWER, staged, utf8
+from tripline.llm.common import LOWER, staged, utf8, without
 
 WINDOW_WORDS = 13
 BLOCK_WORDS = 3
@@ -341,6 +341,4 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", ke
     Contaminated keys, few and distinct, are removed by an anti join. Rows with a null key
     are kept.
     """
-    found = contamination(docs, benchmark, text, key).where(contaminated())
-    gone = found.select(F.col(key).alias("gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("gone"), "left_anti")
+    return without(docs, contamination(docs, benchmark, text, key).where(contaminated()), key)

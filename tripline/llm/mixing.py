@@ -36,11 +36,16 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def quality_weights(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs`` with ``mix_weight``: 2 for labelled good, 0.5 for labelled bad, else 1."""
-    best = labels.groupBy(F.col(key).alias("mix_key")).agg(F.max("quality").alias("mix_quality"))
-    weight = F.when(F.col("mix_quality") == 1, 2.0).when(F.col("mix_quality") == 0, 0.5).otherwise(1.0)
-    joined = docs.join(bounded(best.where("mix_key is not null")), F.col(key) == F.col("mix_key"), "left")
-    return joined.withColumn("mix_weight", weight).drop("mix_key", "mix_quality")
+    """``docs`` with ``mix_weight``: 2 for labelled good, 0.5 for labelled bad, else 1.
+
+    A column of that name is replaced.
+    """
+    best = labels.groupBy(F.col(key).alias("__key")).agg(F.max("quality").alias("__quality"))
+    best = bounded(best.where(F.col("__key").isNotNull()))
+    quality = F.col("__quality")
+    weight = F.when(quality == 1, 2.0).when(quality == 0, 0.5).otherwise(1.0)
+    joined = docs.join(best, docs[key] == best["__key"], "left")
+    return joined.withColumn("mix_weight", weight).drop("__key", "__quality")
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -75,7 +80,7 @@ def mix(
     source: str = "source",
     range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
-    """``docs`` with struct ``mix``: size, source_size, target, copies, taken.
+    """``(row, mix)``: every row of ``docs`` whole, and size, source_size, target, copies, taken.
 
     ``copies`` is how often the mix takes the whole document and ``taken`` is copies times
     size. The document at which the budget runs out is taken if that comes nearer to the
@@ -84,7 +89,7 @@ def mix(
     Null or empty text has size 0; a null source is a source of its own, last in order. Rows
     that agree in key, source and size are one unit of the order: all or none. A null key
     draws by the text instead. A null or non-positive weight counts as 1. An empty table gives
-    no rows. Other columns pass through.
+    no rows.
     """
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(SIZE_PATTERN)), F.lit(0)).cast("long")
     name = F.coalesce(F.col(key).cast("string"), F.md5(F.col(text)), F.lit(""))
@@ -96,8 +101,9 @@ def mix(
         (-F.log(u) / weighs).alias("draw"),
         name.alias("tie"),
     )
-    rows = docs.withColumn("_mix", drawn)
-    narrow = staged(rows.select(F.col(source).alias("source"), "_mix.*"), "mix")
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(F.col(source).alias("source"), drawn.alias("own"), whole)
+    narrow = staged(rows.select("source", "own.*"), "mix")
     sources = narrow.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
     spread = F.greatest(F.lit(1), F.ceil(F.col("n") / range_rows)).cast("long").alias("ranges")
     plan = targets(sources.select("source", "size")).withColumnRenamed("source", "s")
@@ -130,28 +136,31 @@ def mix(
     cut_at = F.max(F.when(fits, F.struct("draw", "tie")))
     cuts = units.groupBy("of", "cut_range").agg(cut_at.alias("cut")).withColumnRenamed("of", "cut_of")
     plan = plan.join(cuts, F.col("of").eqNullSafe(F.col("cut_of")), "left").drop("cut_of")
-    side = bounded(staged(plan, "mix_plan").select(F.struct("*").alias("_plan")))
-
-    joined = rows.join(side, F.col(source).eqNullSafe(F.col("_plan.of")))
-    draw = F.col("_mix.draw")
-    where = F.least(F.floor((1 - F.exp(-draw)) * F.col("_plan.ranges")), F.col("_plan.ranges") - 1)
-    chosen = (where < F.col("_plan.cut_range")) | (
-        (where == F.col("_plan.cut_range"))
-        & (F.struct(draw.alias("draw"), F.col("_mix.tie").alias("tie")) <= F.col("_plan.cut"))
+    side = bounded(staged(plan, "mix_plan").select(F.struct("*").alias("plan")))
+
+    joined = rows.join(side, F.col("source").eqNullSafe(F.col("plan.of")))
+    draw = F.col("own.draw")
+    where = F.least(F.floor((1 - F.exp(-draw)) * F.col("plan.ranges")), F.col("plan.ranges") - 1)
+    chosen = (where < F.col("plan.cut_range")) | (
+        (where == F.col("plan.cut_range"))
+        & (F.struct(draw.alias("draw"), F.col("own.tie").alias("tie")) <= F.col("plan.cut"))
     )
-    copies = F.col("_plan.epochs") + F.when(chosen, 1).otherwise(0)
+    copies = F.col("plan.epochs") + F.when(chosen, 1).otherwise(0)
     out = F.struct(
-        F.col("_mix.size"),
-        F.col("_plan.source_size"),
-        F.col("_plan.target"),
+        F.col("own.size"),
+        F.col("plan.source_size"),
+        F.col("plan.target"),
         copies.alias("copies"),
-        (copies * F.col("_mix.size")).alias("taken"),
+        (copies * F.col("own.size")).alias("taken"),
     )
-    return joined.withColumn("mix", out).drop("_mix", "_plan")
+    return joined.select("row", out.alias("mix"))
 
 
 def mixed(docs: DataFrame, weight: Column | None = None, **columns: str) -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as it is taken, columns as they were."""
-    names = [F.col(f"`{c}`") for c in docs.columns if c != "mix_weight"]
-    taken = mix(docs, weight, **columns).withColumn("_copies", F.col("mix.copies").cast("int"))
-    return taken.where("_copies > 0").select(*names, F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_copy")).drop("_copy")
+    """The mix itself: every row of ``docs`` as often as it is taken, columns as they were.
+
+    The column ``mix_weight`` of ``quality_weights`` is left out.
+    """
+    taken = mix(docs, weight, **columns).where("mix.copies > 0")
+    each = F.explode(F.array_repeat(F.lit(0), F.col("mix.copies").cast("int")))
+    return taken.select("row", each.alias("copy")).select("row.*").drop("mix_weight")

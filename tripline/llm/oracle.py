@@ -71,7 +71,42 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+WARC_RECORDS = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+),
+d AS (SELECT page_id, octet_length(payload) AS size, sha1(payload) AS digest FROM p),
+m AS (
+  SELECT *, CASE WHEN size >= 1000 THEN max(page_id) OVER (PARTITION BY digest) ELSE page_id END AS most FROM d
+)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN most = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN most <> page_id THEN most END AS refers_to
+FROM m
+"""
+
+EMBEDDING_COMPONENTS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+link AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+),
+reach(x, y) AS (SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+n AS (SELECT x, count(*) AS n_links FROM link GROUP BY x),
+c AS (SELECT x, min(y) AS least FROM reach GROUP BY x)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON vec_id = n.x LEFT JOIN c ON vec_id = c.x
+"""
+
 ORACLE: dict[str, str] = {
+    "op4_warc_records": WARC_RECORDS,
     "op5_decontamination": DECONTAMINATION,
     "op6_source_mix": SOURCE_MIX,
+    "op8_embedding_components": EMBEDDING_COMPONENTS,
 }

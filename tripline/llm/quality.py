@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tripline.llm.common import staged, utf8
+from tripline.llm.common import staged, utf8, without
 from tripline.llm.mixing import bounded
 
 #: Ids: 0 begins a document, 1 stands for all tokens outside the vocabulary.
@@ -143,10 +143,9 @@ def with_roles(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataF
     trusted = each.agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and t = 0")
     fold = F.pmod(F.xxhash64(F.col("label_key").cast("string")), F.lit(HOLD_OUT)) == 0
     roles = trusted.select("label_key", F.when(fold, 2).otherwise(1).alias("role"))
-    joined = docs.join(bounded(roles), F.col(key) == F.col("label_key"), "left")
-    return joined.select(
-        F.col(key).alias("key"), "lang", F.coalesce("role", F.lit(0)).alias("role"), utf8("text").alias("text")
-    )
+    narrow = docs.select(F.col(key).alias("key"), "lang", utf8("text").alias("text"))
+    joined = narrow.join(bounded(roles), F.col("key") == F.col("label_key"), "left")
+    return joined.select("key", "lang", F.coalesce("role", F.lit(0)).alias("role"), "text")
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -517,5 +516,4 @@ def accepted(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFra
 
     Rejected keys are removed by an anti join; rows with a null key are kept.
     """
-    gone = judged(docs, labels, key).where("not kept").select(F.col(key).alias("gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("gone"), "left_anti")
+    return without(docs, judged(docs, labels, key).where("not kept"), key)

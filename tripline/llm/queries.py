@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripline.llm import decontaminate, mixing, packing, quality, simhash
+from tripline.llm import (
+    decontaminate,
+    embeddings,
+    licenses,
+    linededup,
+    mixing,
+    packing,
+    pages,
+    quality,
+    simhash,
+    warc,
+)
 from tripline.llm.common import small_batches
 
 
@@ -15,6 +26,40 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return small_batches(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(_table(spark, sf_dir, "pages"))
+
+
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    places = F.transform("places", lambda p: p["place"])
+    base = F.array_sort(F.array_distinct(F.transform("places", lambda p: p["label"])))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(places).alias("first_word"),
+        F.array_max(places).alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def embedding_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))
+    return found.withColumn("kept", kept)
+
+
+def lines_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.without_repeats(_table(spark, sf_dir, "documents"))
+
+
 def packed_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"))
 
@@ -38,7 +83,7 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     )
     mixed = mixing.mix(weighted, F.col("mix_weight"))
-    return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+    return mixed.select("row.doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
 def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,9 +96,14 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_main_text": main_texts,
     "op2_packed_tokens": packed_tokens,
+    "op3_license_scan": license_scan,
+    "op4_warc_records": warc_records,
     "op5_decontamination": decontamination,
     "op6_source_mix": source_mix,
     "op7_simhash_components": simhash_components,
+    "op8_embedding_components": embedding_components,
     "op9_quality_scores": quality_scores,
+    "op10_line_dedup": lines_without_repeats,
 }

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripline.llm.common import LOWER, components, popcount, staged, utf8
+from tripline.llm.common import LOWER, components, popcount, staged, utf8, without
 
 SHINGLE_WORDS = 3
 HASH_SEED = 42
@@ -195,5 +195,4 @@ def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     task. Rows with a null key are kept: nothing tells them apart.
     """
     found = near_duplicates(docs, text, key)
-    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias("gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("gone"), "left_anti")
+    return without(docs, found.where(F.col(key) != F.col("component_id")), key)
