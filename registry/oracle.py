@@ -390,6 +390,13 @@ def histogram(value: str, bounds: list, names: str) -> str:
     return with_(_EVENT_RUNS, " UNION ALL ".join(parts))
 
 
+_QUANTITIES = ["", *"thousand million billion trillion quadrillion quintillion".split()]
+_SIZES = "B KiB MiB GiB TiB PiB EiB ZiB YiB".split()
+#: Why a message made from an event cannot be stored.
+_UNUSABLE = (
+    "CASE event_type WHEN 'view' THEN 'not a JSON object' WHEN 'signup' THEN 'not a JSON object'"
+    " WHEN 'error' THEN 'total_amount cannot be read' WHEN 'purchase' THEN 'trip_id is missing' END"
+)
 _DUR = [0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0]
 
 
@@ -453,7 +460,7 @@ def oracle() -> dict[str, str]:
             " rate_code_id FROM raw GROUP BY 1, 2, 3",
         ),
         "s4_provenance": "SELECT 'lineitem.parquet' AS source_file,"
-        " least(1000, n - b * 1000) AS rows, b * 1000 AS first_row"
+        " least(1000, n - b * 1000) AS rows, b * 1000 AS first_row, TRUE AS id_known"
         " FROM (SELECT count(*) AS n FROM lineitem),"
         " LATERAL (SELECT unnest(range(0, (n + 999) // 1000)) AS b)",
         "s5_zone_scan": "SELECT CAST(n_nationkey AS BIGINT) AS location_id, r_name AS borough,"
@@ -465,9 +472,11 @@ def oracle() -> dict[str, str]:
             + out("trip_id", "vendor_id", "pickup_datetime", "total_amount", "batch_id")
             + " FROM valid_rows",
         ),
-        "s7_json_decode": "SELECT event_id, event_type <> 'click' AS malformed,"
-        " CASE WHEN event_type = 'click' THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k"
-        " FROM events",
+        "s7_json_decode": "SELECT event_id, event_type IN ('view', 'signup') AS malformed, "
+        + _UNUSABLE
+        + " AS unusable, CAST(CASE WHEN event_type = 'click' THEN CASE WHEN event_id % 3 < 2 THEN 2"
+        " ELSE 0 END END AS BIGINT) AS passenger_count,"
+        " CASE WHEN event_type = 'click' THEN 12.5::DOUBLE END AS total_amount FROM events",
         "s8_rejected_scan": with_(
             errors(),
             "SELECT trip_id, error_message, error_type, stage, batch_id,"
@@ -489,7 +498,8 @@ def oracle() -> dict[str, str]:
             errors(),
             "SELECT d.destination, stage, error_type, count(*) AS letters,"
             " count(trip_id) AS with_trip_id FROM rejected,"
-            " (VALUES ('files'), ('topic')) AS d(destination) GROUP BY 1, 2, 3",
+            " (VALUES ('files'), ('files'), ('topic'), ('topic')) AS d(destination)"
+            " GROUP BY 1, 2, 3",
         ),
         "k5_deliver_then_commit": months("current_rows"),
         "k6_small_insert": with_(
@@ -706,8 +716,8 @@ def oracle() -> dict[str, str]:
         "a7_incremental": A2,
         "a8_stream_rollup": "SELECT "
         + text("hour")
-        + " AS hour, vendor_id, n, sum_total_amount, sum_trip_duration_seconds,"
-        " n AS sum_passenger_count FROM (SELECT date_trunc('hour', ts) AS hour,"
+        + " AS hour, vendor_id, n, sum_total_amount, n * 0.25::DOUBLE AS sum_trip_distance,"
+        " sum_trip_duration_seconds, n AS sum_passenger_count FROM (SELECT date_trunc('hour', ts) AS hour,"
         " event_type AS vendor_id, count(*) AS n,"
         " CAST(sum(CAST(value AS DECIMAL(9,2))) AS DOUBLE) AS sum_total_amount,"
         " CAST(sum(user_id) AS BIGINT) AS sum_trip_duration_seconds FROM events GROUP BY 1, 2)"
@@ -757,10 +767,17 @@ def oracle() -> dict[str, str]:
             VALID,
             f"SELECT {_MONTH} AS pickup_month, count(*) AS rows FROM valid_rows GROUP BY 1",
         ),
+        "o1_partition_sizes": with_(
+            VALID,
+            'SELECT m AS "partition", '
+            + readable("n", 1000, _QUANTITIES)
+            + f" AS row_count, TRUE AS has_size FROM (SELECT {_MONTH} AS m, count(*) AS n"
+            " FROM valid_rows GROUP BY 1)",
+        ),
         "o2_readable": "SELECT o_orderkey, "
-        + readable("n", 1000, ["", "thousand", "million", "billion", "trillion"])
+        + readable("n", 1000, _QUANTITIES)
         + " AS quantity, "
-        + readable("n", 1024, ["B", "KiB", "MiB", "GiB", "TiB", "PiB"])
+        + readable("n", 1024, _SIZES)
         + " AS size FROM (SELECT o_orderkey, o_orderkey * o_custkey * 4096 AS n FROM orders)",
         "o3_recent_batches": with_(
             VALID,
@@ -777,7 +794,7 @@ def oracle() -> dict[str, str]:
         "o4_batch_rows": with_(
             CURRENT,
             "SELECT " + out("trip_id", "batch_id", "ingested_at") + " FROM current_rows c"
-            " WHERE c.ingested_at > TIMESTAMP '2014-09-29 21:00:00'",
+            " WHERE c.batch_id = sha256('lineitem.parquet|3|1')",
         ),
         "o5_partition_lag": with_(
             _OFFSETS,
@@ -809,7 +826,11 @@ def oracle() -> dict[str, str]:
             )
             + " FROM runs GROUP BY 1)",
         ),
-        "o8_duration_histogram": histogram("micros / 1000000.0::DOUBLE", _DUR, ""),
+        "o8_duration_histogram": histogram(
+            "micros / 1000000.0::DOUBLE",
+            _DUR,
+            ", round(CAST(sum(micros) AS DOUBLE) / 1000000, 3) AS value_sum",
+        ),
         "o8_size_histogram": histogram(
             "(size + bad + refused)",
             [50, 100, 250, 500, 1000, 2500, 5000],
@@ -860,7 +881,15 @@ def oracle() -> dict[str, str]:
             f" {mean('trip_duration_seconds')} / 60 AS avg_duration_minutes FROM current_rows"
             f" WHERE {_MONTH} = 201206 GROUP BY 1",
         ),
-        "t1_micro_batches": months("current_rows"),
+        "t1_micro_batches": "SELECT *, TRUE AS several_batches FROM ("
+        + months("current_rows")
+        + ")",
+        "t2_kept_messages": "SELECT coalesce("
+        + _UNUSABLE
+        + ", 'stored') AS outcome, count(*) AS messages FROM events GROUP BY 1",
+        "k8_interrupted_fold": "SELECT * FROM ("
+        + A2
+        + "), (VALUES (FALSE), (TRUE)) AS f(folded)",
         "t2_stream_ingest": A4,
         "t3_stream_produce": with_(
             errors(),
@@ -871,7 +900,7 @@ def oracle() -> dict[str, str]:
         "t4_redelivery": A5,
         "t5_drain": with_(
             VALID,
-            "SELECT CAST(write_seq - 1 AS BIGINT) AS write_seq, count(*) AS rows FROM valid_rows"
+            "SELECT CAST(write_seq AS BIGINT) AS write_seq, count(*) AS rows FROM valid_rows"
             " GROUP BY 1",
         ),
         "t6_late_data": A1,

@@ -1,13 +1,15 @@
 import gzip
 import json
 import os
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.rides import RIDE_ID, rides, zone_frame
+from tests.rides import PICKUP, RIDE, RIDE_ID, rides, zone_frame
 from tripline.operators.staging import new_folder
+from tripline.operators import rollup
 from tripline.plans import deadletters
 from tripline.plans.ingest import process
 from tripline.sinks import deadletters as letter_sink
@@ -45,14 +47,15 @@ def test_message_round_trip(spark):
     (row,) = sent.collect()
     assert row.key == RIDE_ID
     body = json.loads(bytes(row.value))
-    assert len(body) == 28 and body["pickup_datetime"] == "2024-01-15T10:00:00+00:00"
-    assert body["total_amount"] == 19.8
+    assert len(body) == 28 and body["pickup_datetime"] == PICKUP.isoformat() + "+00:00"
+    assert body["total_amount"] == RIDE["total_amount"]
     back = messages.trip_rows(messages.decode(sent, messages.TRIP_WIRE))
     assert back.collect() == valid.collect()
 
 
 def test_insert_defaults(spark):
-    df = spark.createDataFrame([(b'{"trip_id":"a","total_amount":null}',)], "value binary")
+    text = b'{"trip_id":"a","pickup_datetime":"2024-02-20T07:15:00","total_amount":null}'
+    df = spark.createDataFrame([(text,)], "value binary")
     (row,) = messages.trip_rows(messages.decode(df, messages.TRIP_WIRE)).collect()
     assert (float(row.total_amount), row.passenger_count) == (0.0, 0)
 
@@ -65,15 +68,19 @@ FAULTS = [
     {"passenger_count": 12.0},
     {"fare_amount": -5.0},
     {"pickup_datetime": datetime(2008, 6, 15, 9), "dropoff_datetime": datetime(2008, 6, 15, 10)},
-    {"dropoff_datetime": datetime(2024, 1, 15, 10)},
+    {"dropoff_datetime": PICKUP},
 ]
 
 
 def test_dead_letter_files_and_bad_lines(spark):
     folder = new_folder(spark, "rejected")
     letters = letters_of(spark, *FAULTS)
-    assert letter_sink.send(letters, None, folder) == []
-    part = os.path.join(folder, "generation=0", os.listdir(folder + "/generation=0")[0])
+    for number in (0, 1, 1):  # another delivery is kept beside the first, the same one once
+        assert letter_sink.send(letters, None, folder, number, "a") == []
+    assert letter_sink.send(letters.limit(0), None, folder, 1, "a") == []
+    assert read_rejects(spark, folder)[0].count() == letters.count()
+    home = os.path.join(folder, "writer=a", "generation=0")
+    part = os.path.join(home, next(n for n in os.listdir(home) if n.startswith("batch")))
     with gzip.open(os.path.join(part, "zz.txt.gz"), "wt") as f:
         f.write("\n   \n{broken\n[1]\n")
     found, bad = read_rejects(spark, folder)
@@ -100,7 +107,8 @@ def test_one_destination_failing_leaves_the_other(spark, tmp_path):
     blocked = tmp_path / "file"
     blocked.write_text("in the way")
     folder = new_folder(spark, "rejected")
-    assert letter_sink.send(letters_of(spark, FAULTS[0]), str(blocked / "x"), folder) == ["topic"]
+    letters = letters_of(spark, FAULTS[0])
+    assert letter_sink.send(letters, str(blocked / "x"), folder, 0, "a") == ["topic"]
     assert read_rejects(spark, folder)[0].count() == 1
 
 
@@ -125,7 +133,7 @@ def test_replay_keeps_text_and_number_apart(spark):
     base["passenger_count"] = 1
     records = [
         {**base, "vendor_id": 1.0}, {**base, "vendor_id": "1.0"}, {**base, "tip_amount": "abc"},
-        {**base, "pickup_datetime": 1705312800}, {**base, "pickup_datetime": "nonsense"},
+        {**base, "pickup_datetime": int(PICKUP.replace(tzinfo=UTC).timestamp())}, {**base, "pickup_datetime": "nonsense"},
         {**base, "passenger_count": "11"},
     ]
     rows = [(None, json.dumps(r), "", "", "validation", str(i), "f", None, 0)
@@ -179,7 +187,7 @@ def test_files_to_messages_to_tables(spark):
     zones = zone_dimension(zone_frame(spark))
     to = jobs.Destinations(*[new_folder(spark, n) for n in ("m", "dlq", "rejected", "runs")])
     stream = stream_trips(spark, path, spark.read.parquet(path).schema)
-    each = jobs.produce(lambda: zones, to, now(), now())
+    each = jobs.produce(lambda: zones, to, "p", now(), now())
     jobs.start(stream, each, new_folder(spark, "cp"), drain=True).awaitTermination()
     assert spark.read.parquet(to.messages).count() == 2
     assert read_rejects(spark, to.letters_folder)[0].count() == 5
@@ -194,7 +202,7 @@ def test_files_to_messages_to_tables(spark):
     failed = []
 
     def crash_once(batch, number):
-        jobs.consume(facts, tables)(batch, number)
+        jobs.consume(facts, tables, "c")(batch, number)
         if not failed:
             failed.append(number)
             raise RuntimeError("stored, but the offsets were not")
@@ -209,8 +217,13 @@ def test_files_to_messages_to_tables(spark):
     assert facts.versions().count() == 2 and facts.current().count() == 2
 
     # publishing the same delivery again leaves one copy
-    publish(trip_messages(facts.current()), to.messages, 0)
+    publish(trip_messages(facts.current()), to.messages, 0, "p")
     assert spark.read.parquet(to.messages).count() == 2
+    # another job's delivery of the same number is another delivery
+    publish(trip_messages(facts.current().limit(1)), to.messages, 0, "q")
+    assert spark.read.parquet(to.messages).count() == 3
+    publish(trip_messages(facts.current().limit(0)), to.messages, 0, "p")
+    assert spark.read.parquet(to.messages).count() == 1
 
 
 def test_kafka_offsets_from_progress():
@@ -223,4 +236,97 @@ def test_kafka_offsets_from_progress():
 
 def test_wire_schema_covers_the_record():
     assert len(messages.TRIP_WIRE) == 28
-    assert isinstance(messages.TRIP_WIRE["pickup_datetime"].dataType, T.StringType)
+    assert all(isinstance(f.dataType, T.StringType) for f in messages.TRIP_WIRE)
+
+
+def message(**fields):
+    whole = {"trip_id": "a", "pickup_datetime": "2024-02-20T07:15:00", **fields}
+    return json.dumps({k: v for k, v in whole.items() if v != "absent"}).encode()
+
+
+ODD = [
+    (message(passenger_count=2.0, total_amount="12.5", trip_duration_seconds=600.0), None),
+    (message(passenger_count="2", pickup_location_id="7", trip_distance="1.5"), None),
+    (message(total_amount=100000000.0), "total_amount cannot be read"),
+    (message(passenger_count=99999), "passenger_count cannot be read"),
+    (message(passenger_count="many"), "passenger_count cannot be read"),
+    (message(tip_amount="NaN"), "tip_amount cannot be read"),
+    (message(pickup_location_id=2**40), "pickup_location_id cannot be read"),
+    (message(pickup_datetime="noon"), "pickup_datetime cannot be read"),
+    (message(pickup_datetime="absent"), "pickup_datetime is missing"),
+    (message(pickup_datetime="1999-01-01T00:00:00"), "pickup_datetime is out of range"),
+    (message(pickup_datetime="2999-01-01T00:00:00"), "pickup_datetime is out of range"),
+    (message(trip_id="absent"), "trip_id is missing"),
+    (b"[1]", "not a JSON object"),
+    (None, "not a JSON object"),
+]
+
+
+def test_lenient_fields_and_reasons(spark):
+    rows = [(i, value) for i, (value, _) in enumerate(ODD)]
+    df = spark.createDataFrame(rows, "i int, value binary")
+    judged = messages.sorted_trips(messages.decode(df, messages.TRIP_WIRE)).orderBy("i").collect()
+    assert [r.unusable and r.unusable.split(":")[0] for r in judged] == [why for _, why in ODD]
+    first, second = judged[0].trip, judged[1].trip
+    assert (first.passenger_count, float(first.total_amount), first.trip_duration_seconds) == (2, 12.5, 600)
+    assert (second.passenger_count, second.pickup_location_id, second.trip_distance) == (2, 7, 1.5)
+
+
+def test_consumer_loses_nothing(spark):
+    topic, aside = new_folder(spark, "m"), new_folder(spark, "aside")
+    df = spark.createDataFrame([(None, v) for v, _ in ODD], "key string, value binary")
+    publish(df, topic, 0, "p")
+    facts = FactTable(spark, new_folder(spark, "trips"))
+    tables = RollupTables(spark, new_folder(spark, "rollups"))
+    for number in (0, 0):  # delivered twice
+        jobs.consume(facts, tables, "c", aside)(df, number)
+    kept = spark.read.parquet(aside)
+    assert facts.versions().count() + kept.count() == len(ODD) == df.count()
+    assert kept.filter("unusable IS NULL").count() == 0
+    with pytest.raises(ValueError, match="cannot be stored"):
+        jobs.consume(facts, tables, "c")(df, 1)
+
+
+def test_letters_that_reach_nowhere(spark, tmp_path):
+    (tmp_path / "file").write_text("in the way")
+    zones = zone_dimension(zone_frame(spark))
+    to = jobs.Destinations(
+        new_folder(spark, "m"), letters_folder=str(tmp_path / "file/x"),
+        run_log=new_folder(spark, "runs"), strict=True,
+    )
+    with pytest.raises(RuntimeError, match="folder"):
+        jobs.produce(lambda: zones, to, "p", now(), now())(rides(spark, {}, FAULTS[0]), 0)
+    (log,) = spark.read.parquet(to.run_log).collect()
+    assert log.undelivered == ["folder"] and log.total_rows == 2
+
+
+def test_many_small_batches_leave_few_segments(spark):
+    facts = FactTable(spark, new_folder(spark, "trips"))
+    tables = RollupTables(spark, new_folder(spark, "rollups"))
+    each = jobs.consume(facts, tables, "c", fold_every=5)
+    valid = done(spark, *[{"tip_amount": float(i)} for i in range(1)]).valid
+    for number in range(30):
+        batch = trip_messages(valid.withColumn("trip_id", F.lit(f"t{number % 7}")))
+        each(batch, number)
+    held = [len(s) for spec in rollup.ROLLUPS for s in tables.files(spec).listing().values()]
+    assert max(held) <= 6 and max(map(len, facts.files.listing().values())) <= 6
+    assert facts.current().count() == 7
+    for spec in rollup.ROLLUPS:
+        fresh = rollup.build(facts.current(), spec)
+        stored = tables.read(spec).select(*fresh.columns)
+        assert sorted(map(str, stored.collect())) == sorted(map(str, fresh.collect()))
+
+
+@pytest.mark.parametrize("spec", rollup.ROLLUPS, ids=lambda s: s.name)
+def test_streamed_rollups(spark, spec):
+    days = [datetime(2024, 2, d, 7) for d in (1, 1, 2, 9)]
+    changes = [{"pickup_datetime": d, "dropoff_datetime": d + timedelta(minutes=9 + i)} for i, d in enumerate(days)]
+    source, out = new_folder(spark, "trips"), new_folder(spark, "streamed")
+    valid = done(spark, *changes).valid
+    valid.write.parquet(source)
+    stream = jobs.rollup_stream(spark.readStream.schema(valid.schema).parquet(source), spec, "1 hour")
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", out + "-cp")
+    writer.trigger(availableNow=True).start(out).awaitTermination()
+    want = rollup.build(valid.filter("pickup_datetime < '2024-02-09'"), spec)
+    got = spark.read.schema(stream.schema).parquet(out).select(*want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import plan_of
-from tests.rides import MONEY, RIDE_ID, rides, zone_frame
+from tests.rides import DROPOFF, MONEY, PICKUP, RIDE, RIDE_ID, rides, zone_frame
 from tripline.operators import gate
 from tripline.operators.sizing import Dimension, measure
 from tripline.plans.ingest import process
@@ -40,12 +40,12 @@ def test_valid_trip(spark):
         "Credit card", "Standard", "No",
     )
     assert (trip.pickup_zone, trip.pickup_borough) == ("Midtown Center", "Manhattan")
-    assert trip.trip_duration_seconds == 1800
-    assert float(trip.total_amount) == 19.8
+    assert trip.trip_duration_seconds == (DROPOFF - PICKUP).seconds
+    assert float(trip.total_amount) == RIDE["total_amount"]
 
 
 def test_duration_bounds(spark):
-    start = datetime(2024, 1, 15, 10)
+    start = PICKUP
     changes = [
         {"pickup_datetime": start, "dropoff_datetime": start + timedelta(seconds=s)}
         for s in (0, 1, 86_399, 86_400)
@@ -100,7 +100,7 @@ def test_negative_money(spark, field):
 
 
 def test_rule_order(spark):
-    noon = datetime(2024, 1, 15, 10)
+    noon = PICKUP
     two_negative = {"tip_amount": -1.0, "mta_tax": -2.0}
     money_first = {"fare_amount": -1.0, "dropoff_datetime": noon, "passenger_count": 12.0}
     distance_first = {"trip_distance": -1.0, "fare_amount": -1.0}
@@ -119,7 +119,7 @@ def test_odd_numbers(spark):
         spark,
         {"vendor_id": inf}, {"rate_code_id": inf}, {"tip_amount": nan}, {"tolls_amount": inf},
         {"total_amount": 1e9}, {"trip_distance": nan}, {"trip_distance": None},
-        {"fare_amount": None, "pickup_datetime": datetime(2024, 1, 15, 9)},
+        {"fare_amount": None, "pickup_datetime": PICKUP - timedelta(hours=1)},
         {"vendor_id": nan},
     )
     assert got[:5] == [
@@ -147,11 +147,10 @@ def test_codes_by_type(spark):
 def test_microseconds_in_identity(spark):
     import hashlib
 
-    pickup = datetime(2024, 1, 15, 10, 0, 0, 123456)
+    pickup = PICKUP.replace(microsecond=123456)
     (trip,) = run(spark, {"pickup_datetime": pickup}).valid.collect()
     text = (
-        "Creative Mobile Technologies|2024-01-15T10:00:00.123456+00:00"
-        "|2024-01-15T10:30:00+00:00|161"
+        f"Creative Mobile Technologies|{pickup.isoformat()}+00:00|{DROPOFF.isoformat()}+00:00|161"
     )
     assert trip.trip_id == hashlib.sha256(text.encode()).hexdigest()
 
@@ -161,7 +160,7 @@ def test_gate_lists_every_fault(spark):
         spark,
         {"pickup_datetime": None, "pickup_location_id": 0, "tip_amount": "abc"},
         {"dropoff_location_id": None, "tip_amount": "1.5"},
-        {"dropoff_datetime": datetime(2024, 1, 15, 9), "tip_amount": None},
+        {"dropoff_datetime": PICKUP - timedelta(hours=1), "tip_amount": None},
         {"tip_amount": "2"},
         types={"tip_amount": T.StringType()},
     )
@@ -172,7 +171,7 @@ def test_gate_lists_every_fault(spark):
         "tip_amount: Input should be a valid number, unable to parse string as a number"
     )
     assert got[1] == "dropoff_location_id: Input should be a valid integer"
-    assert got[2].startswith(": Value error, dropoff_datetime (2024-01-15 09:00:00+00:00)")
+    assert got[2].startswith(": Value error, dropoff_datetime (2024-02-20 06:15:00+00:00)")
     assert got[3] is None
 
 
@@ -191,14 +190,29 @@ def test_keep_first_and_counts(spark):
     assert (s.total_rows, s.total_valid, s.total_invalid, s.warn) == (4, 1, 3, True)
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_first_row_is_kept(spark, bounded):
+@pytest.mark.parametrize("staged", [True, False])
+def test_first_row_is_kept(spark, staged):
     tips = [{"tip_amount": float(i)} for i in range(50)]
-    done = run(spark, *tips, bounded_batches=bounded)
+    done = run(spark, *tips)
+    done = done.staged() if staged else done
     assert [float(r.tip_amount) for r in done.valid.collect()] == [0.0]
     assert done.rejected.count() == 49
 
 
+def test_keep_first_shuffles_keys_alone(spark):
+    done = run(spark, {}, {}, {"passenger_count": 12.0})
+    before_join = [p for p in plan_of(done.repeats).split("\n") if "Exchange" in p]
+    assert before_join and not any("fare_amount" in p for p in before_join)
+    broken = plan_of(done._broken)
+    assert "Exchange" not in broken
+    assert "row_order" in plan_of(done.valid)
+
+
+def test_countless_passengers(spark):
+    (got,) = verdicts(spark, {"passenger_count": 1e300})
+    assert got.error_type == "InvalidPassengerCountError" and "1.0E300" in got.error_message
+
+
 def test_one_by_one(spark):
     assert run(spark, {}, {}, one_by_one=True).valid.count() == 2
 

@@ -4,12 +4,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
-from tests.rides import rides, zone_frame
+from tests.rides import RIDE, rides, zone_frame
 from tripline.operators import rollup
 from tripline.operators.staging import new_folder
-from tripline.plans import adhoc
+from tripline.plans import adhoc, dashboard, operations
 from tripline.plans.ingest import process
-from tripline.sinks.tables import FactTable, RollupTables, between, on_days, touched_days
+from tripline.sinks.tables import (
+    FactTable,
+    RollupTables,
+    SegmentedTable,
+    between,
+    on_days,
+    touched_days,
+)
 from tripline.sources.zones import zone_dimension
 
 
@@ -36,27 +43,27 @@ def totals(facts):
 def test_latest_version_and_redelivery(spark, facts):
     first = trips(spark, at(1, tip_amount=1.0), at(2, tip_amount=1.0))
     second = trips(spark, at(2, tip_amount=5.0), at(3, month=2), hour=1)
-    facts.append(first, 0)
+    facts.append(first, 0, "w")
     for _ in range(3):
-        facts.append(second, 1)
-    want = [(1, 1.0), (2, 5.0), (3, 3.0)]
+        facts.append(second, 1, "w")
+    want = [(1, 1.0), (2, 5.0), (3, RIDE["tip_amount"])]
     assert totals(facts) == want
     assert facts.versions().count() == 4
     # an older delivery again does not bring old versions back
-    facts.append(first, 0)
+    facts.append(first, 0, "w")
     assert totals(facts) == want
 
 
 def test_compact(spark, facts):
-    facts.append(trips(spark, at(1, tip_amount=1.0)), 0)
-    facts.append(trips(spark, at(1, tip_amount=2.0), at(5, month=3), hour=1), 1)
+    facts.append(trips(spark, at(1, tip_amount=1.0)), 0, "w")
+    facts.append(trips(spark, at(1, tip_amount=2.0), at(5, month=3), hour=1), 1, "w")
     before = totals(facts)
     facts.compact()
     assert totals(facts) == before
     assert facts.is_settled([202401, 202403])
     assert "Window" not in plan_of(facts.current())
     # a late correction opens the month again, another fold settles it
-    facts.append(trips(spark, at(1, tip_amount=9.0), hour=2), 2)
+    facts.append(trips(spark, at(1, tip_amount=9.0), hour=2), 2, "w")
     assert totals(facts)[0] == (1, 9.0)
     facts.compact()
     assert totals(facts)[0] == (1, 9.0) and facts.is_settled([202401])
@@ -64,13 +71,13 @@ def test_compact(spark, facts):
 
 
 def test_drop_months(spark, facts):
-    facts.append(trips(spark, at(1), at(1, month=2), at(1, month=3)), 0)
+    facts.append(trips(spark, at(1), at(1, month=2), at(1, month=3)), 0, "w")
     assert facts.drop_months(202402) == [202401]
     assert facts.months() == [202402, 202403]
 
 
 def test_time_range_prunes(spark, facts):
-    facts.append(trips(spark, at(1), at(1, month=2), at(1, month=3)), 0)
+    facts.append(trips(spark, at(1), at(1, month=2), at(1, month=3)), 0, "w")
     part = facts.current(between(datetime(2024, 2, 1), datetime(2024, 3, 1)))
     assert [r.pickup_datetime.month for r in part.collect()] == [2]
     plan = plan_of(part)
@@ -80,7 +87,7 @@ def test_time_range_prunes(spark, facts):
 
 def test_many_day_runs(spark, facts):
     changes = [at(d, month=m) for m in (1, 2, 3) for d in range(1, 29)]
-    facts.append(trips(spark, *changes), 0)
+    facts.append(trips(spark, *changes), 0, "w")
     odd = [date(2024, m, d) for m in (1, 2, 3) for d in range(1, 29, 2)]
     few, many = odd[:5], odd
     for days in (few, many):
@@ -97,8 +104,8 @@ def test_rollups_follow_corrections(spark, facts):
     ]
     for number, part in enumerate(deliveries):
         for _ in range(2):  # every delivery arrives twice
-            facts.append(part, number)
-            tables.refresh(facts, touched_days(part), number)
+            facts.append(part, number, "w")
+            tables.refresh(facts, touched_days(part), number, "w")
     kept = {(r.day.day, r.payment_type): r.n for r in tables.read(rollup.PAYMENT).collect()}
     # the day's only credit-card trip became cash: its old key is gone
     assert kept == {(1, "Cash"): 1, (2, "Cash"): 1, (9, "Credit card"): 1}
@@ -117,18 +124,143 @@ def test_rollups_follow_corrections(spark, facts):
 def test_raw_rollups_count_inserts(spark):
     tables = RollupTables(spark, new_folder(spark, "raw"))
     for number in (0, 1, 1):
-        tables.append_raw(trips(spark, at(1)), number, [rollup.DAILY])
+        tables.append_raw(trips(spark, at(1)), number, "w", [rollup.DAILY])
     (row,) = tables.read(rollup.DAILY, raw=True).collect()
     assert row.n == 2
 
 
 def test_adhoc_reports_prune_months(spark, facts):
-    facts.append(trips(spark, *[at(d, month=m) for m in (1, 2, 3) for d in (1, 2, 3)]), 0)
+    facts.append(trips(spark, *[at(d, month=m) for m in (1, 2, 3) for d in (1, 2, 3)]), 0, "w")
     as_of = datetime(2024, 2, 3, 12)
     report = adhoc.vendor_comparison(facts.current(), as_of)
     assert [r.trips for r in report.collect()] == [3]
     assert "pickup_month" in plan_of(report).split("PartitionFilters: [")[1].split("]")[0]
     (fares,) = adhoc.fare_distribution(facts.current(), as_of).collect()
-    assert (fares.q50, fares.min_fare, fares.max_fare, fares.avg_fare) == (19.8,) * 4
+    assert (fares.q50, fares.min_fare, fares.max_fare, fares.avg_fare) == (RIDE["total_amount"],) * 4
     assert adhoc.peak_hours(facts.current(), as_of, 1).collect()[0].trips == 2
     assert adhoc.distance_distribution(facts.current(), as_of).first().distance_bucket == "3-5 miles"
+
+
+def test_jobs_share_a_table(spark, facts):
+    """Equal numbers of two jobs, and of a job started anew, are different deliveries."""
+    tables = RollupTables(spark, new_folder(spark, "rollups"))
+
+    def deliver(part, number, writer):
+        facts.append(part, number, writer)
+        tables.refresh(facts, touched_days(part), number, writer)
+
+    deliver(trips(spark, at(1)), 0, "a")
+    deliver(trips(spark, at(2)), 0, "b")
+    deliver(trips(spark, at(3)), 5, "a")
+    deliver(trips(spark, at(3, vendor_id=2.0), hour=1), 0, "a-again")
+    assert [d for d, _ in totals(facts)] == [1, 2, 3, 3]
+    kept = {r.day.day: r.n for r in tables.read(rollup.PAYMENT).collect()}
+    assert kept == {1: 1, 2: 1, 3: 2}
+
+
+def test_redelivery_with_fewer_months(spark, facts):
+    facts.append(trips(spark, at(1), at(1, month=2)), 1, "w")
+    facts.append(trips(spark, at(1)), 1, "w")
+    assert facts.months() == [202401]
+    facts.append(trips(spark, at(1)).limit(0), 1, "w")
+    assert facts.months() == [] and facts.current().count() == 0
+    tables = RollupTables(spark, new_folder(spark, "raw"))
+    for part in (trips(spark, at(1), at(1, month=2)), trips(spark, at(1)), trips(spark, at(1)).limit(0)):
+        tables.append_raw(part, 1, "w", [rollup.DAILY])
+    assert tables.read(rollup.DAILY, raw=True).count() == 0
+
+
+def test_empty_tables(spark, facts):
+    tables = RollupTables(spark, new_folder(spark, "rollups"))
+    assert facts.current().count() == facts.versions().count() == 0
+    assert all(tables.read(spec).count() == 0 for spec in rollup.ROLLUPS)
+    facts.append(trips(spark, at(1)), 0, "w")
+    facts.drop_months(202501)
+    assert facts.current().count() == 0
+
+
+def test_missing_pickup_and_foreign_folders(spark, facts):
+    facts.append(trips(spark, at(1)), 0, "w")
+    lost = trips(spark, at(1)).withColumn("pickup_datetime", F.lit(None).cast("timestamp"))
+    with pytest.raises(Exception, match="without a pickup time"):
+        facts.append(lost, 1, "w")
+    spark.range(1).write.parquet(f"{facts.files.path}/pickup_month=__HIVE_DEFAULT_PARTITION__/segment=x")
+    assert facts.months() == [202401]
+
+
+def test_amounts_are_never_zeroed(spark, facts):
+    large = trips(spark, at(1)).withColumn("total_amount", F.lit(1e8))
+    with pytest.raises(Exception, match="total_amount cannot hold"):
+        facts.append(large, 0, "w")
+
+
+def test_fold_cut_short(spark, facts, monkeypatch):
+    """Deleting fails half-way: readers and a second fold still give the same totals."""
+    tables = RollupTables(spark, new_folder(spark, "rollups"))
+    for number in range(3):
+        part = trips(spark, at(1, vendor_id=float(number)), at(2, month=2), hour=number)
+        facts.append(part, number, "w")
+        tables.refresh(facts, touched_days(part), number, "w")
+    want = sorted(map(str, tables.read(rollup.DAILY).collect()))
+    before = totals(facts)
+    real, calls = SegmentedTable._delete, []
+
+    def fails(self, path):
+        calls.append(path)
+        if len(calls) > 1:
+            raise OSError("gone")
+        real(self, path)
+
+    monkeypatch.setattr(SegmentedTable, "_delete", fails)
+    for fold in (lambda: tables.compact([rollup.DAILY]), facts.compact):
+        calls.clear()
+        with pytest.raises(OSError):
+            fold()
+    assert sorted(map(str, tables.read(rollup.DAILY).collect())) == want
+    assert totals(facts) == before
+    monkeypatch.setattr(SegmentedTable, "_delete", real)
+    tables.compact([rollup.DAILY])
+    facts.compact()
+    assert sorted(map(str, tables.read(rollup.DAILY).collect())) == want
+    assert totals(facts) == before and facts.is_settled([202401, 202402])
+
+
+def test_redelivery_cut_short(spark, monkeypatch):
+    tables = RollupTables(spark, new_folder(spark, "raw"))
+    monkeypatch.setattr(SegmentedTable, "_delete", lambda self, path: None)
+    for _ in range(2):
+        tables.append_raw(trips(spark, at(1)), 0, "w", [rollup.DAILY])
+    (row,) = tables.read(rollup.DAILY, raw=True).collect()
+    assert row.n == 1
+
+
+@pytest.mark.parametrize("as_of", [datetime(2024, 2, 3, 12), datetime(2024, 1, 1, 5)])
+def test_reports_prune_themselves(spark, facts, as_of):
+    tables = RollupTables(spark, new_folder(spark, "rollups"))
+    part = trips(spark, *[at(d, month=m) for m in (1, 2, 3) for d in (1, 2, 3)])
+    facts.append(part, 0, "w")
+    tables.refresh(facts, touched_days(part), 0, "w")
+    for report in (
+        dashboard.hourly_volume, dashboard.daily_summary, dashboard.borough_breakdown,
+        dashboard.borough_flow, dashboard.payment_mix, dashboard.top_zones,
+    ):
+        plan = plan_of(report(tables, as_of))
+        assert "rollup_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+        assert "GreaterThanOrEqual(hour" in pushed or "GreaterThanOrEqual(day" in pushed
+    expected = {datetime(2024, 2, 3, 12): 3, datetime(2024, 1, 1, 5): 1}[as_of]
+    assert sum(r.trips for r in dashboard.payment_mix(tables, as_of).collect()) >= expected
+
+
+def test_batch_rows_and_recent_batches(spark, facts):
+    first = trips(spark, at(1), at(2, month=2)).withColumn("batch_id", F.lit("b1"))
+    second = trips(spark, at(1), hour=1).withColumn("batch_id", F.lit("b2"))
+    facts.append(first, 0, "w")
+    facts.append(second, 1, "w")
+    rows = operations.rows_of_batch(facts.versions(), "b1")
+    assert [r.pickup_datetime.day for r in rows.collect()] == [2]
+    assert "EqualTo(batch_id,b1)" in plan_of(rows)
+    stored = datetime(2024, 6, 1, 0, 30)
+    recent = operations.recent_batches(facts, stored)
+    assert sorted((r.batch_id, r.rows) for r in recent.collect()) == [("b1", 2), ("b2", 1)]
+    assert "file_modification_time" in plan_of(recent)

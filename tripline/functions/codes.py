@@ -65,15 +65,22 @@ def rate_label(col: Column, dtype: T.DataType) -> Column:
 
 
 def passengers(col: Column, dtype: T.DataType) -> Column:
-    """Passenger count; one where the count is missing, unreadable or not positive."""
-    if isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-        # counts beyond the long range stay large instead of turning null
-        held = col.cast("double")
-        count = F.when(~F.isnan(held) & (held > 1e15), F.lit(1e15)).otherwise(held)
-        count = count.try_cast("bigint")
-    else:
-        count = whole_number(col, dtype)
-    return F.when(count > 0, count).otherwise(F.lit(1).cast("bigint"))
+    """Passenger count; one where the count is missing, unreadable or not positive.
+
+    Null for a floating-point count beyond the long range: see ``countless``.
+    """
+    floating = isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType))
+    count = col.cast("double").try_cast("bigint") if floating else whole_number(col, dtype)
+    one = F.when(~countless(col, dtype), F.lit(1).cast("bigint"))
+    return F.when(count > 0, count).otherwise(one)
+
+
+def countless(col: Column, dtype: T.DataType) -> Column:
+    """True for a floating-point count that no whole number of 64 bits holds."""
+    if not isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
+        return F.lit(False)
+    held = col.cast("double")
+    return F.coalesce(~F.isnan(held) & (held >= float(2**63)), F.lit(False))
 
 
 def flag_label(col: Column) -> Column:

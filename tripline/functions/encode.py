@@ -41,12 +41,13 @@ def json_lines(df: DataFrame) -> DataFrame:
 
 def readable_size(n: Column) -> Column:
     """Bytes with a binary unit and two decimals."""
-    return _scaled(n, 1024, ["B", "KiB", "MiB", "GiB", "TiB", "PiB"], " ")
+    return _scaled(n, 1024, "B KiB MiB GiB TiB PiB EiB ZiB YiB".split(), " ")
 
 
 def readable_quantity(n: Column) -> Column:
     """A count with a decimal unit and two decimals."""
-    return _scaled(n, 1000, ["", "thousand", "million", "billion", "trillion"], " ")
+    units = "thousand million billion trillion quadrillion quintillion".split()
+    return _scaled(n, 1000, ["", *units], " ")
 
 
 def _scaled(n: Column, base: int, units: list[str], gap: str) -> Column:
@@ -56,5 +57,5 @@ def _scaled(n: Column, base: int, units: list[str], gap: str) -> Column:
 
     chain = F.when(n < base, text(0))
     for power in range(1, len(units) - 1):
-        chain = chain.when(n < base ** (power + 1), text(power))
+        chain = chain.when(n < F.lit(float(base ** (power + 1))), text(power))
     return chain.otherwise(text(len(units) - 1))

@@ -9,39 +9,35 @@ from pyspark.sql import functions as F
 TRIP_KEY = ["pickup_datetime", "vendor_id", "trip_id"]
 
 
+def later_rows(
+    df: DataFrame, keys: list[str], order: str, competes: Column, position: list[str]
+) -> DataFrame:
+    """Positions of competing rows that are not the first of their key.
+
+    Works on keys and positions alone. The first of a key is a partial ``min``, so a
+    hot key costs one row per task; the firsts are then taken out by ``position``, which
+    no two rows share, never by the key.
+    """
+    narrow = list(dict.fromkeys([*keys, *position]))
+    rows = df.filter(competes).select(*narrow)
+    ranked = list(dict.fromkeys([order, *position]))
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("_first"))
+    return rows.select(*position).join(first.select("_first.*").select(*position), position, "left_anti")
+
+
 def mark_repeats(
-    df: DataFrame, keys: list[str], order: str, competes: Column, spread: int = 0
+    df: DataFrame, keys: list[str], order: str, competes: Column, position: list[str]
 ) -> DataFrame:
     """Add boolean ``repeat``: a competing row that is not the first of its key.
 
-    With keys bounded by a batch of bounded size, one window does it
-    (``spread=0``). For keys that may repeat without bound, the rows of a key
-    are first ranked in ``spread`` slices; only the first of each slice meets
-    the others, so no task holds a whole hot key. Rows that do not compete, and
-    rows already beaten within their slice, are dealt out by their own order.
+    ``position`` tells every row from every other. Only competing rows are joined, with
+    the positions of the repeats; the others are passed through where they lie.
     """
-    competing = df.withColumn("_plays", F.coalesce(competes, F.lit(False)))
-    if not spread:
-        group = Window.partitionBy(*keys, "_plays").orderBy(order)
-        ranked = competing.withColumn("_rank", F.row_number().over(group))
-        return ranked.withColumn("repeat", F.col("_plays") & (F.col("_rank") > 1)).drop(
-            "_plays", "_rank"
-        )
-    own_key = [F.when(F.col("_plays"), F.col(k)) for k in keys]
-    slice_no = F.pmod(F.xxhash64(order), F.lit(spread))
-    lone = F.xxhash64(order)
-    in_slice = Window.partitionBy(
-        *own_key, F.when(F.col("_plays"), slice_no).otherwise(lone)
-    ).orderBy(order)
-    first = competing.withColumn("_leads", F.col("_plays") & (F.row_number().over(in_slice) == 1))
-    among_leaders = Window.partitionBy(
-        *[F.when(F.col("_leads"), F.col(k)) for k in keys], F.when(~F.col("_leads"), lone)
-    ).orderBy(order)
-    ranked = first.withColumn("_rank", F.row_number().over(among_leaders))
-    first_of_all = F.col("_leads") & (F.col("_rank") == 1)
-    return ranked.withColumn("repeat", F.col("_plays") & ~first_of_all).drop(
-        "_plays", "_leads", "_rank"
-    )
+    plays = F.coalesce(competes, F.lit(False))
+    later = later_rows(df, keys, order, plays, position).withColumn("_later", F.lit(True))
+    marked = df.filter(plays).join(later, position, "left")
+    marked = marked.select(*df.columns, F.coalesce("_later", F.lit(False)).alias("repeat"))
+    return marked.unionByName(df.filter(~plays).withColumn("repeat", F.lit(False)))
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -61,12 +61,15 @@ def bucket(spec: RollupSpec, ts: Column | None = None) -> Column:
     return F.date_trunc("hour", ts) if spec.grain == "hour" else F.to_date(ts)
 
 
+def components(spec: RollupSpec) -> list[Column]:
+    """The count and sums kept for each group of a rollup."""
+    sums = [F.sum(m).cast(SUM_TYPES[m]).alias(f"sum_{m}") for m in spec.sums]
+    return [F.count("*").alias("n"), *sums]
+
+
 def build(trips: DataFrame, spec: RollupSpec) -> DataFrame:
     """Components of one rollup from trips; one partial-aggregated shuffle."""
-    return trips.groupBy(bucket(spec).alias(spec.grain), *spec.keys).agg(
-        F.count("*").alias("n"),
-        *[F.sum(m).cast(SUM_TYPES[m]).alias(f"sum_{m}") for m in spec.sums],
-    )
+    return trips.groupBy(bucket(spec).alias(spec.grain), *spec.keys).agg(*components(spec))
 
 
 def merge(

@@ -237,7 +237,8 @@ def _trip_rules(types: dict[str, T.DataType], now: Column) -> list[Rule]:
         times.parse_timestamp(F.col(n), types[n]) for n in ["pickup_datetime", "dropoff_datetime"]
     )
     seconds = times.duration_seconds(pickup, dropoff)
-    count = codes.passengers(F.col("passenger_count"), types["passenger_count"])
+    told = (F.col("passenger_count"), types["passenger_count"])
+    count, beyond = codes.passengers(*told), codes.countless(*told)
     shown = times.iso_text(pickup, " ")
 
     def pickup_message(reason: str) -> Column:
@@ -258,12 +259,12 @@ def _trip_rules(types: dict[str, T.DataType], now: Column) -> list[Rule]:
         ),
         Rule(
             "passengers",
-            count > MAX_PASSENGERS,
+            beyond | (count > MAX_PASSENGERS),
             "validation",
             "InvalidPassengerCountError",
             F.concat(
                 F.lit("Passenger count "),
-                count.cast("string"),
+                F.when(beyond, told[0].cast("string")).otherwise(count.cast("string")),
                 F.lit(" is invalid. Must be between 1 and 9."),
             ),
             knows_trip=True,

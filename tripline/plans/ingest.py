@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripline.functions import codes, identity, times, values
-from tripline.operators.dedup import mark_repeats
+from tripline.operators.dedup import later_rows
 from tripline.operators.enrich import add_zones
 from tripline.operators.rules import Rule, describe, first_broken, knows_trip, position, trip_rules
 from tripline.operators.sizing import Dimension
 from tripline.operators.staging import Scratch, stage
 from tripline.schema import MONEY_FIELDS, RAW_COLUMNS, TRIPS, complete_raw, raw_types
 
-#: Slices for a batch whose size nothing bounds.
-OPEN_BATCH_SPREAD = 64
+#: What tells a record from every other.
+POSITION = ["batch_id", "row_order"]
 
 REJECTED = 0.10  # fixed value: a run above this reject rate is worth a warning
 
@@ -25,33 +25,66 @@ REJECTED = 0.10  # fixed value: a run above this reject rate is worth a warning
 class Processed:
     """Judged records and the two outputs derived from them.
 
-    ``judged`` holds the raw record, its provenance, ``trip_id`` and ``failure``
-    (position of the broken rule, 0 for accepted). Call ``staged`` before using
-    more than one output, so that the records are read and shuffled once.
+    ``records`` holds the raw record, its provenance, ``trip_id`` and ``failure``
+    (position of the broken rule, 0 for none); ``repeats`` the positions of those that
+    broke no rule but repeat a trip of their batch. Call ``staged`` before using more
+    than one output, so that the records are read and judged once.
     """
 
-    judged: DataFrame
+    records: DataFrame
+    repeats: DataFrame | None
     rules: list[Rule]
     zones: Dimension
     ingested_at: Column
     keep: tuple[str, ...] = ()
 
     def staged(self, scratch: Scratch | None = None) -> Processed:
-        done = stage(self.judged, "judged", scratch)
-        return Processed(done, self.rules, self.zones, self.ingested_at, self.keep)
+        """Records are written as they were judged, unshuffled; repeats are few columns."""
+        done = replace(self, records=stage(self.records, "judged", scratch))
+        if self.repeats is None:
+            return done
+        return replace(done, repeats=stage(repeats(done.records), "repeats", scratch))
+
+    @property
+    def _broken(self) -> DataFrame:
+        return self.records.filter("failure > 0")
+
+    def _sound(self, how: str) -> DataFrame:
+        """Records that broke no rule, with (semi) or without (anti) a first in their batch."""
+        sound = self.records.filter("failure = 0")
+        return sound if self.repeats is None else sound.join(self.repeats, POSITION, how)
+
+    @property
+    def _repeated(self) -> DataFrame:
+        code = F.lit(position(self.rules, "duplicate"))
+        columns = self.records.columns
+        return self._sound("left_semi").withColumn("failure", code).select(*columns)
+
+    @property
+    def judged(self) -> DataFrame:
+        """All records; repeats carry the position of the duplicate rule as ``failure``."""
+        if self.repeats is None:
+            return self.records
+        firsts = self._sound("left_anti").select(*self.records.columns)
+        return self._broken.unionByName(firsts).unionByName(self._repeated)
 
     @property
     def valid(self) -> DataFrame:
         """Accepted trips with their 28 fields (and the ``keep`` columns)."""
-        good = self.judged.filter("failure = 0")
+        good = self._sound("left_anti")
         return add_zones(build_trips(good, self.ingested_at, self.keep), self.zones).select(
             *TRIPS.names, *self.keep
         )
 
     @property
     def rejected(self) -> DataFrame:
-        """Rejected records with stage, error type and message."""
-        bad = self.judged.filter("failure > 0")
+        """Rejected records with stage, error type and message.
+
+        Those that broke a rule are not shuffled; repeats are picked out by position.
+        """
+        bad = self._broken
+        if self.repeats is not None:
+            bad = bad.unionByName(self._repeated)
         return bad.select(
             *RAW_COLUMNS,
             "source_file",
@@ -126,11 +159,23 @@ def identify(records: DataFrame) -> Column:
 
 
 def judge(records: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Add ``failure`` and ``trip_id`` (null where a rule broke before it was known)."""
+    """Add ``failure`` and ``trip_id`` (null where a rule broke before it was known).
+
+    Both come out of a one-element array: a filter on them is not pushed below it, where
+    it would repeat the rules.
+    """
     failed = first_broken(records, rules)
-    return failed.withColumn(
-        "trip_id", F.when(knows_trip(rules, F.col("failure")), identify(records))
-    )
+    known = F.when(knows_trip(rules, F.col("failure")), identify(records))
+    verdict = F.struct("failure", known.alias("trip_id"))
+    return failed.select(
+        *[F.col(c) for c in records.columns], F.explode(F.array(verdict)).alias("_verdict")
+    ).select(*records.columns, "_verdict.failure", "_verdict.trip_id")
+
+
+def repeats(records: DataFrame) -> DataFrame:
+    """Positions of sound records whose trip came earlier in their batch."""
+    sound = F.col("failure") == 0
+    return later_rows(records, ["batch_id", "trip_id"], "row_order", sound, POSITION)
 
 
 def process(
@@ -139,34 +184,22 @@ def process(
     now: Column | None = None,
     ingested_at: Column | None = None,
     schema_gate: bool = True,
-    bounded_batches: bool = True,
     keep: tuple[str, ...] = (),
     one_by_one: bool = False,
 ) -> Processed:
     """Judge raw records and split them into trips and rejections.
 
     ``records`` carry ``source_file``, ``batch_id`` and a ``row_order`` that is
-    unique and rising within a batch. ``now`` is the clock of the future-pickup
-    rule. ``bounded_batches=False`` says that a batch may be of any size.
-    ``one_by_one`` treats every record as its own batch.
+    unique and rising within a batch, of whatever size it is. ``now`` is the clock of
+    the future-pickup rule. ``one_by_one`` treats every record as its own batch.
     """
     now = F.current_timestamp() if now is None else now
     records, missing = complete_raw(records)
     rules = trip_rules(raw_types(records), missing, now, schema_gate)
     judged = judge(records, rules)
-    if not one_by_one:
-        judged = mark_repeats(
-            judged,
-            ["batch_id", "trip_id"],
-            "row_order",
-            F.col("failure") == 0,
-            spread=0 if bounded_batches else OPEN_BATCH_SPREAD,
-        )
-        repeat = position(rules, "duplicate")
-        judged = judged.withColumn(
-            "failure", F.when(F.col("repeat"), F.lit(repeat)).otherwise(F.col("failure"))
-        ).drop("repeat")
-    return Processed(judged, rules, zones, now if ingested_at is None else ingested_at, keep)
+    again = None if one_by_one else repeats(judged)
+    clock = now if ingested_at is None else ingested_at
+    return Processed(judged, again, rules, zones, clock, keep)
 
 
 def run_log(done: Processed, started_at: Column, ended_at: Column) -> DataFrame:

@@ -16,22 +16,17 @@ def trip_messages(trips: DataFrame) -> DataFrame:
     return trips.select(key.alias("key"), json_text(fields).cast("binary").alias("value"))
 
 
-def publish(messages: DataFrame, location: str, sequence: int = 0, fmt: str = "parquet", **options):
+def publish(
+    messages: DataFrame, location: str, sequence: int, writer: str, fmt: str = "parquet", **options
+) -> None:
     """Send a batch of messages.
 
     With ``fmt="kafka"`` the location is the topic and keys choose the broker
-    partition. A file location holds one folder per sequence number, replaced
-    when that number is sent again.
+    partition. A file location holds one folder per writer and sequence number, replaced
+    as a whole when the writer sends that number again, also by nothing.
     """
     if fmt == "kafka":
         messages.write.format("kafka").option("topic", location).options(**options).save()
         return
-    (
-        messages.withColumn("delivery", F.lit(sequence))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("delivery")
-        .format(fmt)
-        .options(**options)
-        .save(location)
-    )
+    folder = f"{location}/writer={writer}/delivery={sequence}"
+    messages.write.mode("overwrite").format(fmt).options(**options).save(folder)

@@ -1,11 +1,15 @@
 """Fact and rollup tables on plain Parquet, partitioned by month and segment.
 
-Every delivery is written as a *segment* of each month it touches. Writing a
-delivery again replaces its own segments and nothing else, so redelivery is
-harmless and no stored data is rewritten for an insert. Readers pick the latest
-version of what they read; ``fold`` writes a month's latest versions as one
-segment, after which reading needs no picking. One writer at a time, any number
-of readers.
+Every delivery is written as a *segment* of each month it touches, named after its
+writer, its number and a number of the table's own that grows with every write.
+Nothing stored is ever overwritten: a delivery that comes again is written beside
+its first copy, which is deleted afterwards, so jobs, restarted jobs and redelivery
+never destroy each other's rows. Readers pick the latest version of what they read,
+and agree whether or not superseded segments are still there. ``fold`` writes a
+month's latest versions as one segment, after which reading needs no picking.
+
+Any number of writers and readers; only one of them should fold. A reader whose plan
+was made before a fold or a redelivery deleted files fails and has to be run again.
 """
 
 from __future__ import annotations
@@ -14,71 +18,125 @@ import re
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripline.functions.times import month_of
 from tripline.operators.dedup import TRIP_KEY, latest
-from tripline.operators.rollup import ROLLUPS, RollupSpec, build, merge
+from tripline.operators.rollup import ROLLUPS, SUM_TYPES, RollupSpec, build, merge
 from tripline.operators.staging import Scratch, stage
 from tripline.schema import TRIPS
-from tripline.sources.messages import fact_value
+from tripline.sources.messages import as_stored
 
 #: Greatest wins; the batch only settles ties, a batch holds a trip once.
 VERSION_ORDER = ["ingested_at", "write_seq", "batch_id"]
 
 FOLDED = re.compile(r"^folded-(\d+)$")
+DELIVERY = re.compile(r"^delivery\.([A-Za-z0-9_-]+)\.(\d+)\.(\d+)$")
 
 #: Columns the rollups are built from.
 ROLLUP_INPUT = sorted(
     {"pickup_datetime"} | {c for r in ROLLUPS for c in (*r.keys, *r.sums)}
 )
 
-#: Separate runs of days beyond which a scan tests a set of days instead.
-MAX_DAY_RUNS = 32
+
+class Delivery(NamedTuple):
+    """One writer's numbered delivery, and the table's number for this writing of it."""
+
+    writer: str
+    sequence: int
+    attempt: int
+
+    @property
+    def segment(self) -> str:
+        return f"delivery.{self.writer}.{self.sequence:012d}.{self.attempt:012d}"
+
+    @classmethod
+    def of(cls, segment: str) -> Delivery | None:
+        found = DELIVERY.match(segment)
+        return cls(found[1], int(found[2]), int(found[3])) if found else None
 
 
 class SegmentedTable:
     """Parquet files below ``path/month=yyyyMM/segment=name``."""
 
-    def __init__(self, spark: SparkSession, path: str, month: str):
+    def __init__(self, spark: SparkSession, path: str, month: str, columns: T.StructType):
         self.spark, self.path, self.month = spark, path, month
+        self.schema = T.StructType(
+            [
+                *columns,
+                T.StructField(month, T.IntegerType()),
+                T.StructField("segment", T.StringType()),
+            ]
+        )
 
     def _fs(self, path: str):
         where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
 
-    def _children(self, path: str, prefix: str) -> list[str]:
-        fs, where = self._fs(path)
-        if not fs.exists(where):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(where)]
-        return sorted(n[len(prefix) :] for n in names if n.startswith(prefix))
-
     def _delete(self, path: str) -> None:
         fs, where = self._fs(path)
         fs.delete(where, True)
 
+    def _names(self, pattern: str) -> list[str]:
+        fs, where = self._fs(f"{self.path}/{pattern}")
+        return [str(s.getPath()) for s in fs.globStatus(where) or []]
+
+    def listing(self) -> dict[int, list[str]]:
+        """Segments by month, from one listing. Foreign folders are passed over."""
+        held: dict[int, list[str]] = {}
+        for name in self._names(f"{self.month}=*/segment=*"):
+            month, segment = name.rsplit("/", 2)[1:]
+            if (number := month.split("=", 1)[1]).isdigit():
+                held.setdefault(int(number), []).append(segment.split("=", 1)[1])
+        return {m: sorted(held[m]) for m in sorted(held)}
+
     def months(self) -> list[int]:
-        return [int(m) for m in self._children(self.path, f"{self.month}=")]
+        return list(self.listing())
 
-    def segments(self, month: int) -> list[str]:
-        return self._children(f"{self.path}/{self.month}={month}", "segment=")
+    def settled_months(self) -> list[int]:
+        """Months of one folded segment: it holds every row of the month once."""
+        return [m for m, held in self.listing().items() if _is_settled(held)]
 
-    def settled(self, month: int) -> bool:
-        """One folded segment: holds every row of the month once."""
-        held = self.segments(month)
-        return len(held) == 1 and bool(FOLDED.match(held[0]))
+    def number(self) -> int:
+        """A number no other write to this table has had, greater than all before.
+
+        Claimed by creating a file, which only one claimant can.
+        """
+        while True:
+            taken = [int(n.rsplit("/", 1)[1]) for n in self._names("_numbers/*")]
+            mine = max(taken, default=0) + 1
+            fs, where = self._fs(f"{self.path}/_numbers/{mine:012d}")
+            if fs.createNewFile(where):
+                for old in taken:
+                    if old < mine - 1000:
+                        self._delete(f"{self.path}/_numbers/{old:012d}")
+                return mine
+
+    def version(self, writer: str, sequence: int, number: int) -> int:
+        """The number under which a delivery first came: ``number`` if it is new."""
+        stem = f"_deliveries/{writer}.{sequence:012d}"
+        known = self._names(f"{stem}.*")
+        if known:
+            return min(int(n.rsplit(".", 1)[1]) for n in known)
+        fs, where = self._fs(f"{self.path}/{stem}.{number:012d}")
+        fs.createNewFile(where)
+        return number
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        """All rows of all segments; an empty frame before the first write."""
+        if not self.listing():
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
     def of_months(self, months: list[int]) -> DataFrame:
         return self.read().filter(F.col(self.month).isin(months))
 
     def write(self, rows: DataFrame, segment: str, order: list[str]) -> None:
-        """Replace one segment of each month in ``rows``.
+        """Add one segment to each month in ``rows``.
 
         The rebalance splits a hot month over several files and joins up small ones.
         """
@@ -86,12 +144,25 @@ class SegmentedTable:
             rows.withColumn("segment", F.lit(segment))
             .hint("rebalance", F.col(self.month))
             .sortWithinPartitions(self.month, "segment", *order)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .write.mode("append")
             .partitionBy(self.month, "segment")
             .parquet(self.path)
         )
 
+    def deliver(self, rows: DataFrame, delivery: Delivery, order: list[str]) -> None:
+        """Write a delivery; earlier writings of it go, in whatever months they lie."""
+        self.write(rows, delivery.segment, order)
+        for month, held in self.listing().items():
+            for segment in held:
+                if _replaced(segment, delivery):
+                    self._delete(f"{self.path}/{self.month}={month}/segment={segment}")
+
+    def superseded(self) -> list[str]:
+        """Segments of deliveries that have come again since and were not deleted yet."""
+        every = {s for held in self.listing().values() for s in held}
+        deliveries = [d for d in map(Delivery.of, every) if d]
+        return sorted(s for s in every if any(_replaced(s, d) for d in deliveries))
+
     def fold(
         self,
         pick: Callable[[DataFrame], DataFrame],
@@ -100,16 +171,16 @@ class SegmentedTable:
     ) -> None:
         """Write what ``pick`` leaves of the given months as one segment each.
 
-        One job for all months. The new segments are complete before the old ones
-        go, and readers give the same answer while both are there.
+        One job for all months. The new segments are complete before the old ones go;
+        ``pick`` must give the same answer while any of the old ones are still there.
         """
-        chosen = self.months() if months is None else months
-        old = {m: self.segments(m) for m in chosen if not self.settled(m)}
+        every = self.listing()
+        chosen = every if months is None else months
+        old = {m: every[m] for m in chosen if m in every and not _is_settled(every[m])}
         if not old:
             return
-        folds = [int(f.group(1)) for held in old.values() for f in map(FOLDED.match, held) if f]
         # a new number each time: no segment is read and overwritten at once
-        name = f"folded-{max(folds, default=0) + 1:012d}"
+        name = f"folded-{self.number():012d}"
         self.write(pick(self.of_months(list(old))).drop("segment"), name, order)
         for month, held in old.items():
             for segment in held:
@@ -123,26 +194,45 @@ class SegmentedTable:
         return gone
 
 
-def delivery_name(sequence: int) -> str:
-    return f"delivery-{sequence:012d}"
+def _is_settled(held: list[str]) -> bool:
+    return len(held) == 1 and bool(FOLDED.match(held[0]))
+
+
+def _replaced(segment: str, by: Delivery) -> bool:
+    """An earlier writing of the same delivery."""
+    own = Delivery.of(segment)
+    return own is not None and own[:2] == by[:2] and own.attempt < by.attempt
 
 
 def as_fact(df: DataFrame) -> DataFrame:
-    """Typed fact rows from trip columns in any of their forms."""
-    return df.select(*[fact_value(f, df.schema[f.name].dataType) for f in TRIPS])
+    """Typed fact rows from trip columns in any of their forms.
+
+    Absent money and passenger counts are 0; a value its column cannot hold is an error.
+    """
+    return df.select(*[as_stored(f, df.schema[f.name].dataType) for f in TRIPS])
 
 
 class FactTable:
     """Trips below one folder."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.files = SegmentedTable(spark, path, "pickup_month")
+        columns = T.StructType([*TRIPS, T.StructField("write_seq", T.LongType())])
+        self.files = SegmentedTable(spark, path, "pickup_month", columns)
+
+    def append(self, trips: DataFrame, sequence: int, writer: str) -> None:
+        """Store one delivery. The same writer's same number again replaces it.
 
-    def append(self, trips: DataFrame, sequence: int) -> None:
-        """Store one delivery. The same sequence number again replaces it."""
-        rows = as_fact(trips).withColumn("write_seq", F.lit(sequence).cast("bigint"))
-        rows = rows.withColumn("pickup_month", month_of(F.col("pickup_datetime")))
-        self.files.write(rows, delivery_name(sequence), TRIP_KEY)
+        ``write_seq`` is the table's own number for the delivery, from when it first
+        came. A trip without a pickup time has no month to lie in and raises an error:
+        see ``sources.messages.sorted_trips`` for a place to keep such rows.
+        """
+        number = self.files.number()
+        version = self.files.version(writer, sequence, number)
+        rows = as_fact(trips).withColumn("write_seq", F.lit(version).cast("bigint"))
+        without = F.raise_error(F.lit("a trip without a pickup time cannot be stored"))
+        pickup = F.coalesce("pickup_datetime", without.cast("timestamp"))
+        rows = rows.withColumn("pickup_month", month_of(pickup))
+        self.files.deliver(rows, Delivery(writer, sequence, number), TRIP_KEY)
 
     def compact(self, months: list[int] | None = None) -> None:
         """Keep only the latest version of every trip in the given months."""
@@ -168,9 +258,9 @@ class FactTable:
         ``where`` may use only key columns (pickup time, vendor, trip id, month):
         filtering others before choosing versions would change the choice.
         """
-        months = self.months()
-        settled = [m for m in months if self.files.settled(m)]
-        unsettled = [m for m in months if m not in settled]
+        listing = self.files.listing()
+        settled = [m for m, held in listing.items() if _is_settled(held)]
+        unsettled = [m for m in listing if m not in settled]
         parts = []
         if settled:
             part = self.files.of_months(settled)
@@ -182,7 +272,19 @@ class FactTable:
         return out.select(*TRIPS.names, "write_seq", "pickup_month")
 
     def is_settled(self, months: Iterable[int]) -> bool:
-        return all(self.files.settled(m) for m in months)
+        return set(months) <= set(self.files.settled_months())
+
+    def written_since(self, since: Column) -> DataFrame:
+        """Stored rows with ``ingested_at`` at or after ``since``, superseded ones too.
+
+        Files written more than a day before are not opened: rows are stored after they
+        were ingested, and a day allows for clocks that differ.
+        """
+        changed = F.col("_metadata.file_modification_time")
+        fresh = self.files.read()
+        if self.months():
+            fresh = fresh.filter(changed >= since - F.expr("INTERVAL '1' DAY"))
+        return fresh.filter(F.col("ingested_at") >= since).drop("segment")
 
     def statistics(self) -> DataFrame:
         """Rows, bytes and newest file time per month, from files and footers alone."""
@@ -213,42 +315,25 @@ def between(low: datetime, high: datetime) -> Column:
     )
 
 
-def day_runs(days: list[date]) -> list[tuple[date, date]]:
-    """Sorted days as inclusive runs of consecutive days."""
-    runs: list[tuple[date, date]] = []
-    for day in sorted(days):
-        if runs and (day - runs[-1][1]).days == 1:
-            runs[-1] = (runs[-1][0], day)
-        else:
-            runs.append((day, day))
-    return runs
-
-
 def on_days(days: list[date]) -> Column:
-    """Pickup on one of the days, in a form the scan can prune by.
-
-    A few runs of days become time ranges; many become one range and a day set.
-    """
+    """Pickup on one of the days: months prune folders, the range from first to last day
+    row groups, and the set of days the rows."""
     months = sorted({d.year * 100 + d.month for d in days})
-    runs = day_runs(days)
-
-    def within(first: date, last: date) -> str:
-        after = last + timedelta(days=1)
-        return (
-            f"(pickup_datetime >= TIMESTAMP '{first} 00:00:00'"
-            f" AND pickup_datetime < TIMESTAMP '{after} 00:00:00')"
-        )
-
-    if len(runs) <= MAX_DAY_RUNS:
-        test = " OR ".join(within(first, last) for first, last in runs)
-    else:
-        listed = ", ".join(f"DATE '{d}'" for d in sorted(days))
-        test = f"{within(min(days), max(days))} AND to_date(pickup_datetime) IN ({listed})"
-    return F.expr(f"pickup_month IN ({', '.join(map(str, months))}) AND ({test})")
+    listed = ", ".join(f"DATE '{d}'" for d in sorted(set(days)))
+    return F.expr(
+        f"pickup_month IN ({', '.join(map(str, months))})"
+        f" AND pickup_datetime >= TIMESTAMP '{min(days)} 00:00:00'"
+        f" AND pickup_datetime < TIMESTAMP '{max(days) + timedelta(days=1)} 00:00:00'"
+        f" AND to_date(pickup_datetime) IN ({listed})"
+    )
 
 
 def touched_days(trips: DataFrame) -> list[date]:
-    """Days a delivery touches; at most one row per calendar day since 2009."""
+    """Days a delivery touches.
+
+    Of checked trips (``sorted_trips`` or ``process``): pickups lie between 2009 and
+    tomorrow, so there is at most one row per calendar day since.
+    """
     days = trips.select(F.to_date("pickup_datetime").alias("day")).distinct().collect()
     return sorted(r.day for r in days if r.day is not None)
 
@@ -265,47 +350,79 @@ class RollupTables:
         self.spark, self.path = spark, path
 
     def files(self, spec: RollupSpec) -> SegmentedTable:
-        return SegmentedTable(self.spark, f"{self.path}/{spec.name}", "rollup_month")
+        grain = T.TimestampType() if spec.grain == "hour" else T.DateType()
+        columns = [
+            T.StructField(spec.grain, grain),
+            *[T.StructField(k, TRIPS[k].dataType) for k in spec.keys],
+            T.StructField("n", T.LongType()),
+            *[T.StructField(f"sum_{m}", SUM_TYPES[m]) for m in spec.sums],
+            T.StructField("version", T.LongType()),
+        ]
+        return SegmentedTable(
+            self.spark, f"{self.path}/{spec.name}", "rollup_month", T.StructType(columns)
+        )
 
     def refresh(
-        self, facts: FactTable, days: list[date], sequence: int, specs=tuple(ROLLUPS)
+        self,
+        facts: FactTable,
+        days: list[date],
+        sequence: int,
+        writer: str,
+        specs=tuple(ROLLUPS),
     ) -> None:
-        """Recompute the given days. Later calls need greater sequence numbers.
+        """Recompute the given days. Call it after the delivery has been stored.
 
-        Late, corrected and redelivered trips all end in the same rollup. The
-        number of days is bounded: accepted pickups lie between 2009 and tomorrow.
+        The version is claimed before the trips are read, so a later version has seen
+        all that earlier ones have, whichever job computed it. Late, corrected and
+        redelivered trips all end in the same rollup. The number of days is bounded:
+        see ``touched_days``.
         """
         if not days:
             return
+        numbers = {spec: self.files(spec).number() for spec in specs}
         trips = facts.current(on_days(days)).select(*ROLLUP_INPUT)
         with Scratch(self.spark) as scratch:
             if not facts.is_settled({d.year * 100 + d.month for d in days}):
                 # picking versions shuffles: once for all rollups, not once for each
                 trips = stage(trips, "days", scratch)
-            self._write(trips, sequence, specs)
+            self._write(trips, sequence, writer, numbers)
 
-    def append_raw(self, trips: DataFrame, sequence: int, specs=tuple(ROLLUPS)) -> None:
+    def append_raw(
+        self, trips: DataFrame, sequence: int, writer: str, specs=tuple(ROLLUPS)
+    ) -> None:
         """Add one delivery's components; the same number again replaces them."""
-        self._write(trips, sequence, specs)
+        numbers = {spec: self.files(spec).number() for spec in specs}
+        with Scratch(self.spark) as scratch:
+            held = stage(trips.select(*ROLLUP_INPUT), "raw", scratch)
+            self._write(held, sequence, writer, numbers)
 
-    def _write(self, trips: DataFrame, sequence: int, specs) -> None:
+    def _write(
+        self, trips: DataFrame, sequence: int, writer: str, numbers: dict[RollupSpec, int]
+    ) -> None:
         def one(spec: RollupSpec) -> None:
             states = build(trips, spec).withColumns(
                 {
-                    "version": F.lit(sequence).cast("bigint"),
+                    "version": F.lit(numbers[spec]).cast("bigint"),
                     "rollup_month": month_of(F.col(spec.grain)),
                 }
             )
-            self.files(spec).write(states, delivery_name(sequence), spec.key_columns)
+            delivery = Delivery(writer, sequence, numbers[spec])
+            self.files(spec).deliver(states, delivery, spec.key_columns)
 
         # independent jobs: the small ones fill the cores the others leave idle
-        with ThreadPoolExecutor(len(specs)) as pool:
-            list(pool.map(one, specs))
+        with ThreadPoolExecutor(len(numbers)) as pool:
+            list(pool.map(one, numbers))
 
     @staticmethod
     def _latest_days(states: DataFrame, spec: RollupSpec) -> DataFrame:
-        day = Window.partitionBy("rollup_month", F.to_date(spec.grain)).orderBy(F.desc("version"))
-        ranked = states.withColumn("_rank", F.rank().over(day))
+        """Rows of a day's latest computation, from one segment that holds it.
+
+        While a fold is under way a computation lies in two segments. The delivered one
+        counts: a fold that was cut short may hold only part of it.
+        """
+        day = Window.partitionBy("rollup_month", F.to_date(spec.grain))
+        newest = day.orderBy(F.desc("version"), F.asc("segment"))
+        ranked = states.withColumn("_rank", F.rank().over(newest))
         return ranked.filter("_rank = 1").drop("_rank")
 
     def compact(self, specs=tuple(ROLLUPS), months: list[int] | None = None) -> None:
@@ -319,19 +436,28 @@ class RollupTables:
         self, spec: RollupSpec, first: date | None = None, last: date | None = None,
         raw: bool = False,
     ) -> DataFrame:
-        """Components, optionally of a range of days. ``raw`` for appended tables."""
-        states = self.files(spec).read()
-        day = F.to_date(spec.grain)
+        """Components, optionally of a range of days. ``raw`` for appended tables.
+
+        The range is tested on month and grain, of which every version of a day has the
+        same: folders and row groups are pruned before versions are picked.
+        """
+        files = self.files(spec)
+        states = files.read()
+        hourly = spec.grain == "hour"
+
+        def bound(day: date) -> Column:
+            return F.lit(str(day)).cast("timestamp" if hourly else "date")
+
         if first is not None:
             states = states.filter(
                 (F.col("rollup_month") >= first.year * 100 + first.month)
-                & (F.col(spec.grain) >= F.lit(str(first)).cast("timestamp"))
+                & (F.col(spec.grain) >= bound(first))
             )
         if last is not None:
             states = states.filter(
                 (F.col("rollup_month") <= last.year * 100 + last.month)
-                & (day <= F.lit(str(last)).cast("date"))
+                & (F.col(spec.grain) < bound(last + timedelta(days=1)))
             )
         if raw:
-            return merge(states, spec)
+            return merge(states.filter(~F.col("segment").isin(files.superseded())), spec)
         return self._latest_days(states, spec).select(*spec.key_columns, *spec.states)

@@ -11,20 +11,12 @@ from tripline.schema import DEAD_LETTERS, MESSAGES, MONEY, MONEY_FIELDS, TRIPS
 
 INSTANTS = ["pickup_datetime", "dropoff_datetime", "ingested_at"]
 
-#: Trip payload fields as they travel: instants as text, money as numbers.
-TRIP_WIRE = T.StructType(
-    [
-        T.StructField(
-            f.name,
-            T.StringType()
-            if f.name in INSTANTS
-            else T.DoubleType()
-            if isinstance(f.dataType, (T.DecimalType, T.FloatType))
-            else f.dataType,
-        )
-        for f in TRIPS
-    ]
-)
+#: Trip payload fields, each as the text it travels as: numbers may come as text and
+#: whole numbers with a fraction, so every field is read for itself.
+TRIP_WIRE = T.StructType([T.StructField(f.name, T.StringType()) for f in TRIPS])
+
+#: Pickups outside make no trip: the rules accept 2009 to tomorrow, replays may be older.
+FIRST_PICKUP, PICKUP_SLACK = "2009-01-01 00:00:00", "INTERVAL '2' DAY"
 
 
 def message_stream(
@@ -67,25 +59,76 @@ def decode(messages: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def trip_rows(decoded: DataFrame) -> DataFrame:
-    """Typed fact rows of the well-formed messages.
+    """Typed fact rows of the messages that can be stored: see ``sorted_trips``."""
+    return sorted_trips(decoded).filter("unusable IS NULL").select("trip.*")
+
 
-    Null money becomes 0.00, a null passenger count 0, instants UTC at second precision.
+def sorted_trips(decoded: DataFrame, now: Column | None = None) -> DataFrame:
+    """Add ``trip`` (typed struct) and ``unusable``, why a message cannot be stored.
+
+    Fields are read leniently: numbers may be text, whole numbers may have a fraction.
+    Null money becomes 0.00 and a null passenger count 0; instants are UTC at second
+    precision. A value that is there but cannot be held makes the message unusable, as
+    does a missing trip id, or a pickup that is missing, before 2009 or in the future.
+    Nothing is dropped: usable and unusable messages together are all messages.
     """
-    good = decoded.filter(~F.col("malformed")).select("payload.*")
-    return good.select(*[fact_value(f, good.schema[f.name].dataType) for f in TRIPS])
+    now = F.current_timestamp() if now is None else now
+    held = {f.name: F.col(f"payload.{f.name}") for f in TRIPS}
+    read = {f.name: fact_value(f, T.StringType(), held[f.name]) for f in TRIPS}
+    faults = [
+        F.when(F.col("malformed"), F.lit("not a JSON object")),
+        *[
+            F.when(
+                held[f.name].isNotNull() & read[f.name].isNull(),
+                F.concat(F.lit(f"{f.name} cannot be read: "), held[f.name]),
+            )
+            for f in TRIPS
+            if not isinstance(f.dataType, T.StringType)
+        ],
+        F.when(F.coalesce(F.length("trip.trip_id"), F.lit(0)) == 0, F.lit("trip_id is missing")),
+        F.when(F.col("trip.pickup_datetime").isNull(), F.lit("pickup_datetime is missing")),
+        F.when(
+            (F.col("trip.pickup_datetime") < F.lit(FIRST_PICKUP).cast("timestamp"))
+            | (F.col("trip.pickup_datetime") > now + F.expr(PICKUP_SLACK)),
+            F.lit("pickup_datetime is out of range"),
+        ),
+    ]
+    defaults = {
+        **{n: F.lit(0).cast(MONEY) for n in MONEY_FIELDS},
+        "passenger_count": F.lit(0).cast("smallint"),
+    }
+    trip = F.struct(
+        *[F.coalesce(read[n], defaults[n]).alias(n) if n in defaults else read[n].alias(n) for n in TRIPS.names]
+    )
+    return decoded.withColumn("trip", trip).withColumn("unusable", F.coalesce(*faults))
 
 
-def fact_value(field: T.StructField, held: T.DataType) -> Column:
-    """One fact column from its wire or in-memory form."""
-    col = F.col(field.name)
+def fact_value(field: T.StructField, held: T.DataType, col: Column | None = None) -> Column:
+    """One fact column from its wire or in-memory form; null where it cannot be held."""
+    col = F.col(field.name) if col is None else col
+    text = isinstance(held, T.StringType)
     if field.name in INSTANTS:
-        value = F.date_trunc("second", parse_timestamp(col, held))
-    elif field.name in MONEY_FIELDS:
-        value = F.coalesce(col.try_cast(MONEY), F.lit(0).cast(MONEY))
-    elif field.name == "passenger_count":
-        value = F.coalesce(col.try_cast("smallint"), F.lit(0).cast("smallint"))
-    else:
-        value = col.try_cast(field.dataType)
+        return F.date_trunc("second", parse_timestamp(col, held))
+    if isinstance(field.dataType, T.StringType):
+        return col.cast("string")
+    number = F.when(~F.isnan(col.try_cast("double")), col) if text else col
+    if isinstance(field.dataType, T.FloatType):
+        return number.try_cast("double").try_cast("float")
+    if text and field.name not in MONEY_FIELDS:
+        # whole numbers may come as 2.0; what fits no decimal is out of range anyway
+        number = F.floor(F.abs(number.try_cast("decimal(38,6)"))) * F.signum(number.try_cast("double"))
+    return number.try_cast(field.dataType)
+
+
+def as_stored(field: T.StructField, held: T.DataType) -> Column:
+    """A fact column of an in-memory trip: absent money and counts are 0, and a value that
+    the column cannot hold is an error rather than another value."""
+    col, value = F.col(field.name), fact_value(field, held)
+    if field.name in MONEY_FIELDS or field.name == "passenger_count":
+        value = F.when(col.isNull(), F.lit(0).cast(field.dataType)).otherwise(value)
+    too_large = F.raise_error(F.concat(F.lit(f"{field.name} cannot hold "), col.cast("string")))
+    if not isinstance(field.dataType, (T.StringType, T.TimestampType)):
+        value = F.when(col.isNotNull() & value.isNull(), too_large.cast(field.dataType)).otherwise(value)
     return value.alias(field.name)
 
 

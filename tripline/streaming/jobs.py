@@ -18,7 +18,8 @@ from tripline.operators.sizing import Dimension
 from tripline.operators.staging import Scratch, stage
 from tripline.plans.deadletters import dead_letters, replay, stage_letters
 from tripline.plans.ingest import process, run_log
-from tripline.schema import TRIPS
+from tripline.operators.rollup import RollupSpec, components
+from tripline.schema import RUN_LOG, TRIPS
 from tripline.sinks.deadletters import send
 from tripline.sinks.messages import publish, trip_messages
 from tripline.sinks.tables import FactTable, RollupTables, touched_days
@@ -27,6 +28,7 @@ from tripline.sources.messages import (
     TRIP_WIRE,
     dead_letter_rows,
     decode,
+    sorted_trips,
     trip_rows,
 )
 
@@ -58,17 +60,21 @@ class Destinations:
     letters_folder: str | None = None
     run_log: str | None = None
     fmt: str = "parquet"
+    #: fail the micro-batch, so that it runs again, if letters reach not every destination
+    strict: bool = False
 
 
 def produce(
     zones: Callable[[], Dimension],
     to: Destinations,
+    writer: str,
     now: Column | None = None,
     ingested_at: Column | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Per micro-batch of raw records: judge, publish trips, send dead letters.
 
-    ``zones`` is called for every batch, so a changed zone file takes effect.
+    ``zones`` is called for every batch, so a changed zone file takes effect. ``writer``
+    names this job's output: no other job may use it, restarts of this one must.
     """
 
     def each(batch: DataFrame, number: int) -> None:
@@ -76,36 +82,68 @@ def produce(
         began = batch.sparkSession.sql("SELECT current_timestamp() AS t").first().t
         with Scratch(batch.sparkSession) as scratch:
             done = process(batch, zones(), now=now, ingested_at=ingested_at).staged(scratch)
-            publish(trip_messages(done.valid), to.messages, number, to.fmt)
+            publish(trip_messages(done.valid), to.messages, number, writer, to.fmt)
             letters = stage_letters(dead_letters(done.rejected, clock), scratch)
-            send(letters, to.letters_topic, to.letters_folder, number, to.fmt)
+            failed = send(letters, to.letters_topic, to.letters_folder, number, writer, to.fmt)
             if to.run_log:
                 log_rows = run_log(done, F.lit(began), F.current_timestamp())
-                write_run_log(log_rows, to.run_log, number)
+                write_run_log(log_rows, to.run_log, number, writer, failed)
+            undelivered(failed, to)
 
     return each
 
 
-def write_run_log(rows: DataFrame, path: str, number: int) -> None:
-    (
-        rows.withColumn("delivery", F.lit(number))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("delivery")
-        .parquet(path)
-    )
+def undelivered(failed: list[str], to: Destinations) -> None:
+    """Fail the micro-batch over lost letters if the destinations say so."""
+    if failed and to.strict:
+        raise RuntimeError(f"dead letters did not reach: {', '.join(failed)}")
+
+
+def write_run_log(
+    rows: DataFrame, path: str, number: int, writer: str, failed: list[str] | None = None
+) -> None:
+    """One folder per writer and micro-batch; ``undelivered`` names failed destinations."""
+    lost = F.array(*map(F.lit, failed or [])).cast("array<string>")
+    typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in RUN_LOG])
+    logged = typed.withColumn("undelivered", lost)
+    logged.write.mode("overwrite").parquet(f"{path}/writer={writer}/delivery={number}")
+
 
+def consume(
+    facts: FactTable,
+    rollups: RollupTables | None,
+    writer: str,
+    unusable: str | None = None,
+    fold_every: int | None = 100,
+    now: Column | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """Per micro-batch of trip messages: decode, store, bring the touched days up to date.
 
-def consume(facts: FactTable, rollups: RollupTables | None) -> Callable[[DataFrame, int], None]:
-    """Per micro-batch of trip messages: decode, store, bring the touched days up to date."""
+    Messages that cannot be stored go to the folder ``unusable`` with the reason, as many
+    as arrived; without a folder they fail the batch. Every ``fold_every`` batches the
+    tables are folded, so segments do not pile up: of several jobs on one table let one do
+    it and give None to the others. ``writer`` names this job's deliveries: no other job
+    may use it, restarts of this one must.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
-        rows = trip_rows(decode(batch, TRIP_WIRE))
         with Scratch(batch.sparkSession) as scratch:
-            kept = stage(rows, "consumed", scratch)
-            facts.append(kept, number)
+            judged = sorted_trips(decode(batch, TRIP_WIRE), now)
+            judged = stage(judged.select("key", "value", "unusable", "trip"), "consumed", scratch)
+            bad = judged.filter("unusable IS NOT NULL").select("key", "value", "unusable")
+            if unusable is not None:
+                folder = f"{unusable}/writer={writer}/delivery={number}"
+                bad.write.mode("overwrite").parquet(folder)
+            elif found := bad.first():
+                raise ValueError(f"a message cannot be stored: {found.unusable}")
+            kept = judged.filter("unusable IS NULL").select("trip.*")
+            facts.append(kept, number, writer)
             if rollups is not None:
-                rollups.refresh(facts, touched_days(kept), number)
+                rollups.refresh(facts, touched_days(kept), number, writer)
+            if fold_every and (number + 1) % fold_every == 0:
+                facts.compact()
+                if rollups is not None:
+                    rollups.compact()
 
     return each
 
@@ -113,21 +151,31 @@ def consume(facts: FactTable, rollups: RollupTables | None) -> Callable[[DataFra
 def replay_topic(
     zones: Callable[[], Dimension],
     to: Destinations,
+    writer: str,
     now: Column | None = None,
     replay_batch: Column | None = None,
+    unusable: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Per micro-batch of dead-letter messages: replay, publish what recovered.
 
-    The still-invalid go to another topic than the one being read.
+    The still-invalid go to another topic than the one being read. Malformed letters go
+    to the folder ``unusable``; without one they fail the batch.
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        letters = dead_letter_rows(decode(batch, DEAD_LETTER_WIRE))
+        decoded = decode(batch, DEAD_LETTER_WIRE)
+        bad = decoded.filter("malformed").select("key", "value")
+        if unusable is not None:
+            bad.write.mode("overwrite").parquet(f"{unusable}/writer={writer}/delivery={number}")
+        elif bad.first() is not None:
+            raise ValueError("a dead letter cannot be decoded")
+        letters = dead_letter_rows(decoded)
         with Scratch(batch.sparkSession) as scratch:
             done = replay(letters, zones(), now, replay_batch, scratch=scratch)
-            publish(trip_messages(done.recovered), to.messages, number, to.fmt)
+            publish(trip_messages(done.recovered), to.messages, number, writer, to.fmt)
             again = stage_letters(done.still_invalid, scratch)
-            send(again, to.letters_topic, to.letters_folder, number, to.fmt)
+            failed = send(again, to.letters_topic, to.letters_folder, number, writer, to.fmt)
+            undelivered(failed, to)
 
     return each
 
@@ -141,29 +189,21 @@ def drop_redelivered(trips: DataFrame, within: str) -> DataFrame:
     return trips.withWatermark("ingested_at", within).dropDuplicatesWithinWatermark(["trip_id"])
 
 
-def hourly_stream(trips: DataFrame, lateness: str) -> DataFrame:
-    """Hourly rollup components as a watermarked stream.
+def rollup_stream(trips: DataFrame, spec: RollupSpec, lateness: str) -> DataFrame:
+    """Components of a rollup as a watermarked stream, from the definition of its table.
 
     Trips later than ``lateness`` are dropped by the watermark: use the table
     refresh of ``consume`` where none may be lost.
     """
-    return (
-        trips.withWatermark("pickup_datetime", lateness)
-        .groupBy(F.window("pickup_datetime", "1 hour").alias("w"), "vendor_id")
-        .agg(
-            F.count("*").alias("n"),
-            F.sum("total_amount").cast("decimal(38,2)").alias("sum_total_amount"),
-            F.sum("trip_distance").alias("sum_trip_distance"),
-            F.sum("trip_duration_seconds").alias("sum_trip_duration_seconds"),
-            F.sum("passenger_count").alias("sum_passenger_count"),
-        )
-        .select(F.col("w.start").alias("hour"), "vendor_id", "n", "sum_total_amount",
-                "sum_trip_distance", "sum_trip_duration_seconds", "sum_passenger_count")
-    )
+    width = "1 hour" if spec.grain == "hour" else "1 day"
+    window = F.window("pickup_datetime", width).alias("w")
+    built = trips.withWatermark("pickup_datetime", lateness).groupBy(window, *spec.keys)
+    grain = F.col("w.start") if spec.grain == "hour" else F.to_date("w.start")
+    return built.agg(*components(spec)).select(grain.alias(spec.grain), *spec.keys, *spec.states)
 
 
 def trip_stream(messages: DataFrame) -> DataFrame:
-    """Typed trips of a message stream, malformed payloads left out."""
+    """Typed trips of a message stream; ``sorted_trips`` also tells what is left out."""
     return trip_rows(decode(messages, TRIP_WIRE)).select(*TRIPS.names)
 
 
