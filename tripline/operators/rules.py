@@ -24,6 +24,23 @@ from tripline.schema import (
     MONEY_FIELDS,
 )
 
+# The texts of rejections, around the values they quote.
+DUPLICATE = "Duplicate trip_id within batch: "
+CANNOT_PARSE = ("Cannot parse field '{field}' with value '", "': ")
+NO_DATETIME = "cannot convert to datetime"
+NO_INTEGER = ("cannot convert ", " to int")
+NO_DECIMAL = "not a valid decimal"
+INFINITE = "cannot convert float infinity to integer"
+NEGATIVE_DISTANCE = "Distance cannot be negative, got "
+NEGATIVE_MONEY = (
+    "Fare field '{field}' has negative value ",
+    ". All monetary amounts must be >= 0.",
+)
+DURATION = ("Trip duration ", "s is invalid. Must be > 0 and < 86400 (24 hours).")
+PASSENGERS = ("Passenger count ", " is invalid. Must be between 1 and 9.")
+PICKUP = ("Pickup datetime '", "' is invalid: ")
+TOO_EARLY, IN_FUTURE = "before TLC minimum date 2009-01-01", "is in the future"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -47,7 +64,7 @@ def duplicate_rule() -> Rule:
         F.lit(False),
         "deduplication",
         "WithinBatchDuplicate",
-        F.concat(F.lit("Duplicate trip_id within batch: "), F.col("trip_id")),
+        F.concat(F.lit(DUPLICATE), F.col("trip_id")),
         knows_trip=True,
     )
 
@@ -100,9 +117,8 @@ def _text(col: Column) -> Column:
 
 
 def _cannot_parse(field: str, shown: Column, reason: Column) -> Column:
-    return F.concat(
-        F.lit(f"Cannot parse field '{field}' with value '"), shown, F.lit("': "), reason
-    )
+    before, between = CANNOT_PARSE
+    return F.concat(F.lit(before.format(field=field)), shown, F.lit(between), reason)
 
 
 def schema_rule(types: dict[str, T.DataType], missing: list[str]) -> Rule:
@@ -127,7 +143,7 @@ def _overflow_rule(types: dict[str, T.DataType]) -> Rule:
         broken,
         "parsing",
         "OverflowError",
-        F.lit("cannot convert float infinity to integer"),
+        F.lit(INFINITE),
     )
 
 
@@ -138,7 +154,7 @@ def _time_rules(types: dict[str, T.DataType]) -> list[Rule]:
             times.parse_timestamp(F.col(name), types[name]).isNull(),
             "parsing",
             "TripParseError",
-            _cannot_parse(name, _text(F.col(name)), F.lit("cannot convert to datetime")),
+            _cannot_parse(name, _text(F.col(name)), F.lit(NO_DATETIME)),
         )
         for name in ["pickup_datetime", "dropoff_datetime"]
     ]
@@ -152,7 +168,7 @@ def _location_rules(types: dict[str, T.DataType]) -> list[Rule]:
             types[name], T.StringType
         ) else value.cast("string")
         reason = F.concat(
-            F.lit("cannot convert "), F.coalesce(shown, F.lit("None")), F.lit(" to int")
+            F.lit(NO_INTEGER[0]), F.coalesce(shown, F.lit("None")), F.lit(NO_INTEGER[1])
         )
         rules.append(
             Rule(
@@ -173,7 +189,7 @@ def _distance_rule(types: dict[str, T.DataType]) -> Rule:
         miles < 0,
         "parsing",
         "ValueError",
-        F.concat(F.lit("Distance cannot be negative, got "), miles.cast("string")),
+        F.concat(F.lit(NEGATIVE_DISTANCE), miles.cast("string")),
     )
 
 
@@ -189,7 +205,7 @@ def _money_rules(types: dict[str, T.DataType]) -> list[Rule]:
                     values.unreadable(col, dtype),
                     "parsing",
                     "TripParseError",
-                    _cannot_parse(name, _text(col), F.lit("not a valid decimal")),
+                    _cannot_parse(name, _text(col), F.lit(NO_DECIMAL)),
                 )
             )
         if isinstance(dtype, (T.StringType, T.DoubleType, T.FloatType)):
@@ -209,9 +225,9 @@ def _money_rules(types: dict[str, T.DataType]) -> list[Rule]:
                 "validation",
                 "NegativeMoneyError",
                 F.concat(
-                    F.lit(f"Fare field '{name}' has negative value "),
+                    F.lit(NEGATIVE_MONEY[0].format(field=name)),
                     values.number(col, dtype).cast("string"),
-                    F.lit(". All monetary amounts must be >= 0."),
+                    F.lit(NEGATIVE_MONEY[1]),
                 ),
             )
         )
@@ -242,7 +258,7 @@ def _trip_rules(types: dict[str, T.DataType], now: Column) -> list[Rule]:
     shown = times.iso_text(pickup, " ")
 
     def pickup_message(reason: str) -> Column:
-        return F.concat(F.lit("Pickup datetime '"), shown, F.lit(f"' is invalid: {reason}"))
+        return F.concat(F.lit(PICKUP[0]), shown, F.lit(PICKUP[1] + reason))
 
     return [
         Rule(
@@ -251,9 +267,9 @@ def _trip_rules(types: dict[str, T.DataType], now: Column) -> list[Rule]:
             "validation",
             "InvalidTripDurationError",
             F.concat(
-                F.lit("Trip duration "),
+                F.lit(DURATION[0]),
                 seconds.cast("string"),
-                F.lit("s is invalid. Must be > 0 and < 86400 (24 hours)."),
+                F.lit(DURATION[1]),
             ),
             knows_trip=True,
         ),
@@ -263,9 +279,9 @@ def _trip_rules(types: dict[str, T.DataType], now: Column) -> list[Rule]:
             "validation",
             "InvalidPassengerCountError",
             F.concat(
-                F.lit("Passenger count "),
+                F.lit(PASSENGERS[0]),
                 F.when(beyond, told[0].cast("string")).otherwise(count.cast("string")),
-                F.lit(" is invalid. Must be between 1 and 9."),
+                F.lit(PASSENGERS[1]),
             ),
             knows_trip=True,
         ),
@@ -274,7 +290,7 @@ def _trip_rules(types: dict[str, T.DataType], now: Column) -> list[Rule]:
             pickup < F.lit(EARLIEST_PICKUP).cast("timestamp"),
             "validation",
             "InvalidPickupDatetimeError",
-            pickup_message("before TLC minimum date 2009-01-01"),
+            pickup_message(TOO_EARLY),
             knows_trip=True,
         ),
         Rule(
@@ -282,7 +298,7 @@ def _trip_rules(types: dict[str, T.DataType], now: Column) -> list[Rule]:
             F.unix_micros(pickup) - F.unix_micros(now) > FUTURE_TOLERANCE_SECONDS * 1_000_000,
             "validation",
             "InvalidPickupDatetimeError",
-            pickup_message("is in the future"),
+            pickup_message(IN_FUTURE),
             knows_trip=True,
         ),
     ]

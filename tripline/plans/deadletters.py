@@ -137,7 +137,9 @@ def replay(
     """Run every letter's record through the rules again, each as its own batch.
 
     The schema gate is left out, as in any reprocessing of stored records. Write
-    the still-invalid letters as a new generation, never into the one being read.
+    the still-invalid letters as a new generation, never into the one being read. The
+    judged letters are staged; ``scratch`` deletes that copy when it ends, without one it
+    goes with the checkpoint folder.
     """
     chosen = replayable(letters, repeats_too)
     letter = F.struct(*DEAD_LETTERS.names).alias("letter")

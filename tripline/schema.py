@@ -82,9 +82,6 @@ FUTURE_TOLERANCE_SECONDS = 86_400
 MAX_PASSENGERS = 9
 BATCH_ROWS = 1000
 
-STAGES = ["parsing", "normalization", "enrichment", "validation", "deduplication", "persist"]
-# ---------------------------------------------------------------------------
-
 #: The 19 record fields after renaming, in source order.
 RAW_COLUMNS = [RENAMES.get(name, name) for name in SOURCE_COLUMNS]
 
@@ -103,6 +100,8 @@ RAW_TYPES: dict[str, T.DataType] = {
     "store_and_fwd_flag": T.StringType(),
 }
 
+# Columns of the stored tables and of files and messages.
+
 TRIPS = T.StructType(
     [
         T.StructField("trip_id", T.StringType()),
