@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripline.llm.common import LOWER, staged, utf8, without
+from tripline.llm.common import LOWER, released, staged, utf8, without
 
 WINDOW_WORDS = 13
 BLOCK_WORDS = 3
@@ -285,7 +285,7 @@ def contamination(
         columns = "key {}, {}n_words long, spans array<array<long>>, items array<string>".format(
             kind, "" if last else "text binary, "
         )
-        state = state.mapInArrow(_pass(sent, last), columns)
+        state = state.mapInArrow(released(_pass(sent, last)), columns)
         if not last:
             state = staged(state, "decontaminate")
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])

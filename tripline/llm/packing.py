@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tripline.llm.common import utf8
+from tripline.llm.common import released, utf8
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The vocabulary's splitting pattern (a fixed value of the public tokenizer).
@@ -141,7 +141,7 @@ def segments(
             )
 
     narrow = docs.select(F.col(key).alias("key"), utf8(text).alias("text"))
-    return narrow.mapInArrow(cut, f"shard int, key {kind.simpleString()}, part int, ids binary")
+    return narrow.mapInArrow(released(cut), f"shard int, key {kind.simpleString()}, part int, ids binary")
 
 
 def packed(

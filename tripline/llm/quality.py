@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tripline.llm.common import staged, utf8, without
+from tripline.llm.common import released, staged, utf8, without
 from tripline.llm.mixing import bounded
 
 #: Ids: 0 begins a document, 1 stands for all tokens outside the vocabulary.
@@ -45,7 +45,7 @@ PRIOR_TOKENS = 20
 #: Resolution of scores, in nats per token, for the quantiles.
 STEP = 0.001
 #: Entries a task gathers before it hands them on.
-GATHERED = 1 << 20
+GATHERED = 1 << 18
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -262,17 +262,17 @@ def train(roles: DataFrame, vocabulary: int = VOCABULARY, shards: int = SHARDS)
     """The model's part per word, and its bigram counts ``(shard, keys, counts)``, staged."""
     spark = roles.sparkSession
     text = roles.where("role = 1").select("text")
-    counted = text.mapInArrow(_token_counts, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = text.mapInArrow(released(_token_counts), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counted = staged(counted, "quality_words")
     types = counted.count()
     frequent = counted.where(F.length("word") <= TOKEN_BYTES).orderBy(F.desc("n"), "word")
     words = [bytes(r.word) for r in frequent.limit(vocabulary - FIRST_WORD).collect()]
     sent = spark.sparkContext.broadcast(words)
-    parts = text.mapInArrow(_bigram_counts(sent, shards), "shard int, keys binary, counts binary")
+    parts = text.mapInArrow(released(_bigram_counts(sent, shards)), "shard int, keys binary, counts binary")
     merged = parts.repartition(shards, "shard").sortWithinPartitions("shard")
-    merged = staged(merged.mapInArrow(_merged, parts.schema), "quality_bigrams")
+    merged = staged(merged.mapInArrow(released(_merged), parts.schema), "quality_bigrams")
     names = ["total", "once", "twice", "more", "histories"]
-    stats = merged.mapInArrow(_statistics, "id long, " + ", ".join(f"{n} long" for n in names))
+    stats = merged.mapInArrow(released(_statistics), "id long, " + ", ".join(f"{n} long" for n in names))
     stats = stats.groupBy("id").agg(*(F.sum(n).alias(n) for n in names)).collect()
     table, of_counts = np.zeros((VOCABULARY, 5), np.int64), np.zeros(4)
     for row in stats:
@@ -429,7 +429,7 @@ def log_probabilities(roles: DataFrame, model: Model, counts: DataFrame, shards:
     salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // shards)
     kind = roles.schema["key"].dataType
     schema = _ROWS.format(key=kind.simpleString())
-    rows = roles.mapInArrow(_scattered(sent, shards, salts, to_arrow_type(kind)), schema)
+    rows = roles.mapInArrow(released(_scattered(sent, shards, salts, to_arrow_type(kind))), schema)
     model_rows = counts.select(
         "shard",
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
@@ -443,12 +443,12 @@ def log_probabilities(roles: DataFrame, model: Model, counts: DataFrame, shards:
     placed = placed.sortWithinPartitions("shard", "salt", "kind")
     docs_type = rows.schema["docs"].dataType
     summed = placed.mapInArrow(
-        _looked_up(sent, to_arrow_type(docs_type)),
+        released(_looked_up(sent, to_arrow_type(docs_type))),
         f"batch binary, shard int, sums binary, docs {docs_type.simpleString()}",
     )
     gathered = summed.repartition("batch").sortWithinPartitions("batch")
     return gathered.mapInArrow(
-        _gathered(to_arrow_type(kind)), f"key {kind.simpleString()}, lang string, role int, n long, log_p double"
+        released(_gathered(to_arrow_type(kind))), f"key {kind.simpleString()}, lang string, role int, n long, log_p double"
     )
 
 

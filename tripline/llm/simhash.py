@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripline.llm.common import LOWER, components, popcount, staged, utf8, without
+from tripline.llm.common import LOWER, components, popcount, released, staged, utf8, without
 
 SHINGLE_WORDS = 3
 HASH_SEED = 42
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Da
             )
 
     narrow = docs.select(F.col(key).alias("key"), utf8(text).alias("text"))
-    return narrow.mapInArrow(hashed, f"key {docs.schema[key].dataType.simpleString()}, fp long")
+    return narrow.mapInArrow(released(hashed), f"key {docs.schema[key].dataType.simpleString()}, fp long")
 
 
 def _long(bits: int) -> Column:
@@ -159,7 +159,7 @@ def links(distinct: DataFrame) -> DataFrame:
         distinct.select(F.explode(ball(F.col("fp"))).alias("variant"), "fp")
         .repartition("variant")
         .sortWithinPartitions("variant")
-        .mapInArrow(_verified, "src long, dst long")
+        .mapInArrow(released(_verified), "src long, dst long")
         .distinct()
     )
 
