@@ -21,12 +21,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripline.llm.common import drop_folder, drop_staged, staged
+from tripline.llm.mixing import bounded
 from tripline.operators.staging import new_folder
 
 #: Payloads below this size are never stored as revisits.
 REVISIT_BYTES = 1000
 #: Records in one archive file.
 ARCHIVE_RECORDS = 2000
+#: Archives up to which their offsets (16 bytes a record) are broadcast rather than shuffled
+#: together with the archives.
+BROADCAST_ARCHIVES = 500
 DATE = "2024-01-01T00:00:00Z"
 _END = "\r\n"
 
@@ -97,7 +101,7 @@ def write_archives(
     """One record for each row, in gzipped files of one stream each."""
     again = revisits(pages, key, html)
     own = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(html).alias("html"))
-    told = own.join(again, F.col("key") == F.col("revisit"), "left")
+    told = own.join(bounded(again), F.col("key") == F.col("revisit"), "left")
     text = told.select(record(F.col("key"), F.col("url"), F.col("html"), F.col("refers_to")).alias("value"))
     writer = text.write.option("compression", "gzip").option("lineSep", _END)
     writer.option("maxRecordsPerFile", ARCHIVE_RECORDS).text(folder)
@@ -232,7 +236,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     archive = F.regexp_extract("path", "archive=([^/]+)/", 1)
     return (
         files.select(archive.alias("archive"), "content")
-        .join(places, F.col("archive") == F.col("of"))
+        .join(bounded(places, BROADCAST_ARCHIVES), F.col("archive") == F.col("of"))
         .select("content", "places")
         .mapInArrow(
             _parsed,
