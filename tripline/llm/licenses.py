@@ -92,8 +92,8 @@ def phrase_places(text: Column) -> Column:
     places = []
     for phrase, label in PHRASES.items():
         own = phrase.split()
-        around = f"(?i)(?:^|{BETWEEN_RAW}){BETWEEN_RAW.join(own)}(?:{BETWEEN_RAW}|$)"
-        places.append(F.when(text.rlike(around), _starts(words(text), own, label)).otherwise(empty))
+        pattern = f"(?i){BETWEEN_RAW.join(own)}"  # may start or end within a word
+        places.append(F.when(text.rlike(pattern), _starts(words(text), own, label)).otherwise(empty))
     return F.concat(*places)
 
 
@@ -128,9 +128,14 @@ def matches(
     kinds = "token int, notice int, label string, at int, needed int, ranks array<int>"
     index = F.broadcast(spark.createDataFrame(index, kinds))  # a row per prefix word of a notice
 
-    may = F.col("block").rlike("(?i)" + "|".join(sorted(prefix_words)))
-    blocks = docs.where(F.col(text).rlike("(?i)" + "|".join(sorted(prefix_words))))
-    blocks = blocks.select("id", F.posexplode(F.split(F.col(text), "\n")).alias("number", "block")).where(may)
+    prefixes = F.array(*map(F.lit, sorted(prefix_words)))
+
+    def may_match(column: str) -> Column:
+        return F.arrays_overlap(F.split(lower_ascii(F.col(column)), BETWEEN), prefixes)
+
+    blocks = docs.where(may_match(text))
+    blocks = blocks.select("id", F.posexplode(F.split(F.col(text), "\n")).alias("number", "block"))
+    blocks = blocks.where(may_match("block"))
     known = F.array_intersect(words(F.col("block")), F.array(*map(F.lit, vocabulary)))
     place = F.create_map(*(F.lit(x) for pair in rank.items() for x in pair))
     blocks = blocks.select(
