@@ -153,10 +153,14 @@ def links(distinct: DataFrame) -> DataFrame:
     """Edges ``(src, dst)`` among distinct fingerprints ``(fp)`` that connect linked ones.
 
     A row per fingerprint and variant goes through one shuffle; a variant's fingerprints
-    are read as a stream sorted by variant. Edges are a spanning forest per variant.
+    are read as a stream sorted by variant. Edges are a spanning forest per variant. The
+    fingerprints are few bytes and would lie in few tasks; they are dealt out before each
+    becomes its ball.
     """
+    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = distinct.repartition(n, F.xxhash64("fp"))
     return (
-        distinct.select(F.explode(ball(F.col("fp"))).alias("variant"), "fp")
+        dealt.select(F.explode(ball(F.col("fp"))).alias("variant"), "fp")
         .repartition("variant")
         .sortWithinPartitions("variant")
         .mapInArrow(released(_verified), "src long, dst long")
