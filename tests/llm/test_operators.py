@@ -576,6 +576,32 @@ def test_line_dedup(spark):
         assert r.n_lines == len(lines) and r.text == (None if texts[r.doc_id] is None else kept)
 
 
+def test_passages_within_lines(spark):
+    """Passages that begin or end within a line, lie inside a longer one or come twice in one."""
+    rng = random.Random(21)
+    new = lambda n: sentence(rng, n).upper()
+    passage, split, twice = (sentence(rng, n) for n in (70, 60, 55))
+    halves = split.split()
+    rows = [
+        (1, f"{new(9)} Q {passage} Q {new(20)}\n{new(5)} J {split} J"),
+        (2, f"{new(30)} V1 {passage} V2 {new(400)}"),
+        (3, f"{new(7)} X1 {' '.join(halves[:28])}\n{' '.join(halves[28:])} X2 {new(6)}"),
+        (4, f"{new(3)} Y1 {twice} Y2 {new(4)} Y3 {twice} Y4"),
+        (5, " ".join(passage.split()[:49])),
+        (6, "\n".join(passage.split()[10:65])),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in linededup.without_repeats(frame).collect()}
+    texts = dict(rows)
+    assert got[1].text == texts[1] and got[5].text == texts[5]
+    assert got[2].text == texts[2].replace(passage + " ", "") and got[2].n_words_removed == 70
+    want = texts[3].replace(" " + " ".join(halves[:28]), "").replace(" ".join(halves[28:]) + " ", "")
+    assert got[3].text == want and got[3].n_words_removed == 60 and not got[3].removed
+    head, _, tail = texts[4].rpartition(twice + " ")
+    assert got[4].text == head + tail and got[4].n_words_removed == 55
+    assert got[6].text == "" and len(got[6].removed) == 55
+
+
 def test_empty_tables(spark, docs, labels):
     none = docs.limit(0)
     benchmark = spark.createDataFrame([(1, "a b c")], "item_id long, text string")

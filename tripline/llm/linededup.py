@@ -1,164 +1,239 @@
-"""Line de-duplication by winnowing over line hashes.
-
-A run of consecutive lines of at least ``RUN_WORDS`` words that also stands, line for line, at
-an earlier place is a repeat and is deleted. Winnowing picks fingerprints: of every shortest
-window of lines with that many words, the smallest line hash. Two places that share such a run
-share a window, and so pick the same line: only lines whose hash was picked twice can lie in a
-repeat. From each of those the match is extended both ways: all shortest runs through the line,
-bounded at their first or at their last line, are looked up by the hash of their content, and
-every run but the first of its kind is a repeat. A longer repeated run is the union of such
-runs, so its lines are all found, whichever earlier document it repeats.
+"""De-duplication of repeated passages by winnowing over word hashes.
+
+A run of at least ``RUN_WORDS`` words that also stands, word for word, at an earlier place is a
+repeat and is deleted, wherever in a line it begins or ends. Winnowing picks fingerprints: of the
+hashes of the short pieces in every window of that many words, the smallest. Two places
+that share a window pick the same piece, so only windows whose pick occurs twice can be repeats.
+Those are looked up by the hash of their content, and every window but the first of its kind is
+a repeat. A longer repeated run is the union of such windows: the match goes on word by word both
+ways, over line ends, whichever earlier documents it repeats.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripline.llm.common import staged, utf8
+from tripline.llm.common import released, staged, utf8
 
 RUN_WORDS = 50
+#: Words of the pieces whose hashes are winnowed.
+PIECE_WORDS = 12
+WORD = re.compile(rb"\S+")
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def lines_of(text: bytes) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Numbers, hashes and word counts of the lines with words; ends are trimmed."""
-    numbers, hashes, counts = [], [], []
+def words_of(text: bytes) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Hashes of the words, their counts by line with words, and these lines' numbers."""
+    numbers, counts, words = [], [], []
     for number, line in enumerate(text.split(b"\n")):
-        if line := line.strip():
+        if own := line.split():
             numbers.append(number)
-            hashes.append(xxhash.xxh64_intdigest(line))
-            counts.append(len(line.split()))
-    return numbers, np.array(hashes, np.uint64), np.array(counts, np.int64)
+            counts.append(len(own))
+            words += own
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return hashes, np.array(counts, np.int64), numbers
+
+
+def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    mixed = (left ^ (left >> np.uint64(29))) * _MIX + right
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * _MIX
+    return mixed ^ (mixed >> np.uint64(31))
+
 
+def pieces(hashes: np.ndarray, length: int) -> np.ndarray:
+    """A hash of every run of ``length`` words, by its first word; runs double in length."""
+    n = len(hashes) - length + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    out, done, power, size = None, 0, hashes, 1
+    while done < length:
+        if length & size:
+            part = power[done : done + n]
+            out = part if out is None else _joined(out, part)
+            done += size
+        if done < length:
+            power, size = _joined(power[:-size], power[size:]), 2 * size
+    return out
 
-def windows(counts: np.ndarray, run_words: int = RUN_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """First and last lines of the shortest runs with enough words, of both kinds.
 
-    A run is in if no shorter one starts at its first line, or if none ends at its last.
+def picks(hashes: np.ndarray, run_words: int = RUN_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """All hashes of pieces, and winnowing's pick for every window by first word."""
+    piece = min(PIECE_WORDS, run_words)
+    each = pieces(hashes, piece)
+    n, width = len(hashes) - run_words + 1, run_words - piece + 1
+    if n <= 0:
+        return each, np.empty(0, np.uint64)
+    least, size = each, 1
+    while 2 * size <= width:
+        least, size = np.minimum(least[:-size], least[size:]), 2 * size
+    return each, np.minimum(least[:n], least[width - size : width - size + n])
+
+
+def places(run: np.ndarray, counts: np.ndarray, run_words: int = RUN_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Where each window stands, to tell earlier from later: its first word.
+
+    A window that overlaps one like itself ("w w w ...") is no second passage: it stands where
+    its line begins, so that a line does not repeat itself by a period. Tells also which do.
     """
-    upto = np.concatenate(([0], np.cumsum(counts)))
-    n = len(counts)
-    first = np.arange(n)
-    last = np.searchsorted(upto, upto[:-1] + run_words) - 1
-    ok = last < n
-    from_first = np.stack((first[ok], last[ok]))
-    start = np.searchsorted(upto, upto[1:] - run_words, side="right") - 1
-    ok = upto[1:] >= run_words
-    from_last = np.stack((start[ok], first[ok]))
-    return tuple(np.unique(np.concatenate((from_first, from_last), axis=1), axis=1))
-
-
-def picks(hashes: np.ndarray, counts: np.ndarray, run_words: int = RUN_WORDS) -> list[int]:
-    """Winnowing: of every shortest window from its first line, the smallest line hash."""
-    upto = np.concatenate(([0], np.cumsum(counts)))
-    last = np.searchsorted(upto, upto[:-1] + run_words) - 1
-    out = set()
-    for first, to in enumerate(last.tolist()):
-        if to >= len(hashes):
-            break
-        out.add(first + int(hashes[first : to + 1].argmin()))
-    return sorted(out)
-
-
-def _fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    at = np.arange(len(run))
+    order = np.lexsort((at, run))
+    like = (run[order[1:]] == run[order[:-1]]) & (np.diff(order) < run_words)
+    overlaps = np.zeros(len(run), bool)
+    overlaps[order[1:][like]] = True
+    overlaps[order[:-1][like]] = True
+    begins = np.repeat(np.cumsum(counts) - counts, counts)[: len(run)]
+    return np.where(overlaps, begins, at), overlaps
+
+
+def stretches(text: bytes) -> Iterator[tuple[int, int, int, int, bool]]:
+    """``(pick, content, first, n, loose)`` of every run of windows with one pick.
+
+    ``content`` is a hash of the words of all n windows. A run is loose if it may hold two
+    windows alike, or one that overlaps its like: nothing follows for it from equal content.
+    """
+    hashes, counts, _ = words_of(text)
+    _, least = picks(hashes)
+    if not len(least):
+        return
+    stutters = np.concatenate(([0], np.cumsum(places(pieces(hashes, RUN_WORDS), counts)[1])))
+    starts = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+    ends = np.append(starts[1:], len(least))
+    longest = RUN_WORDS - PIECE_WORDS + 1  # as many windows hold one piece
+    loose = (stutters[ends] > stutters[starts]) | (ends - starts > longest)
+    raw = hashes.tobytes()
+    picked = least[starts].view(np.int64).tolist()
+    for pick, i, j, free in zip(picked, starts.tolist(), ends.tolist(), loose.tolist(), strict=True):
+        content = xxhash.xxh3_64_intdigest(raw[8 * i : 8 * (j + RUN_WORDS - 1)]) - 2**63
+        yield pick, content, i, j - i, free
+
+
+_STRETCH = [("pick", pa.int64()), ("content", pa.int64()), ("first", pa.int32()), ("n", pa.int32()), ("loose", pa.bool_())]
+
+
+def _stretched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hashes, words, picked = [], [], []
-        for text in batch.column(2):
-            _, own, counts = lines_of(text.as_py() or b"")
-            at = picks(own, counts)
-            hashes.append(own.view(np.int64))
-            words.append(counts.astype(np.int32))
-            picked.append(own.view(np.int64)[at])
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                batch.column(1),
-                pa.array(hashes, pa.list_(pa.int64())),
-                pa.array(words, pa.list_(pa.int32())),
-                pa.array(picked, pa.list_(pa.int64())),
-            ],
-            names=["key", "hash", "lines", "words", "picked"],
-        )
+        for i, text in enumerate(batch.column(2)):
+            found = list(stretches(text.as_py() or b""))
+            if not found:
+                continue
+            rows = pa.array(np.full(len(found), i))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows)]
+                + [pa.array(c, kind) for c, (_, kind) in zip(zip(*found, strict=True), _STRETCH, strict=True)],
+                names=["key", "hash", *(name for name, _ in _STRETCH)],
+            )
 
 
-def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with repeated picks to the runs through these: ``run`` and its lines."""
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents with stretches to these one by one: ``run`` of every window and its place."""
     for batch in batches:
-        at, runs, firsts, lasts = [], [], [], []
-        rows = zip(*(batch.column(i) for i in (2, 3, 4)), strict=True)
-        for i, (lines, words, seeds) in enumerate(rows):
-            hashes = np.array(lines.as_py(), np.int64)
-            first, last = windows(np.array(words.as_py(), np.int64))
-            seeded = np.concatenate(([0], np.cumsum(np.isin(hashes, np.array(seeds.as_py(), np.int64)))))
-            through = seeded[last + 1] > seeded[first]
-            for a, b in zip(first[through].tolist(), last[through].tolist(), strict=True):
-                at.append(i)
-                runs.append(xxhash.xxh3_128_digest(hashes[a : b + 1].tobytes()))
-                firsts.append(a)
-                lasts.append(b)
-        rows = pa.array(at, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0).take(rows),
-                batch.column(1).take(rows),
-                pa.array(runs, pa.binary()),
-                pa.array(firsts, pa.int32()),
-                pa.array(lasts, pa.int32()),
-            ],
-            names=["key", "hash", "run", "first", "last"],
-        )
+        for i, (text, wanted) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+            hashes, counts, _ = words_of(text.as_py() or b"")
+            run = pieces(hashes, RUN_WORDS)
+            first = np.concatenate([np.arange(s["first"], s["first"] + s["n"]) for s in wanted.as_py()])
+            rows = pa.array(np.full(len(first), i))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(rows),
+                    batch.column(1).take(rows),
+                    pa.array(run[first].view(np.int64)),
+                    pa.array(first.astype(np.int32)),
+                    pa.array(places(run, counts)[0][first].astype(np.int32)),
+                ],
+                names=["key", "hash", "run", "first", "at"],
+            )
 
 
 def repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(key, hash, runs)``: lines of later repeated runs, for documents that have any.
+    """``(key, hash, spans)``: later repeated windows, ``n`` from word ``first`` on.
 
-    ``runs`` are pairs of first and last line, counting lines with words only. Texts are read,
-    not shuffled.
+    Stretches of windows with one pick are compared as wholes first: all but the first place of
+    one content repeat it. Windows are compared one by one only for first places, and only where
+    stretches with one pick differ, as at the ends of matches.
     """
     kind = docs.schema[key].dataType.simpleString()
     narrow = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("hash"), utf8(text).alias("text"))
-    lined = narrow.mapInArrow(
-        _fingerprinted,
-        f"key {kind}, hash long, lines array<long>, words array<int>, picked array<long>",
-    )
-    lined = staged(lined.where(F.size("picked") > 0).dropDuplicates(["key", "hash"]), "lines")
-    each = lined.select("key", "hash", F.explode("picked").alias("pick"))
-    twice = each.groupBy("pick").agg(F.count("*").alias("n")).where("n > 1").select("pick")
-    seeds = each.join(twice, "pick").groupBy("key", "hash").agg(F.collect_set("pick").alias("seeds"))
-    seeds = seeds.select(F.col("key").alias("k"), F.col("hash").alias("h"), "seeds")
-    same = F.col("key").eqNullSafe(F.col("k")) & (F.col("hash") == F.col("h"))
-    seeded = lined.join(seeds, same).select("key", "hash", "lines", "words", "seeds")
-    runs = seeded.mapInArrow(_extended, f"key {kind}, hash long, run binary, first int, last int")
-    runs = staged(runs, "line_runs")
-    place = F.struct(F.col("key").isNull().alias("last"), "key", "hash", "first")
-    # Runs of one content: the first place stays. The least place needs one row per run and task.
-    least = runs.groupBy("run").agg(F.min(place).alias("original"), F.count("*").alias("n"))
-    least = least.where("n > 1").select("run", "original")
-    later = runs.join(least, "run").where(place > F.col("original"))
-    return later.groupBy("key", "hash").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    schema = f"key {kind}, hash long, pick long, content long, first int, n int, loose boolean"
+    every = staged(narrow.mapInArrow(released(_stretched), schema), "passages")
+    twice = every.groupBy("pick").agg(F.count("*").alias("m"), F.max("loose").alias("any"))
+    hits = every.join(twice.where("m > 1 or any").select("pick"), "pick")
+    own = F.when(F.col("loose"), F.xxhash64("key", "hash", "first"))
+    hits = staged(hits.withColumn("own", F.coalesce(own, F.lit(0).cast("long"))), "passage_hits")
+
+    def place(at: str) -> Column:
+        return F.struct(F.col("key").isNull().alias("last"), "key", "hash", F.col(at).alias("at"))
+
+    same = ["pick", "content", "own"]
+    kinds = hits.groupBy(*same).agg(F.min(place("first")).alias("original"), F.max("n").alias("n"), F.count("*").alias("m"))
+    kinds = staged(kinds, "passage_kinds")
+    copied = kinds.where("m > 1").select(*same, "original")
+    whole = hits.join(copied, same).where(place("first") > F.col("original")).select("key", "hash", "first", "n")
+    mixed = kinds.groupBy("pick").agg(F.count("*").alias("kinds"), F.max(F.col("own") != 0).alias("any"))
+    single = kinds.join(mixed.where("kinds > 1 or any").select("pick"), "pick")
+    span = F.struct(F.col("original.at").alias("first"), "n")
+    single = single.groupBy(F.col("original.key").alias("k"), F.col("original.hash").alias("h"))
+    single = single.agg(F.collect_set(span).alias("wanted"))
+    here = F.col("key").eqNullSafe(F.col("k")) & (F.col("hash") == F.col("h"))
+    wanted = narrow.join(single, here).select("key", "hash", "text", "wanted")
+    runs = wanted.mapInArrow(released(_windows), f"key {kind}, hash long, run long, first int, at int")
+    runs = staged(runs, "passage_windows")
+    # Windows of one content: the first place stays. The least place needs one row per run and task.
+    least = runs.groupBy("run").agg(F.min(place("at")).alias("original"), F.count("*").alias("m"))
+    least = least.where("m > 1").select("run", "original")
+    later = runs.join(least, "run").where(place("at") > F.col("original"))
+    later = later.select("key", "hash", "first", F.lit(1).alias("n"))
+    return whole.union(later).groupBy("key", "hash").agg(F.collect_set(F.struct("first", "n")).alias("spans"))
+
+
+def without_words(text: bytes, windows: list[dict]) -> tuple[bytes, list[int], int]:
+    """A text without the ``windows``, lines it lost whole, words it lost.
+
+    Where a run reaches only one word into a line of more, that word stays: lines often begin or
+    end with the same word by chance.
+    """
+    lines = text.split(b"\n")
+    spans = [[m.span() for m in WORD.finditer(line)] for line in lines]
+    upto = np.concatenate(([0], np.cumsum([len(s) for s in spans])))
+    steps = np.zeros(int(upto[-1]) + 1, np.int64)
+    first, n = np.array([(w["first"], w["n"]) for w in windows]).T
+    np.add.at(steps, first, 1)
+    np.add.at(steps, first + n + RUN_WORDS - 1, -1)
+    gone = np.cumsum(steps)[:-1] > 0
+    drop, n_words, out = [], 0, []
+    for number, (line, own) in enumerate(zip(lines, spans, strict=True)):
+        lost = gone[upto[number] : upto[number + 1]]
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], lost.astype(np.int8), [0]))))
+        cuts = [(a, b) for a, b in edges.reshape(-1, 2).tolist() if b - a > 1 or len(own) == 1]
+        n_words += sum(b - a for a, b in cuts)
+        if own and cuts == [(0, len(own))]:
+            drop.append(number)
+            continue
+        for a, b in reversed(cuts):
+            if b < len(own):
+                line = line[: own[a][0]] + line[own[b][0] :]
+            else:
+                line = line[: own[a - 1][1]] + line[own[-1][1] :]
+        out.append(line)
+    return b"\n".join(out), drop, n_words
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, n_lines, gone, n_words = [], [], [], []
-        for content, runs in zip(batch.column(1), batch.column(2), strict=True):
-            text, spans = content.as_py(), runs.as_py()
-            lines = (text or b"").split(b"\n")
-            drop: list[int] = []
-            words = 0
-            if spans:
-                numbers, _, counts = lines_of(text)
-                at = sorted({i for s in spans for i in range(s["first"], s["last"] + 1)})
-                drop, words = [numbers[i] for i in at], int(counts[at].sum())
-                out = set(drop)
-                text = b"\n".join(line for i, line in enumerate(lines) if i not in out)
+        for content, spans in zip(batch.column(1), batch.column(2), strict=True):
+            text, drop, words = content.as_py(), [], 0
+            n_lines.append((text or b"").count(b"\n") + 1)
+            if at := spans.as_py():
+                text, drop, words = without_words(text, at)
             texts.append(text)
-            n_lines.append(len(lines))
             gone.append(drop)
             n_words.append(words)
         yield pa.RecordBatch.from_arrays(
@@ -176,19 +251,20 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(key, text, n_lines, removed, n_words_removed)`` for every row of ``docs``.
 
-    ``text`` lacks the lines of later repeated runs, whose numbers, from 0, are ``removed``.
-    Earlier means a smaller key, then a smaller text hash, then a smaller line; null keys come
+    ``text`` lacks the words of later repeated runs, in whole lines or in parts of lines;
+    ``removed`` are the numbers, from 0, of the lines that lost all their words and are gone.
+    Earlier means a smaller key, then a smaller text hash, then a smaller place; null keys come
     last. Lines without words are passed over and stay. A document may repeat itself. Rows alike
     in key and text are one document: they are cut alike and do not repeat each other.
 
     Null texts stay null with one empty line; empty texts stay. Other columns are not read; an
     empty table gives no rows.
     """
-    found = repeats(docs, text, key).select(F.col("key").alias("k"), F.col("hash").alias("h"), "runs")
+    found = repeats(docs, text, key).select(F.col("key").alias("k"), F.col("hash").alias("h"), "spans")
     kind = docs.schema[key].dataType.simpleString()
     whole = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("hash"), utf8(text).alias("text"))
     same = F.col("key").eqNullSafe(F.col("k")) & (F.col("hash") == F.col("h"))
-    joined = whole.join(found, same, "left").select("key", "text", "runs")
+    joined = whole.join(found, same, "left").select("key", "text", "spans")
     cut = joined.mapInArrow(
         _cut, f"key {kind}, text binary, n_lines long, removed array<long>, n_words_removed long"
     )
