@@ -452,6 +452,15 @@ def test_licenses(spark, docs):
     assert got[3][0].labels == ["gpl-3"] and got[6][0].labels == ["mit"] and not got[5][0].places
 
 
+def test_licenses_several_in_a_line(spark):
+    """A block's second notice stays unless a fuller one holds all of its words."""
+    two = "Released under the MIT License; parts licensed under the GNU General Public License 3"
+    one = "Licensed under the GNU General Public License, version 3"
+    frame = spark.createDataFrame([(1, two), (2, one)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan(frame).collect()}
+    assert got == {1: ["gpl-3", "mit"], 2: ["gpl-3"]}
+
+
 def test_warc_round_trip(spark):
     big, other = "<p>é\r\n\r\n" + "x" * 2000, "<p>" + "y" * 1500
     rows = [(1, "http://a/1", big), (2, "http://a/2", big), (3, "http://a/3\r\nX: y", other), (4, None, "small")]

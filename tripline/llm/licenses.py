@@ -16,7 +16,6 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tripline.llm.common import lower_ascii, staged
@@ -107,10 +106,10 @@ def _frequencies(docs: DataFrame, text: str, vocabulary: list[str]) -> dict[str,
 def matches(
     docs: DataFrame, text: str, containment: float, notices: tuple[tuple[str, str], ...]
 ) -> DataFrame:
-    """``(id, number, label, contained)`` for every block, notice pair that meets the threshold.
+    """``(id, number, label, contained, matched)`` for every block, notice pair at the threshold.
 
     ``docs`` has a column ``id``; ``number`` counts its blocks, ``contained`` is the share of the
-    notice's words. A pair may come once for each prefix word it shares.
+    notice's words and ``matched`` are these. A pair may come once for each prefix word it shares.
     """
     spark = docs.sparkSession
     sets = [(label, _set_of(notice)) for label, notice in notices]
@@ -153,9 +152,9 @@ def matches(
         .where(position <= F.col("size") - F.col("needed") + 1)  # the block's own prefix
         .where(possible >= F.col("needed"))  # positional filter
     )
-    overlap = F.size(F.array_intersect("tokens", "ranks"))
-    verified = pairs.withColumn("overlap", overlap).where(F.col("overlap") >= F.col("needed"))
-    return verified.select("id", "number", "label", (F.col("overlap") / F.size("ranks")).alias("contained"))
+    overlap = F.size("matched")
+    verified = pairs.withColumn("matched", F.array_intersect("tokens", "ranks")).where(overlap >= F.col("needed"))
+    return verified.select("id", "number", "label", (overlap / F.size("ranks")).alias("contained"), "matched")
 
 
 def scan(
@@ -168,8 +167,8 @@ def scan(
     """``(key, n_words, places, labels, score)`` for every row of ``docs``.
 
     ``places`` are the word positions of the phrases with their labels; ``labels``, sorted and
-    distinct, are those of phrases and of the notices that a block contains to the threshold, of
-    several in one block (a notice may hold most of another's words) those it contains most of;
+    distinct, are those of phrases and of all notices that a block contains to the threshold, but
+    for a notice whose words found there are all words of another that the block contains more of;
     ``score`` is the largest share of a notice's words found so, 1 where a phrase stands, 0 for
     neither. Blocks are lines of whole texts.
 
@@ -180,8 +179,16 @@ def scan(
     own = F.struct(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("hash"))
     narrow = docs.select(own.alias("id"), F.col(text).alias("text"))
     found = matches(narrow, "text", containment, notices)
-    best = F.max("contained").over(W.partitionBy("id", "number"))
-    found = found.distinct().withColumn("best", best).where("contained = best")
+    match = F.struct("label", "contained", "matched")
+    found = found.groupBy("id", "number").agg(F.collect_set(match).alias("all"))  # at most one per notice
+
+    def fuller(m: Column) -> Column:
+        def holds(o: Column) -> Column:
+            return (o["contained"] > m["contained"]) & (F.size(F.array_except(m["matched"], o["matched"])) == 0)
+
+        return F.exists("all", holds)
+
+    found = found.select("id", F.explode(F.filter("all", lambda m: ~fuller(m))).alias("m")).select("id", "m.*")
     found = found.groupBy("id").agg(F.collect_set("label").alias("more"), F.max("contained").alias("most"))
     found = found.select(F.col("id.key").alias("k"), F.col("id.hash").alias("h"), "more", "most")
     local = narrow.select(
