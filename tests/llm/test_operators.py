@@ -461,6 +461,21 @@ def test_licenses_several_in_a_line(spark):
     assert got == {1: ["gpl-3", "mit"], 2: ["gpl-3"]}
 
 
+def test_licenses_wrapped(spark):
+    """Notices broken over lines, behind comment marks, within long lines; not over paragraphs."""
+    apache = "# you may not use this file except in compliance with the License.\n# You may obtain a copy of the License at"
+    gpl = (
+        "This program is free software: you can redistribute it and/or\n * modify it under the terms of the GNU"
+        "\n * General Public License as published\n * by the Free Software Foundation"
+    )
+    short = "licensed under the BSD\n3-Clause License"
+    inside = f"{'lorem ' * 200}{short}{' ipsum' * 200}"
+    rows = [(1, apache), (2, gpl), (3, inside), (4, short.replace("\n", "\n\n")), (5, "\n".join(gpl.replace(" * ", "").split())), (6, "a\nb")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan(frame).collect()}
+    assert got == {1: ["apache-2"], 2: ["gpl"], 3: ["bsd"], 4: [], 5: ["gpl"], 6: []}
+
+
 def test_warc_round_trip(spark):
     big, other = "<p>é\r\n\r\n" + "x" * 2000, "<p>" + "y" * 1500
     rows = [(1, "http://a/1", big), (2, "http://a/2", big), (3, "http://a/3\r\nX: y", other), (4, None, "small")]

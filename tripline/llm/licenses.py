@@ -1,7 +1,9 @@
 """License scan: an exact set-similarity join of text blocks with licence notices.
 
-A block is a line; its words are matched with a notice's as sets, and the notice is found where
-the block holds at least ``CONTAINMENT`` of its words. Words are ordered by their frequency in
+A block is a line, or what lies around a line break of a paragraph: as many words before and after
+it as the longest notice has, so that a notice wrapped over lines lies whole in a block. A block's
+words are matched with a notice's as sets, and the notice is found where the block holds at least
+``CONTAINMENT`` of its words. Words are ordered by their frequency in
 the whole corpus, rarest first. A block that holds enough of a notice must share a word with
 the notice's prefix, the rarest few, and within its own prefix: only such pairs are joined.
 The number of the block's words and the positions of the shared word bound the overlap that is
@@ -58,6 +60,8 @@ CONTAINMENT = 0.8
 #: Whatever is no word character, before and after lower-casing A-Z.
 BETWEEN_RAW = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+#: Lines without words between two paragraphs.
+GAP = "\\n[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]*\\n"
 WORD_RAW = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
 
@@ -66,9 +70,12 @@ def words(text: Column) -> Column:
     return F.filter(F.split(lower_ascii(text), BETWEEN), lambda w: w != "")
 
 
+def _words_of(notice: str) -> list[str]:
+    return "".join(c if c.isalnum() else " " for c in notice.lower()).split()
+
+
 def _set_of(notice: str) -> list[str]:
-    kept = "".join(c if c.isalnum() else " " for c in notice.lower())
-    return list(dict.fromkeys(kept.split()))
+    return list(dict.fromkeys(_words_of(notice)))
 
 
 def _starts(each: Column, phrase: list[str], label: str) -> Column:
@@ -103,13 +110,35 @@ def _frequencies(docs: DataFrame, text: str, vocabulary: list[str]) -> dict[str,
     return {r["word"]: r["count"] for r in rows}
 
 
+def _around_breaks(texts: DataFrame, text: str, longest: int, may_match) -> DataFrame:
+    """``(id, number, words)`` of the blocks around line breaks within paragraphs.
+
+    A line of a paragraph has a word, so ``longest`` lines on either side are enough. Numbers are
+    negative, unlike those of lines.
+    """
+    parts = texts.where(F.instr(text, "\n") > 0)
+    parts = parts.select("id", F.posexplode(F.split(F.col(text), GAP)).alias("part", "block"))
+    parts = parts.where((F.instr("block", "\n") > 0) & may_match("block"))
+    lines = F.transform(F.split("block", "\n"), words)
+    ends = F.transform(lines, lambda w: F.slice(w, F.greatest(F.size(w) - longest + 1, F.lit(1)), longest))
+    heads = F.transform(lines, lambda w: F.slice(w, 1, longest))
+    parts = parts.select("id", "part", ends.alias("ends"), heads.alias("heads"))
+    each = parts.select("*", F.explode(F.sequence(F.lit(1), F.size("ends") - 1)).alias("line"))
+    low = F.greatest(F.col("line") - longest + 1, F.lit(1))
+    before = F.flatten(F.slice("ends", low, F.col("line") - low + 1))
+    before = F.slice(before, F.greatest(F.size(before) - longest + 1, F.lit(1)), longest)
+    after = F.slice(F.flatten(F.slice("heads", F.col("line") + 1, F.lit(longest))), 1, longest)
+    number = -(F.shiftleft(F.col("part").cast("long"), 32) + F.col("line"))
+    return each.select("id", number.alias("number"), F.concat(before, after).alias("words"))
+
+
 def matches(
     docs: DataFrame, text: str, containment: float, notices: tuple[tuple[str, str], ...]
 ) -> DataFrame:
     """``(id, number, label, contained, matched)`` for every block, notice pair at the threshold.
 
-    ``docs`` has a column ``id``; ``number`` counts its blocks, ``contained`` is the share of the
-    notice's words and ``matched`` are these. A pair may come once for each prefix word it shares.
+    ``docs`` has a column ``id``; ``number`` tells its blocks apart, ``contained`` is the share of
+    the notice's words and ``matched`` are these. A pair may come once for each prefix word it shares.
     """
     spark = docs.sparkSession
     sets = [(label, _set_of(notice)) for label, notice in notices]
@@ -132,10 +161,13 @@ def matches(
     def may_match(column: str) -> Column:
         return F.arrays_overlap(F.split(lower_ascii(F.col(column)), BETWEEN), prefixes)
 
-    blocks = docs.where(may_match(text))
-    blocks = blocks.select("id", F.posexplode(F.split(F.col(text), "\n")).alias("number", "block"))
+    texts = docs.where(may_match(text))
+    blocks = texts.select("id", F.posexplode(F.split(F.col(text), "\n")).alias("number", "block"))
     blocks = blocks.where(may_match("block"))
-    known = F.array_intersect(words(F.col("block")), F.array(*map(F.lit, vocabulary)))
+    blocks = blocks.select("id", F.col("number").cast("long").alias("number"), words(F.col("block")).alias("words"))
+    longest = max((len(_words_of(notice)) for _, notice in notices), default=1)
+    blocks = blocks.union(_around_breaks(texts, text, longest, may_match))
+    known = F.array_intersect("words", F.array(*map(F.lit, vocabulary)))
     place = F.create_map(*(F.lit(x) for pair in rank.items() for x in pair))
     blocks = blocks.select(
         "id", "number", F.array_sort(F.transform(known, lambda w: F.element_at(place, w))).alias("tokens")
@@ -170,7 +202,7 @@ def scan(
     distinct, are those of phrases and of all notices that a block contains to the threshold, but
     for a notice whose words found there are all words of another that the block contains more of;
     ``score`` is the largest share of a notice's words found so, 1 where a phrase stands, 0 for
-    neither. Blocks are lines of whole texts.
+    neither. Blocks are lines of whole texts, and what lies around the line breaks of paragraphs.
 
     Null and empty texts have no words, labels or places and score 0. Repeated rows are each
     answered; a null key is a key like any other. Other columns are not read; an empty table
