@@ -63,5 +63,5 @@ def test_queries_are_registered():
 
     every = __spark_entry__.queries()
     assert set(QUERIES) <= set(every) and "pipeline" in every
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripline.llm import (
+    audit,
+    codebooks,
     decontaminate,
     embeddings,
     licenses,
@@ -16,6 +18,7 @@ from tripline.llm import (
     packing,
     pages,
     quality,
+    shards,
     simhash,
     warc,
 )
@@ -95,6 +98,20 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codebooks.product_codes(_table(spark, sf_dir, "embeddings"))
+
+
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 shards in two regions of four racks of five."""
+    found = shards.directory(_table(spark, sf_dir, "documents"), shards.uniform(2, 4, 5))
+    return found.withColumn("law", F.lit("key"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": main_texts,
     "op2_packed_tokens": packed_tokens,
@@ -106,4 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_components": embedding_components,
     "op9_quality_scores": quality_scores,
     "op10_line_dedup": lines_without_repeats,
+    "op11_vector_codes": vector_codes,
+    "op12_filter_audit": filter_audit,
+    "op13_hash_shards": hash_shards,
 }
