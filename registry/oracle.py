@@ -483,6 +483,12 @@ def oracle() -> dict[str, str]:
             f" 'lineitem.parquet' AS source_file, {text('l_shipdate')} AS failed_at,"
             " CAST(0 AS BIGINT) AS retry_count FROM rejected",
         ),
+        "s8_broken_files": with_(
+            errors(),
+            "SELECT 'letter' AS kind, error_type, count(*) AS rows FROM rejected GROUP BY 2"
+            " UNION ALL SELECT 'file cut', 'cut short after', 0"
+            " UNION ALL SELECT 'file odd', 'damaged after', 0",
+        ),
         "s9_table_scan": with_(CURRENT, f"SELECT {out(*_TRIP)} FROM current_rows"),
         "k1_publish_messages": with_(
             VALID,
@@ -669,6 +675,13 @@ def oracle() -> dict[str, str]:
             + out(*[c for c in _TRIP if c not in ("ingested_at", "source_file")])
             + " FROM valid_rows",
         ),
+        "q3_replay_generations": with_(
+            _REPLAY,
+            "SELECT CASE failure WHEN 'ok' THEN 'recovered' ELSE 'still invalid' END AS outcome,"
+            " CASE WHEN failure <> 'ok' THEN 2 END AS retry_count, count(*) AS letters"
+            " FROM rejudged GROUP BY 1, 2"
+            " UNION ALL SELECT 'consumed load', 1, 1 UNION ALL SELECT 'consumed replay', 2, 1",
+        ),
         "q4_replay_still_invalid": with_(
             _REPLAY + ", still AS (" + _RE_ERR,
             "SELECT trip_id, error_message, error_type, stage, batch_id,"

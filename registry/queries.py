@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tripline import workload
 from tripline.functions import codes, encode, identity, times, values
 from tripline.operators import dedup, enrich, gate, rollup, staging
-from tripline.plans import adhoc, dashboard, deadletters, ingest, operations
+from tripline.plans import adhoc, dashboard, deadletters, generations, ingest, operations
 from tripline.schema import RAW_COLUMNS, TRIPS, raw_types
 from tripline.session import prepare
 from tripline.sinks import deadletters as letter_sink
@@ -123,7 +123,7 @@ def store(spark: SparkSession, sf_dir: str) -> Store:
     """Fact table of both deliveries and its rollups."""
     facts = filled_facts(spark, sf_dir)
     rollups = RollupTables(spark, staging.new_folder(spark, "rollups"))
-    rollups.refresh(facts, touched_days(facts.versions()), 1, "load")
+    rollups.refresh(facts, touched_days(facts.versions()))
     return Store(facts, rollups)
 
 
@@ -297,6 +297,38 @@ def _(spark, sf_dir):
     return found.drop("original_record")
 
 
+@query("s8_broken_files")
+def _(spark, sf_dir):
+    """Reject files, some of them cut short or no gzip at all: all other letters, and the broken files."""
+    folder = staging.new_folder(spark, "rejected")
+    letter_sink.write_files(letters(spark, sf_dir), folder, 1, "load")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
+    spoil(spark, files.select("path", F.expr("substring(content, 1, 20)").alias("head")), "cut")
+    spoil(spark, files.select("path", F.expr("substring(content, 30, 40)").alias("head")), "odd")
+    found, _bad = rejects.read_rejects(spark, folder)
+    kinds = found.select(F.lit("letter").alias("kind"), "error_type")
+    broken = rejects.broken_files(spark, folder)
+    name = F.regexp_extract("file", "([a-z]+)-[^/]*$", 1)
+    broken = broken.select(
+        F.concat(F.lit("file "), name).alias("kind"), F.regexp_extract("reason", "^[a-z ]+[a-z]", 0).alias("error_type")
+    )
+    both = kinds.unionByName(broken).groupBy("kind", "error_type").agg(F.count("*").alias("rows"))
+    # how many files there are depends on the writer: told is whether all that were spoilt are listed
+    return both.withColumn("rows", F.when(F.col("kind") == "letter", F.col("rows")).otherwise(
+        F.col("rows") - F.lit(files.filter("path not like '%/cut-%' and path not like '%/odd-%'").count())
+    ))
+
+
+def spoil(spark: SparkSession, heads: DataFrame, name: str) -> None:
+    """Put a broken file beside each of the given ones: a few of its bytes, one file a folder."""
+    for row in heads.collect():
+        folder, own = row.path.rsplit("/", 1)
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}-{own}")
+        out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
+        out.write(bytearray(row.head))
+        out.close()
+
+
 @query("s9_table_scan")
 def _(spark, sf_dir):
     return store(spark, sf_dir).facts.current().select(*TRIPS.names)
@@ -328,7 +360,7 @@ def _(spark, sf_dir):
 @query("k3_upsert")
 def _(spark, sf_dir):
     facts = filled_facts(spark, sf_dir)
-    # the second delivery comes again, then months are folded
+    # the second delivery comes again, then months are merged
     again = staging.stage(facts.versions().filter("write_seq = 2").select(*TRIPS.names), "again")
     facts.append(again, 2, "load")
     facts.compact([m for m in facts.months() if m < 201200])
@@ -360,17 +392,18 @@ def month_totals(facts: FactTable) -> DataFrame:
 
 @query("k8_interrupted_fold")
 def _(spark, sf_dir):
-    """Rollups while folded and unfolded segments lie side by side, and folded again."""
+    """Rollups while merged months and their deliveries lie side by side, and merged again."""
     facts = filled_facts(spark, sf_dir)
     tables = RollupTables(spark, staging.new_folder(spark, "rollups"))
     days = touched_days(facts.versions())
-    tables.refresh(facts, days, 1, "load", [rollup.DAILY])
-    files = tables.files(rollup.DAILY)
-    every = files.read()
-    files.write(every.filter("day(day) < 20").drop("segment"), f"folded-{files.number():012d}", ["day"])
-    half = rollup.finish(tables.read(rollup.DAILY), rollup.DAILY).withColumn("folded", F.lit(False))
+    # the write of a compact that stopped half-way: some months merged, no delivery deleted
+    merged = facts.current().filter("pickup_month % 2 = 0")
+    facts.merged.write(staging.stage(merged, "half-merged"), dedup.TRIP_KEY)
+    half = rollup.build(facts.current(), rollup.DAILY)
+    half = rollup.finish(half, rollup.DAILY).withColumn("folded", F.lit(False))
     staged = staging.stage(half, "half-folded")
-    tables.compact([rollup.DAILY])
+    facts.compact()
+    tables.refresh(facts, days, [rollup.DAILY])
     whole = rollup.finish(tables.read(rollup.DAILY), rollup.DAILY).withColumn("folded", F.lit(True))
     return staged.unionByName(whole)
 
@@ -537,17 +570,8 @@ def _(spark, sf_dir):
     raw = F.when(F.col("event_type") == "error", F.col("props")).otherwise(
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     )
-    parsed = times.parse_timestamp(F.col("raw"), T.StringType())
-    return events.select("event_id", raw.alias("raw")).select(
-        "event_id",
-        parsed.alias("parsed"),
-        F.when(
-            parsed.isNull(),
-            F.concat(
-                F.lit("Cannot parse 'timestamp' value '"), "raw", F.lit("' as a datetime.")
-            ),
-        ).alias("error"),
-    )
+    judged = times.strict_timestamp(F.col("raw"), T.StringType())
+    return events.select("event_id", raw.alias("raw")).select("event_id", judged.alias("j")).select("event_id", "j.*")
 
 
 @query("p3_truncate_format")
@@ -784,7 +808,7 @@ def _(spark, sf_dir):
 
 @query("q2_routing_key")
 def _(spark, sf_dir):
-    keyed = deadletters.routing_key(letters(spark, sf_dir))
+    keyed = letters(spark, sf_dir).select(letter_sink.routing_key().alias("key"))
     return keyed.groupBy("key").agg(F.count("*").alias("letters"))
 
 
@@ -802,6 +826,28 @@ def _(spark, sf_dir):
     return rows.drop("ingested_at", "source_file")
 
 
+@query("q3_replay_generations")
+def _(spark, sf_dir):
+    """Two replays a month apart, each run twice: every letter recovers once or is kept once."""
+    folder = staging.new_folder(spark, "rejected")
+    letter_sink.write_files(letters(spark, sf_dir), folder, 1, "load")
+    ledger, recovered = staging.new_folder(spark, "ledger"), staging.new_folder(spark, "recovered")
+    a_month_on = F.lit("2014-10-30 00:00:00").cast("timestamp")
+    for number, clock in ((1, now()), (2, a_month_on), (2, a_month_on), (1, now())):
+        run = generations.ReplayRun(folder, ledger, recovered, number)
+        generations.replay_pending(spark, run, workload.zones(spark, sf_dir), clock, F.lit("replay"))
+    kept, _bad = rejects.read_rejects(spark, f"{folder}/writer=replay/generation=2")
+    outcomes = [
+        spark.read.parquet(recovered).select(F.lit("recovered").alias("outcome"), F.lit(None).cast("int").alias("retry_count")),
+        kept.select(F.lit("still invalid").alias("outcome"), "retry_count"),
+        generations.consumed(spark, ledger).select(
+            F.concat(F.lit("consumed "), "writer").alias("outcome"), F.col("run").cast("int").alias("retry_count")
+        ),
+    ]
+    rows = outcomes[0].unionByName(outcomes[1]).unionByName(outcomes[2])
+    return rows.groupBy("outcome", "retry_count").agg(F.count("*").alias("letters"))
+
+
 @query("q4_replay_still_invalid")
 def _(spark, sf_dir):
     return replayed(spark, sf_dir).still_invalid.drop("original_record", "source_file")
@@ -910,7 +956,7 @@ def _(spark, sf_dir):
     for number in (1, 2):
         part = valid.filter(F.col("write_seq") == number)
         facts.append(part, number, "load")
-        tables.refresh(facts, touched_days(part), number, "load", [rollup.DAILY])
+        tables.refresh(facts, touched_days(part), [rollup.DAILY])
     return rollup.finish(tables.read(rollup.DAILY), rollup.DAILY)
 
 
@@ -1152,5 +1198,5 @@ def _(spark, sf_dir):
     ]
     for number, part in enumerate(parts):
         facts.append(part, number, "load")
-        tables.refresh(facts, touched_days(part), number, "load", [rollup.HOURLY])
+        tables.refresh(facts, touched_days(part), [rollup.HOURLY])
     return rollup.finish(tables.read(rollup.HOURLY), rollup.HOURLY)

@@ -1,6 +1,7 @@
 import gzip
 import json
 import os
+import random
 from datetime import UTC, datetime, timedelta
 
 import pytest
@@ -10,13 +11,15 @@ from pyspark.sql import types as T
 from tests.rides import PICKUP, RIDE, RIDE_ID, rides, zone_frame
 from tripline.operators.staging import new_folder
 from tripline.operators import rollup
-from tripline.plans import deadletters
+from tripline.plans import deadletters, generations
+from tripline.plans.deadletters import dead_letters
 from tripline.plans.ingest import process
 from tripline.sinks import deadletters as letter_sink
 from tripline.sinks.messages import publish, trip_messages
 from tripline.sinks.tables import FactTable, RollupTables
 from tripline.sources import messages
-from tripline.sources.rejects import read_rejects
+from tripline.sinks.deadletters import routing_key, write_files
+from tripline.sources.rejects import broken_files, read_rejects
 from tripline.sources.trips import read_trips, stream_trips
 from tripline.sources.zones import read_zones, zone_dimension
 from tripline.streaming import jobs
@@ -308,8 +311,8 @@ def test_many_small_batches_leave_few_segments(spark):
     for number in range(30):
         batch = trip_messages(valid.withColumn("trip_id", F.lit(f"t{number % 7}")))
         each(batch, number)
-    held = [len(s) for spec in rollup.ROLLUPS for s in tables.files(spec).listing().values()]
-    assert max(held) <= 6 and max(map(len, facts.files.listing().values())) <= 6
+    assert len(facts.deliveries.folders("writer=*/number=*/")) <= 5
+    assert all(len(tables.files(spec).folders()) == 1 for spec in rollup.ROLLUPS)
     assert facts.current().count() == 7
     for spec in rollup.ROLLUPS:
         fresh = rollup.build(facts.current(), spec)
@@ -330,3 +333,70 @@ def test_streamed_rollups(spark, spec):
     want = rollup.build(valid.filter("pickup_datetime < '2024-02-09'"), spec)
     got = spark.read.schema(stream.schema).parquet(out).select(*want.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def gz(path, text, cut=None):
+    data = gzip.compress(text.encode())
+    path.write_bytes(data[:cut] if cut else data)
+
+
+def test_broken_reject_files(spark, tmp_path):
+    """A file that cannot be read to its end costs its rest alone, and is told with the reason."""
+    rng = random.Random(1)
+    lines = [json.dumps({"trip_id": f"{name}{i}", "original_record": {}, "noise": rng.random()}) for name in "ab" for i in range(3000)]
+    one, two = "\n".join(lines[:3000]) + "\n", "\n".join(lines[3000:]) + "\n"
+    gz(tmp_path / "whole.jsonl.gz", one)
+    gz(tmp_path / "cut.jsonl.gz", two, cut=15_000)
+    (tmp_path / "members.jsonl.gz").write_bytes(gzip.compress(b'{"trip_id":"m1"}\n') + gzip.compress(b'{"trip_id":"m2"}\n') + bytes(9))
+    (tmp_path / "odd.jsonl.gz").write_bytes(b"no gzip at all")
+    (tmp_path / "empty.jsonl.gz").write_bytes(b"")
+    found, bad = read_rejects(spark, str(tmp_path))
+    names = {r.trip_id for r in found.collect()}
+    assert {f"a{i}" for i in range(3000)} <= names and {"m1", "m2"} <= names
+    of_cut = {n for n in names if n.startswith("b")}
+    assert 0 < len(of_cut) < 3000 and of_cut == {f"b{i}" for i in range(len(of_cut))}
+    assert bad.count() <= 1  # at most the line in which the cut lies
+    broken = {r.file.rsplit("/", 1)[1]: r.reason for r in broken_files(spark, str(tmp_path)).collect()}
+    assert set(broken) == {"cut.jsonl.gz", "odd.jsonl.gz"}
+    assert broken["cut.jsonl.gz"].startswith("cut short after ") and broken["odd.jsonl.gz"].startswith("damaged after 0 bytes")
+
+
+def test_generations_are_replayed_once(spark):
+    """Runs take what no other run took, never their own output, and can be repeated."""
+    folder, ledger, out = (new_folder(spark, n) for n in ("rejected", "ledger", "recovered"))
+    zones = zone_dimension(zone_frame(spark))
+    soon, later = (F.lit(f"2024-0{m}-01 00:00:00").cast("timestamp") for m in (6, 8))
+    july = {"pickup_datetime": datetime(2024, 7, 1), "dropoff_datetime": datetime(2024, 7, 1, 0, 9)}
+    never = {"passenger_count": 12.0}
+    rejected = done(spark, july, never, {"pickup_datetime": None}).rejected
+    write_files(dead_letters(rejected, soon), folder, 1, "load")
+
+    def run(number, clock):
+        generations.replay_pending(spark, generations.ReplayRun(folder, ledger, out, number), zones, clock)
+
+    def outcome():
+        taken = {(r.writer, r.generation, r.run) for r in generations.consumed(spark, ledger).collect()}
+        return spark.read.parquet(out).count(), taken
+
+    run(1, soon)
+    assert outcome() == (0, {("load", 1, 1)})
+    run(2, later)
+    want = (1, {("load", 1, 1), ("replay", 1, 2)})
+    assert outcome() == want
+    for number, clock in ((2, later), (1, soon)):
+        run(number, clock)
+        assert outcome() == want
+    last = read_rejects(spark, f"{folder}/writer=replay/generation=2")[0].collect()
+    assert sorted(r.retry_count for r in last) == [2, 2]
+    # a new delivery is all that the next run takes besides what the second left
+    write_files(dead_letters(rejected, soon), folder, 2, "load")
+    waiting = generations.pending(spark, generations.ReplayRun(folder, ledger, out, 3))
+    assert {(r.writer, r.generation) for r in waiting.collect()} == {("load", 2), ("replay", 2)}
+    run(3, later)
+    assert outcome()[0] == 2
+
+
+def test_routing_key_of_letters_without_trip(spark):
+    rows = [("t", "b"), (None, "b"), ("", "b")]
+    df = spark.createDataFrame(rows, "trip_id string, batch_id string")
+    assert [r.k for r in df.select(routing_key().alias("k")).collect()] == ["t", "b", "b"]

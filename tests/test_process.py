@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from tests.conftest import plan_of
 from tests.rides import DROPOFF, MONEY, PICKUP, RIDE, RIDE_ID, rides, zone_frame
-from tripline.operators import gate
+from tripline.operators import dedup, gate
 from tripline.operators.sizing import Dimension, measure
 from tripline.plans.ingest import process
 from tripline.sources.zones import zone_dimension
@@ -199,13 +199,31 @@ def test_first_row_is_kept(spark, staged):
     assert done.rejected.count() == 49
 
 
-def test_keep_first_shuffles_keys_alone(spark):
-    done = run(spark, {}, {}, {"passenger_count": 12.0})
-    before_join = [p for p in plan_of(done.repeats).split("\n") if "Exchange" in p]
-    assert before_join and not any("fare_amount" in p for p in before_join)
-    broken = plan_of(done._broken)
-    assert "Exchange" not in broken
-    assert "row_order" in plan_of(done.valid)
+def test_records_are_judged_once(spark, tmp_path):
+    """One scan and one rule pass for each output, staged or not; whole records stay where they lie."""
+    rides(spark, {}, {}, {"passenger_count": 12.0}).write.parquet(str(tmp_path / "rides"))
+    df = spark.read.parquet(str(tmp_path / "rides"))
+    done = process(df, zone_dimension(zone_frame(spark)), F.lit(str(NOW)).cast("timestamp"))
+    for part, kept in ((done.valid, 1), (done.rejected, 2)):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("explode(array(") == 1
+        assert plan_of(part).count(str(tmp_path / "rides")) == 1
+        assert part.count() == kept
+        exchanged = [p for p in plan_of(part).split("\n") if "Exchange hashpartitioning" in p]
+        assert not any("fare_amount" in p for p in exchanged)
+
+
+def test_repeats_beyond_a_broadcast(spark, monkeypatch):
+    changes = [{"tip_amount": float(i), "vendor_id": float(i % 3)} for i in range(30)]
+    want = [sorted(map(str, part.collect())) for part in (run(spark, *changes).valid, run(spark, *changes).rejected)]
+    monkeypatch.setattr(dedup, "BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = run(spark, *changes)
+        assert not done.repeats.small
+        assert [sorted(map(str, part.collect())) for part in (done.valid, done.rejected)] == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_countless_passengers(spark):
@@ -233,7 +251,7 @@ def test_broadcast_depends_on_size(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = rides(spark, {})
-        plans = [plan_of(process(df, d).valid) for d in (Dimension(zones, True), large)]
+        plans = [plan_of(process(df, d, one_by_one=True).valid) for d in (Dimension(zones, True), large)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 MILLIS_FROM = 1e12
 LAST_SECOND = 253_402_300_799
 
+# Fixed value: the text of a value that is no instant, around it.
+NO_INSTANT = ("Cannot parse '{field}' value '", "' as a datetime.")
+
 # Text forms accepted beside ISO 8601.
 OTHER_FORMATS = ["MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "yyyy/MM/dd HH:mm:ss", "yyyyMMdd"]
 
@@ -41,6 +44,15 @@ def parse_timestamp(col: Column, dtype: T.DataType) -> Column:
     return F.lit(None).cast("timestamp")
 
 
+def strict_timestamp(col: Column, dtype: T.DataType, field: str = "timestamp") -> Column:
+    """Struct of ``parsed`` and ``error``: an instant, or why there is none."""
+    before, after = NO_INSTANT
+    shown = F.coalesce(col.cast("string"), F.lit("None"))
+    error = F.concat(F.lit(before.format(field=field)), shown, F.lit(after))
+    parsed = parse_timestamp(col, dtype)
+    return F.struct(parsed.alias("parsed"), F.when(parsed.isNull(), error).alias("error"))
+
+
 def has_fraction(ts: Column) -> Column:
     return F.unix_micros(ts) % 1_000_000 != 0
 

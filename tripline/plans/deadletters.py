@@ -37,11 +37,6 @@ def dead_letters(rejected: DataFrame, failed_at: Column | None = None) -> DataFr
     )
 
 
-def routing_key(letters: DataFrame) -> DataFrame:
-    """Add ``key``: the trip id, or the batch id where there is none."""
-    return letters.withColumn("key", F.coalesce("trip_id", "batch_id"))
-
-
 def raw_record(letters: DataFrame) -> DataFrame:
     """Raw record fields out of ``original_record``.
 

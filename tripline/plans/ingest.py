@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripline.functions import codes, identity, times, values
-from tripline.operators.dedup import later_rows
+from tripline.operators.dedup import contested, later_rows, small_side
 from tripline.operators.enrich import add_zones
 from tripline.operators.rules import Rule, describe, first_broken, knows_trip, position, trip_rules
 from tripline.operators.sizing import Dimension
@@ -26,66 +27,68 @@ class Processed:
     """Judged records and the two outputs derived from them.
 
     ``records`` holds the raw record, its provenance, ``trip_id`` and ``failure``
-    (position of the broken rule, 0 for none); ``repeats`` the positions of those that
-    broke no rule but repeat a trip of their batch. Call ``staged`` before using more
-    than one output, so that the records are read and judged once.
+    (position of the broken rule, 0 for none). Every output reads and judges the records
+    once. Call ``staged`` before using more than one output, so that all share one pass.
     """
 
     records: DataFrame
-    repeats: DataFrame | None
     rules: list[Rule]
     zones: Dimension
     ingested_at: Column
     keep: tuple[str, ...] = ()
+    #: The records before they were judged; none if every record is its own batch.
+    unjudged: DataFrame | None = None
+    #: Positions of the repeats, where they have been found already.
+    found: DataFrame | None = None
 
     def staged(self, scratch: Scratch | None = None) -> Processed:
         """Records are written as they were judged, unshuffled; repeats are few columns."""
-        done = replace(self, records=stage(self.records, "judged", scratch))
-        if self.repeats is None:
+        done = replace(self, records=stage(self.records, "judged", scratch), unjudged=None)
+        if self.unjudged is None:
             return done
-        return replace(done, repeats=stage(repeats(done.records), "repeats", scratch))
-
-    @property
-    def _broken(self) -> DataFrame:
-        return self.records.filter("failure > 0")
-
-    def _sound(self, how: str) -> DataFrame:
-        """Records that broke no rule, with (semi) or without (anti) a first in their batch."""
-        sound = self.records.filter("failure = 0")
-        return sound if self.repeats is None else sound.join(self.repeats, POSITION, how)
-
-    @property
-    def _repeated(self) -> DataFrame:
-        code = F.lit(position(self.rules, "duplicate"))
-        columns = self.records.columns
-        return self._sound("left_semi").withColumn("failure", code).select(*columns)
+        return replace(done, found=stage(repeats(done.records), "repeats", scratch))
+
+    @cached_property
+    def repeats(self) -> Dimension | None:
+        """Positions of records that broke no rule but repeat a trip of their batch."""
+        if self.found is not None:
+            return small_side(self.found)
+        if self.unjudged is None:
+            return None
+        # Only records with the identity of another are judged to tell who was first.
+        same = F.xxhash64("batch_id", *identity_parts(self.unjudged))
+        hashed = self.unjudged.withColumn("_same", same)
+        side = contested(hashed, "_same")
+        if side.df.isEmpty():
+            return None
+        few = hashed.join(side.side(), "_same", "left_semi")
+        return small_side(stage(repeats(judge(few, self.rules)), "repeats"))
 
     @property
     def judged(self) -> DataFrame:
         """All records; repeats carry the position of the duplicate rule as ``failure``."""
         if self.repeats is None:
             return self.records
-        firsts = self._sound("left_anti").select(*self.records.columns)
-        return self._broken.unionByName(firsts).unionByName(self._repeated)
+        code = F.lit(position(self.rules, "duplicate"))
+        again = self.repeats.side().withColumn("_again", code)
+        marked = self.records.join(again, POSITION, "left")
+        failure = F.coalesce("_again", "failure").alias("failure")
+        return marked.select(*[failure if c == "failure" else c for c in self.records.columns])
 
     @property
     def valid(self) -> DataFrame:
         """Accepted trips with their 28 fields (and the ``keep`` columns)."""
-        good = self._sound("left_anti")
+        good = self.records.filter("failure = 0")
+        if self.repeats is not None:
+            good = good.join(self.repeats.side(), POSITION, "left_anti")
         return add_zones(build_trips(good, self.ingested_at, self.keep), self.zones).select(
             *TRIPS.names, *self.keep
         )
 
     @property
     def rejected(self) -> DataFrame:
-        """Rejected records with stage, error type and message.
-
-        Those that broke a rule are not shuffled; repeats are picked out by position.
-        """
-        bad = self._broken
-        if self.repeats is not None:
-            bad = bad.unionByName(self._repeated)
-        return bad.select(
+        """Rejected records with stage, error type and message."""
+        return self.judged.filter("failure > 0").select(
             *RAW_COLUMNS,
             "source_file",
             "batch_id",
@@ -146,16 +149,20 @@ def build_trips(records: DataFrame, ingested_at: Column, keep: tuple[str, ...] =
 
 def identify(records: DataFrame) -> Column:
     """Trip identity of raw records."""
+    return identity.trip_id(*identity_parts(records))
+
+
+def identity_parts(records: DataFrame) -> list[Column]:
     types = raw_types(records)
     pickup, dropoff = (
         times.parse_timestamp(F.col(n), types[n]) for n in ["pickup_datetime", "dropoff_datetime"]
     )
-    return identity.trip_id(
+    return [
         codes.vendor_label(F.col("vendor_id"), types["vendor_id"]),
         pickup,
         dropoff,
         codes.whole_number(F.col("pickup_location_id"), types["pickup_location_id"]),
-    )
+    ]
 
 
 def judge(records: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -196,10 +203,9 @@ def process(
     now = F.current_timestamp() if now is None else now
     records, missing = complete_raw(records)
     rules = trip_rules(raw_types(records), missing, now, schema_gate)
-    judged = judge(records, rules)
-    again = None if one_by_one else repeats(judged)
     clock = now if ingested_at is None else ingested_at
-    return Processed(judged, again, rules, zones, clock, keep)
+    unjudged = None if one_by_one else records
+    return Processed(judge(records, rules), rules, zones, clock, keep, unjudged)
 
 
 def run_log(done: Processed, started_at: Column, ended_at: Column) -> DataFrame:

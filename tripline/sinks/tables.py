@@ -1,26 +1,26 @@
-"""Fact and rollup tables on plain Parquet, partitioned by month and segment.
-
-Every delivery is written as a *segment* of each month it touches, named after its
-writer, its number and a number of the table's own that grows with every write.
-Nothing stored is ever overwritten: a delivery that comes again is written beside
-its first copy, which is deleted afterwards, so jobs, restarted jobs and redelivery
-never destroy each other's rows. Readers pick the latest version of what they read,
-and agree whether or not superseded segments are still there. ``fold`` writes a
-month's latest versions as one segment, after which reading needs no picking.
-
-Any number of writers and readers; only one of them should fold. A reader whose plan
-was made before a fold or a redelivery deleted files fails and has to be run again.
+"""Fact and rollup tables on plain Parquet, partitioned by month.
+
+Deliveries are written as they come, each into a folder of its own named after its writer and
+number, ``deliveries/writer=w/number=n/month=yyyyMM``: one that comes again replaces itself.
+``months/month=yyyyMM`` holds one version of every trip. ``compact`` brings it up to date:
+the touched months and their deliveries are read, the latest versions staged, and these months
+replaced by dynamic partition overwrite. Readers pick the latest version from both, so they agree
+before, during and after; months without new deliveries need no picking.
+
+Rollups are kept the same way: touched days are recomputed, put together with the other days of
+their months, staged, and the months overwritten.
+
+Any number of jobs may append deliveries; one job compacts a fact table, and one refreshes a
+rollup. A reader whose plan was made before folders went fails and has to be run again.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
-from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,174 +34,60 @@ from tripline.sources.messages import as_stored
 #: Greatest wins; the batch only settles ties, a batch holds a trip once.
 VERSION_ORDER = ["ingested_at", "write_seq", "batch_id"]
 
-FOLDED = re.compile(r"^folded-(\d+)$")
-DELIVERY = re.compile(r"^delivery\.([A-Za-z0-9_-]+)\.(\d+)\.(\d+)$")
-
 #: Columns the rollups are built from.
 ROLLUP_INPUT = sorted(
     {"pickup_datetime"} | {c for r in ROLLUPS for c in (*r.keys, *r.sums)}
 )
 
 
-class Delivery(NamedTuple):
-    """One writer's numbered delivery, and the table's number for this writing of it."""
-
-    writer: str
-    sequence: int
-    attempt: int
-
-    @property
-    def segment(self) -> str:
-        return f"delivery.{self.writer}.{self.sequence:012d}.{self.attempt:012d}"
-
-    @classmethod
-    def of(cls, segment: str) -> Delivery | None:
-        found = DELIVERY.match(segment)
-        return cls(found[1], int(found[2]), int(found[3])) if found else None
-
-
-class SegmentedTable:
-    """Parquet files below ``path/month=yyyyMM/segment=name``."""
+class MonthFiles:
+    """Parquet below one folder, by month, and by writer and number where they are kept apart."""
 
     def __init__(self, spark: SparkSession, path: str, month: str, columns: T.StructType):
         self.spark, self.path, self.month = spark, path, month
-        self.schema = T.StructType(
-            [
-                *columns,
-                T.StructField(month, T.IntegerType()),
-                T.StructField("segment", T.StringType()),
-            ]
-        )
-
-    def _fs(self, path: str):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
-
-    def _delete(self, path: str) -> None:
-        fs, where = self._fs(path)
-        fs.delete(where, True)
-
-    def _names(self, pattern: str) -> list[str]:
-        fs, where = self._fs(f"{self.path}/{pattern}")
-        return [str(s.getPath()) for s in fs.globStatus(where) or []]
-
-    def listing(self) -> dict[int, list[str]]:
-        """Segments by month, from one listing. Foreign folders are passed over."""
-        held: dict[int, list[str]] = {}
-        for name in self._names(f"{self.month}=*/segment=*"):
-            month, segment = name.rsplit("/", 2)[1:]
-            if (number := month.split("=", 1)[1]).isdigit():
-                held.setdefault(int(number), []).append(segment.split("=", 1)[1])
-        return {m: sorted(held[m]) for m in sorted(held)}
-
-    def months(self) -> list[int]:
-        return list(self.listing())
-
-    def settled_months(self) -> list[int]:
-        """Months of one folded segment: it holds every row of the month once."""
-        return [m for m, held in self.listing().items() if _is_settled(held)]
-
-    def number(self) -> int:
-        """A number no other write to this table has had, greater than all before.
-
-        Claimed by creating a file, which only one claimant can.
-        """
-        while True:
-            taken = [int(n.rsplit("/", 1)[1]) for n in self._names("_numbers/*")]
-            mine = max(taken, default=0) + 1
-            fs, where = self._fs(f"{self.path}/_numbers/{mine:012d}")
-            if fs.createNewFile(where):
-                for old in taken:
-                    if old < mine - 1000:
-                        self._delete(f"{self.path}/_numbers/{old:012d}")
-                return mine
-
-    def version(self, writer: str, sequence: int, number: int) -> int:
-        """The number under which a delivery first came: ``number`` if it is new."""
-        stem = f"_deliveries/{writer}.{sequence:012d}"
-        known = self._names(f"{stem}.*")
-        if known:
-            return min(int(n.rsplit(".", 1)[1]) for n in known)
-        fs, where = self._fs(f"{self.path}/{stem}.{number:012d}")
-        fs.createNewFile(where)
-        return number
-
-    def read(self) -> DataFrame:
-        """All rows of all segments; an empty frame before the first write."""
-        if not self.listing():
+        self.schema = T.StructType([*columns, T.StructField(month, T.IntegerType())])
+
+    def folders(self, below: str = "") -> dict[str, int]:
+        """Month folders and their months. Foreign folders are passed over."""
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{below}{self.month}=*")
+        files = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        found = {}
+        for status in files.globStatus(where) or []:
+            name = status.getPath().toString()
+            if (number := name.rsplit("=", 1)[1]).isdigit():
+                found[name] = int(number)
+        return found
+
+    def read(self, folders: Iterable[str]) -> DataFrame:
+        """Rows of month folders; only these are listed."""
+        folders = sorted(folders)
+        if not folders:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path)
-
-    def of_months(self, months: list[int]) -> DataFrame:
-        return self.read().filter(F.col(self.month).isin(months))
+        source = self.spark.read.schema(self.schema).option("basePath", self.path)
+        return source.parquet(*folders).select(*self.schema.names)
 
-    def write(self, rows: DataFrame, segment: str, order: list[str]) -> None:
-        """Add one segment to each month in ``rows``.
+    def write(self, rows: DataFrame, order: list[str], below: str = "") -> None:
+        """Write by month. ``below`` is replaced whole; without it, the months in ``rows`` are.
 
         The rebalance splits a hot month over several files and joins up small ones.
         """
-        (
-            rows.withColumn("segment", F.lit(segment))
-            .hint("rebalance", F.col(self.month))
-            .sortWithinPartitions(self.month, "segment", *order)
-            .write.mode("append")
-            .partitionBy(self.month, "segment")
-            .parquet(self.path)
-        )
+        sorted_rows = rows.hint("rebalance", F.col(self.month)).sortWithinPartitions(self.month, *order)
+        which = "static" if below else "dynamic"
+        writer = sorted_rows.write.mode("overwrite").option("partitionOverwriteMode", which)
+        writer.partitionBy(self.month).parquet(f"{self.path}/{below}")
 
-    def deliver(self, rows: DataFrame, delivery: Delivery, order: list[str]) -> None:
-        """Write a delivery; earlier writings of it go, in whatever months they lie."""
-        self.write(rows, delivery.segment, order)
-        for month, held in self.listing().items():
-            for segment in held:
-                if _replaced(segment, delivery):
-                    self._delete(f"{self.path}/{self.month}={month}/segment={segment}")
-
-    def superseded(self) -> list[str]:
-        """Segments of deliveries that have come again since and were not deleted yet."""
-        every = {s for held in self.listing().values() for s in held}
-        deliveries = [d for d in map(Delivery.of, every) if d]
-        return sorted(s for s in every if any(_replaced(s, d) for d in deliveries))
-
-    def fold(
-        self,
-        pick: Callable[[DataFrame], DataFrame],
-        order: list[str],
-        months: list[int] | None = None,
-    ) -> None:
-        """Write what ``pick`` leaves of the given months as one segment each.
+    def delete(self, folders: Iterable[str]) -> None:
+        for folder in folders:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
-        One job for all months. The new segments are complete before the old ones go;
-        ``pick`` must give the same answer while any of the old ones are still there.
-        """
-        every = self.listing()
-        chosen = every if months is None else months
-        old = {m: every[m] for m in chosen if m in every and not _is_settled(every[m])}
-        if not old:
-            return
-        # a new number each time: no segment is read and overwritten at once
-        name = f"folded-{self.number():012d}"
-        self.write(pick(self.of_months(list(old))).drop("segment"), name, order)
-        for month, held in old.items():
-            for segment in held:
-                self._delete(f"{self.path}/{self.month}={month}/segment={segment}")
-
-    def drop_months(self, before: int) -> list[int]:
-        """Retention: remove whole months earlier than ``before`` (yyyyMM)."""
-        gone = [m for m in self.months() if m < before]
-        for month in gone:
-            self._delete(f"{self.path}/{self.month}={month}")
-        return gone
 
+def delivery_folder(writer: str, sequence: int) -> str:
+    return f"writer={writer}/number={sequence}/"
 
-def _is_settled(held: list[str]) -> bool:
-    return len(held) == 1 and bool(FOLDED.match(held[0]))
 
-
-def _replaced(segment: str, by: Delivery) -> bool:
-    """An earlier writing of the same delivery."""
-    own = Delivery.of(segment)
-    return own is not None and own[:2] == by[:2] and own.attempt < by.attempt
+#: Any delivery.
+EVERY = "writer=*/number=*/"
 
 
 def as_fact(df: DataFrame) -> DataFrame:
@@ -217,87 +103,127 @@ class FactTable:
 
     def __init__(self, spark: SparkSession, path: str):
         columns = T.StructType([*TRIPS, T.StructField("write_seq", T.LongType())])
-        self.files = SegmentedTable(spark, path, "pickup_month", columns)
+        self.spark = spark
+        self.deliveries = MonthFiles(spark, f"{path}/deliveries", "pickup_month", columns)
+        self.merged = MonthFiles(spark, f"{path}/months", "pickup_month", columns)
 
     def append(self, trips: DataFrame, sequence: int, writer: str) -> None:
         """Store one delivery. The same writer's same number again replaces it.
 
-        ``write_seq`` is the table's own number for the delivery, from when it first
-        came. A trip without a pickup time has no month to lie in and raises an error:
-        see ``sources.messages.sorted_trips`` for a place to keep such rows.
+        ``write_seq`` is that number: of versions ingested at one time the later delivery
+        counts. A trip without a pickup time has no month to lie in and raises an error: see
+        ``sources.messages.sorted_trips`` for a place to keep such rows.
         """
-        number = self.files.number()
-        version = self.files.version(writer, sequence, number)
-        rows = as_fact(trips).withColumn("write_seq", F.lit(version).cast("bigint"))
+        rows = as_fact(trips).withColumn("write_seq", F.lit(sequence).cast("bigint"))
         without = F.raise_error(F.lit("a trip without a pickup time cannot be stored"))
         pickup = F.coalesce("pickup_datetime", without.cast("timestamp"))
         rows = rows.withColumn("pickup_month", month_of(pickup))
-        self.files.deliver(rows, Delivery(writer, sequence, number), TRIP_KEY)
+        self.deliveries.write(rows, TRIP_KEY, delivery_folder(writer, sequence))
+
+    def _held(self, months: Iterable[int] | None = None) -> tuple[dict[str, int], dict[str, int]]:
+        """Folders of deliveries and of merged months, all or of the given months."""
+        both = self.deliveries.folders(EVERY), self.merged.folders()
+        if months is None:
+            return both
+        wanted = set(months)
+        return tuple({f: m for f, m in held.items() if m in wanted} for held in both)
 
     def compact(self, months: list[int] | None = None) -> None:
-        """Keep only the latest version of every trip in the given months."""
-        self.files.fold(self._latest, TRIP_KEY, months)
+        """Keep only the latest version of every trip in the given months.
+
+        Deliveries are deleted after the months that now hold them are complete. A run that
+        is cut short changes nothing for readers and can be repeated.
+        """
+        new, merged = self._held(months)
+        touched = set(new.values())
+        if not touched:
+            return
+        old = [f for f, m in merged.items() if m in touched]
+        rows = self.deliveries.read(new).unionByName(self.merged.read(old))
+        with Scratch(self.spark) as scratch:
+            self.merged.write(stage(self._latest(rows), "months", scratch), TRIP_KEY)
+        self.deliveries.delete(new)
 
     def drop_months(self, before: int) -> list[int]:
-        return self.files.drop_months(before)
+        """Retention: remove whole months earlier than ``before`` (yyyyMM)."""
+        gone: set[int] = set()
+        for files, held in zip((self.deliveries, self.merged), self._held(), strict=True):
+            old = [f for f, m in held.items() if m < before]
+            gone.update(held[f] for f in old)
+            files.delete(old)
+        return sorted(gone)
 
     def months(self) -> list[int]:
-        return self.files.months()
+        return sorted({m for held in self._held() for m in held.values()})
 
     def versions(self) -> DataFrame:
-        """Every stored row, superseded ones too."""
-        return self.files.read().drop("segment")
+        """Every stored row, superseded ones too.
+
+        After a ``compact`` that was cut short, until it is repeated, a row may lie in both places.
+        """
+        new, merged = self._held()
+        if not merged:
+            return self.deliveries.read(new)
+        return self.deliveries.read(new).unionByName(self.merged.read(merged))
 
     @staticmethod
     def _latest(rows: DataFrame) -> DataFrame:
         return latest(rows, ["pickup_month", *TRIP_KEY], VERSION_ORDER)
 
-    def current(self, where: Column | None = None) -> DataFrame:
-        """Latest version of every trip; folded months are read as they are.
+    def current(self, where: Column | None = None, months: Iterable[int] | None = None) -> DataFrame:
+        """Latest version of every trip; months without new deliveries are read as they are.
 
         ``where`` may use only key columns (pickup time, vendor, trip id, month):
-        filtering others before choosing versions would change the choice.
+        filtering others before choosing versions would change the choice. Only ``months``
+        are listed, where given.
         """
-        listing = self.files.listing()
-        settled = [m for m, held in listing.items() if _is_settled(held)]
-        unsettled = [m for m in listing if m not in settled]
+        new, merged = self._held(months)
+        touched = set(new.values())
+        settled = [f for f, m in merged.items() if m not in touched]
+        open_months = [f for f, m in merged.items() if m in touched]
+
+        def kept(rows: DataFrame) -> DataFrame:
+            return rows if where is None else rows.filter(where)
+
         parts = []
         if settled:
-            part = self.files.of_months(settled)
-            parts.append(part if where is None else part.filter(where))
-        if unsettled or not settled:
-            part = self.files.of_months(unsettled)
-            parts.append(self._latest(part if where is None else part.filter(where)))
+            parts.append(kept(self.merged.read(settled)))
+        if touched or not settled:
+            rows = kept(self.deliveries.read(new))
+            if open_months:
+                rows = rows.unionByName(kept(self.merged.read(open_months)))
+            parts.append(self._latest(rows))
         out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
         return out.select(*TRIPS.names, "write_seq", "pickup_month")
 
     def is_settled(self, months: Iterable[int]) -> bool:
-        return set(months) <= set(self.files.settled_months())
+        """Whether no delivery waits to be merged into these months."""
+        new, merged = self._held(months)
+        return not new and set(months) <= set(merged.values())
 
     def written_since(self, since: Column) -> DataFrame:
         """Stored rows with ``ingested_at`` at or after ``since``, superseded ones too.
 
-        Files written more than a day before are not opened: rows are stored after they
-        were ingested, and a day allows for clocks that differ.
+        The test is on the rows' own time; row groups are skipped by their statistics.
         """
-        changed = F.col("_metadata.file_modification_time")
-        fresh = self.files.read()
-        if self.months():
-            fresh = fresh.filter(changed >= since - F.expr("INTERVAL '1' DAY"))
-        return fresh.filter(F.col("ingested_at") >= since).drop("segment")
+        return self.versions().filter(F.col("ingested_at") >= since)
 
     def statistics(self) -> DataFrame:
         """Rows, bytes and newest file time per month, from files and footers alone."""
-        per_file = (
-            self.files.read()
-            .groupBy(
-                "pickup_month",
-                F.col("_metadata.file_path").alias("file"),
-                F.col("_metadata.file_size").alias("bytes"),
-                F.col("_metadata.file_modification_time").alias("modified"),
-            )
-            .agg(F.count("*").alias("rows"))
-        )
+        file = [
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_size").alias("bytes"),
+            F.col("_metadata.file_modification_time").alias("modified"),
+        ]
+        per_file = None
+        for files, held in zip((self.deliveries, self.merged), self._held(), strict=True):
+            if held:
+                rows = self.spark.read.schema(files.schema).option("basePath", files.path).parquet(*sorted(held))
+                own = rows.groupBy("pickup_month", *file).agg(F.count("*").alias("rows"))
+                per_file = own if per_file is None else per_file.unionByName(own)
+        if per_file is None:
+            schema = "pickup_month int, file string, bytes bigint, modified timestamp, rows bigint"
+            per_file = self.spark.createDataFrame([], schema)
         return per_file.groupBy("pickup_month").agg(
             F.sum("rows").alias("rows"),
             F.sum("bytes").alias("bytes"),
@@ -341,96 +267,64 @@ def touched_days(trips: DataFrame) -> list[date]:
 class RollupTables:
     """The five rollups below one folder, one table each.
 
-    Two ways to fill them, not to be mixed in one folder. ``refresh`` recomputes
-    whole days from the current trips; a day's latest computation counts.
-    ``append_raw`` adds the components of every insert, repeats included.
+    Two ways to fill them, kept apart. ``refresh`` recomputes whole days from the current
+    trips. ``append_raw`` adds the components of every insert, repeats included.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def files(self, spec: RollupSpec) -> SegmentedTable:
+    def files(self, spec: RollupSpec, raw: bool = False) -> MonthFiles:
         grain = T.TimestampType() if spec.grain == "hour" else T.DateType()
         columns = [
             T.StructField(spec.grain, grain),
             *[T.StructField(k, TRIPS[k].dataType) for k in spec.keys],
             T.StructField("n", T.LongType()),
             *[T.StructField(f"sum_{m}", SUM_TYPES[m]) for m in spec.sums],
-            T.StructField("version", T.LongType()),
         ]
-        return SegmentedTable(
-            self.spark, f"{self.path}/{spec.name}", "rollup_month", T.StructType(columns)
+        kind = "deliveries" if raw else "months"
+        return MonthFiles(
+            self.spark, f"{self.path}/{spec.name}/{kind}", "rollup_month", T.StructType(columns)
         )
 
-    def refresh(
-        self,
-        facts: FactTable,
-        days: list[date],
-        sequence: int,
-        writer: str,
-        specs=tuple(ROLLUPS),
-    ) -> None:
+    def refresh(self, facts: FactTable, days: list[date], specs=tuple(ROLLUPS)) -> None:
         """Recompute the given days. Call it after the delivery has been stored.
 
-        The version is claimed before the trips are read, so a later version has seen
-        all that earlier ones have, whichever job computed it. Late, corrected and
-        redelivered trips all end in the same rollup. The number of days is bounded:
-        see ``touched_days``.
+        Late, corrected and redelivered trips all end in the same rollup, however often it is
+        called. The number of days is bounded: see ``touched_days``.
         """
         if not days:
             return
-        numbers = {spec: self.files(spec).number() for spec in specs}
-        trips = facts.current(on_days(days)).select(*ROLLUP_INPUT)
+        months = {d.year * 100 + d.month for d in days}
+        trips = facts.current(on_days(days), months).select(*ROLLUP_INPUT)
+
+        def one(spec: RollupSpec) -> None:
+            files = self.files(spec)
+            states = build(trips, spec).withColumn("rollup_month", month_of(F.col(spec.grain)))
+            held = [f for f, m in files.folders().items() if m in months]
+            if held:  # read and overwritten: the new months are staged before the old ones go
+                other = files.read(held).filter(~F.to_date(spec.grain).isin(days))
+                states = stage(states.unionByName(other), "rollup", scratch)
+            files.write(states, spec.key_columns)
+
         with Scratch(self.spark) as scratch:
-            if not facts.is_settled({d.year * 100 + d.month for d in days}):
+            if not facts.is_settled(months):
                 # picking versions shuffles: once for all rollups, not once for each
                 trips = stage(trips, "days", scratch)
-            self._write(trips, sequence, writer, numbers)
+            _together(one, specs)
 
     def append_raw(
         self, trips: DataFrame, sequence: int, writer: str, specs=tuple(ROLLUPS)
     ) -> None:
         """Add one delivery's components; the same number again replaces them."""
-        numbers = {spec: self.files(spec).number() for spec in specs}
-        with Scratch(self.spark) as scratch:
-            held = stage(trips.select(*ROLLUP_INPUT), "raw", scratch)
-            self._write(held, sequence, writer, numbers)
 
-    def _write(
-        self, trips: DataFrame, sequence: int, writer: str, numbers: dict[RollupSpec, int]
-    ) -> None:
         def one(spec: RollupSpec) -> None:
-            states = build(trips, spec).withColumns(
-                {
-                    "version": F.lit(numbers[spec]).cast("bigint"),
-                    "rollup_month": month_of(F.col(spec.grain)),
-                }
-            )
-            delivery = Delivery(writer, sequence, numbers[spec])
-            self.files(spec).deliver(states, delivery, spec.key_columns)
-
-        # independent jobs: the small ones fill the cores the others leave idle
-        with ThreadPoolExecutor(len(numbers)) as pool:
-            list(pool.map(one, numbers))
+            states = build(held, spec).withColumn("rollup_month", month_of(F.col(spec.grain)))
+            self.files(spec, raw=True).write(states, spec.key_columns, delivery_folder(writer, sequence))
 
-    @staticmethod
-    def _latest_days(states: DataFrame, spec: RollupSpec) -> DataFrame:
-        """Rows of a day's latest computation, from one segment that holds it.
-
-        While a fold is under way a computation lies in two segments. The delivered one
-        counts: a fold that was cut short may hold only part of it.
-        """
-        day = Window.partitionBy("rollup_month", F.to_date(spec.grain))
-        newest = day.orderBy(F.desc("version"), F.asc("segment"))
-        ranked = states.withColumn("_rank", F.rank().over(newest))
-        return ranked.filter("_rank = 1").drop("_rank")
-
-    def compact(self, specs=tuple(ROLLUPS), months: list[int] | None = None) -> None:
-        """Keep only the latest computation of every day (refreshed tables)."""
-        for spec in specs:
-            self.files(spec).fold(
-                lambda s, spec=spec: self._latest_days(s, spec), spec.key_columns, months
-            )
+        with Scratch(self.spark) as scratch:
+            held = stage(trips.select(*ROLLUP_INPUT), "raw", scratch)
+            _together(one, specs)
 
     def read(
         self, spec: RollupSpec, first: date | None = None, last: date | None = None,
@@ -438,26 +332,30 @@ class RollupTables:
     ) -> DataFrame:
         """Components, optionally of a range of days. ``raw`` for appended tables.
 
-        The range is tested on month and grain, of which every version of a day has the
-        same: folders and row groups are pruned before versions are picked.
+        Folders of other months are not even listed, and the range is tested on the grain, so
+        row groups are pruned as well.
         """
-        files = self.files(spec)
-        states = files.read()
+        files = self.files(spec, raw)
+        low = first.year * 100 + first.month if first is not None else 0
+        high = last.year * 100 + last.month if last is not None else 999999
+        folders = files.folders(EVERY if raw else "")
+        states = files.read(f for f, m in folders.items() if low <= m <= high)
         hourly = spec.grain == "hour"
 
         def bound(day: date) -> Column:
             return F.lit(str(day)).cast("timestamp" if hourly else "date")
 
         if first is not None:
-            states = states.filter(
-                (F.col("rollup_month") >= first.year * 100 + first.month)
-                & (F.col(spec.grain) >= bound(first))
-            )
+            states = states.filter((F.col("rollup_month") >= low) & (F.col(spec.grain) >= bound(first)))
         if last is not None:
-            states = states.filter(
-                (F.col("rollup_month") <= last.year * 100 + last.month)
-                & (F.col(spec.grain) < bound(last + timedelta(days=1)))
-            )
+            after = bound(last + timedelta(days=1))
+            states = states.filter((F.col("rollup_month") <= high) & (F.col(spec.grain) < after))
         if raw:
-            return merge(states.filter(~F.col("segment").isin(files.superseded())), spec)
-        return self._latest_days(states, spec).select(*spec.key_columns, *spec.states)
+            return merge(states, spec)
+        return states.select(*spec.key_columns, *spec.states)
+
+
+def _together(job, specs) -> None:
+    """Independent jobs: the small ones fill the cores the others leave idle."""
+    with ThreadPoolExecutor(len(specs)) as pool:
+        list(pool.map(job, specs))

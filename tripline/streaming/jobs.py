@@ -121,9 +121,9 @@ def consume(
 
     Messages that cannot be stored go to the folder ``unusable`` with the reason, as many
     as arrived; without a folder they fail the batch. Every ``fold_every`` batches the
-    tables are folded, so segments do not pile up: of several jobs on one table let one do
-    it and give None to the others. ``writer`` names this job's deliveries: no other job
-    may use it, restarts of this one must.
+    facts are compacted, so deliveries do not pile up: of several jobs on one table let one do
+    it, and refresh the rollups, and give None to the others. ``writer`` names this job's
+    deliveries: no other job may use it, restarts of this one must.
     """
 
     def each(batch: DataFrame, number: int) -> None:
@@ -139,11 +139,9 @@ def consume(
             kept = judged.filter("unusable IS NULL").select("trip.*")
             facts.append(kept, number, writer)
             if rollups is not None:
-                rollups.refresh(facts, touched_days(kept), number, writer)
+                rollups.refresh(facts, touched_days(kept))
             if fold_every and (number + 1) % fold_every == 0:
                 facts.compact()
-                if rollups is not None:
-                    rollups.compact()
 
     return each
 
