@@ -9,6 +9,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -560,44 +561,73 @@ def test_estimates_are_unbiased_and_bounded():
     assert (np.abs(error) <= embeddings.BOUND * spread).all()
 
 
-def repeated_lines(rows) -> dict:
-    """Lines in a run of at least 50 words that also stands at an earlier place."""
+def without_later_runs(rows) -> dict:
+    """``{(key, text): (text without later repeated runs, lines gone, words gone)}``, window by window."""
     told = []
-    for key, text in rows:
-        at = [(i, line.strip().encode()) for i, line in enumerate((text or "").split("\n")) if line.strip()]
+    for key, text in set(rows):
         digest = xxhash.xxh64_intdigest((text or "").encode(), 42)
-        told.append((key is None, key or 0, digest - 2**64 if digest >= 2**63 else digest, at, key))
-    first: dict = {}
-    gone = defaultdict(set)
-    for _, _, _, at, key in sorted(told, key=lambda x: x[:3]):
-        for i in range(len(at)):
-            words = 0
-            for j in range(i, len(at)):
-                words += len(at[j][1].split())
-                run = tuple(b for _, b in at[i : j + 1])
-                if words >= 50 and first.setdefault(run, (key, i)) != (key, i):
-                    gone[key].update(n for n, _ in at[i : j + 1])
-    return gone
+        told.append((key is None, key or 0, digest - 2**64 if digest >= 2**63 else digest, key, text))
+    first, out = {}, {}
+    for number, (*_, key, text) in enumerate(sorted(told, key=lambda x: x[:3])):
+        lines = [line.encode().split() for line in (text or "").split("\n")]
+        words = [w for line in lines for w in line]
+        gone = [False] * len(words)
+        for i in range(len(words) - 49):
+            doc, at = first.setdefault(tuple(words[i : i + 50]), (number, i))
+            if doc != number or at + 50 <= i:
+                gone[i : i + 50] = [True] * 50
+        kept, drop, at = [], [], 0
+        for n, own in enumerate(lines):
+            lost = gone[at : at + len(own)]
+            at += len(own)
+            if own and all(lost):
+                drop.append(n)
+            else:
+                kept.append([w for w, g in zip(own, lost) if not g])
+        out[key, text] = kept, drop, sum(gone)
+    return out
 
 
 def test_line_dedup(spark):
+    small_batches(spark, 9)
     rng = random.Random(8)
     pool = [sentence(rng, n) for n in (60, 30, 25, 3, 1, 45, 5, 55, 2, 51, 20)]
     rows = []
     for i in range(80):
         lines = [rng.choice(pool) if rng.random() < 0.7 else sentence(rng, rng.randint(1, 40)) for _ in range(rng.randint(1, 12))]
         rows.append((i, rng.choice(["\n", "\n\n", " \n"]).join(lines)))
-    rows += [(200, None), (201, ""), (202, "\n \n"), (None, pool[0]), (203, "w " * 100_000)]
-    frame = spark.createDataFrame(rows + [(203, "w " * 100_000)], "doc_id long, text string").withColumn("key", F.lit(1))
-    want = repeated_lines(rows)
-    found = linededup.without_repeats(frame).collect()
-    assert len(found) == len(rows) + 1 and sum(map(len, want.values())) > 50
-    texts = dict(rows)
-    for r in found:
-        assert set(r.removed) == want[r.doc_id], r.doc_id
-        lines = (texts[r.doc_id] or "").split("\n")
-        kept = "\n".join(line for i, line in enumerate(lines) if i not in want[r.doc_id])
-        assert r.n_lines == len(lines) and r.text == (None if texts[r.doc_id] is None else kept)
+    periods = ["a b", "a", "q " + pool[0], " ".join(pool[1].split()[:7]), pool[10]]
+    rows += [(100 + i, f"{' '.join([p] * 40)} x{i} {pool[0]}\n{' '.join([p] * 9)} end") for i, p in enumerate(periods)]
+    text = pool[0] + " " + sentence(rng, 300)
+    rows += [(120 + i, " ".join(w if j % 90 != 7 * i else f"changed{i}" for j, w in enumerate(text.split()))) for i in range(8)]
+    rows += [(200, None), (201, ""), (202, "\n \n"), (None, pool[0]), (None, text), (203, "w " * 100_000), (204, "é" * 90_000)]
+    rows += [(203, "w " * 100_000), (0, rows[0][1]), (205, "\t" + pool[7] + "\r\n" + pool[0] + "\x0b")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    frame = frame.withColumns({n: F.lit(1) for n in ("key", "hash", "first", "n", "pick", "run", "spans")})
+    want = without_later_runs(rows)
+    found = linededup.without_repeats(frame.repartition(5)).collect()
+    assert len(found) == len(rows) and sum(n for *_, n in want.values()) > 5000
+    by_size = {(r.doc_id, r.n_words_removed, tuple(r.removed)): r for r in found}
+    for key, text in rows:
+        kept, drop, n_words = want[key, text]
+        r = by_size[key, n_words, tuple(drop)]
+        assert r.n_lines == (text or "").count("\n") + 1
+        if n_words == 0:
+            assert r.text == text
+        else:
+            assert [line.encode().split() for line in r.text.split("\n")] == (kept or [[]])
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet="aé \n\t", max_size=12), max_size=9), st.integers(0, 3))
+def test_words_of_a_batch(texts, offset):
+    data = [t.encode() for t in texts]
+    words = linededup.Words(pa.array(data, pa.binary()).slice(offset))
+    split = [t.split() for t in data[offset:]]
+    assert np.diff(words.bounds).tolist() == list(map(len, split))
+    flat = [w for s in split for w in s]
+    assert len(set(words.hashes.tolist())) == len(set(flat)) and len(words.hashes) == len(flat)
+    assert len(set(zip(flat, words.hashes.tolist()))) == len(set(flat))
 
 
 def test_passages_within_lines(spark):
