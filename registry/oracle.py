@@ -643,6 +643,46 @@ def oracle() -> dict[str, str]:
                   "total_amount")
             + " FROM current_rows",
         ),
+        "l1_bucketed": with_(
+            CURRENT,
+            "SELECT "
+            + out("pickup_datetime", "vendor_id", "trip_id", "ingested_at", "batch_id",
+                  "total_amount")
+            + " FROM current_rows",
+        ),
+        "l4_stream_latest": with_(CURRENT, f"SELECT {out(*_TRIP)} FROM current_rows"),
+        "l3_sketch_count": with_(
+            CURRENT,
+            f"SELECT {_MONTH} AS month, count(*) AS trips, TRUE AS within_error FROM current_rows GROUP BY 1"
+            " UNION ALL SELECT NULL, count(*), TRUE FROM current_rows",
+        ),
+        "h1_sketch_quantiles": with_(
+            CURRENT,
+            "SELECT year, trips, probability::DOUBLE AS probability, TRUE AS within_error FROM ("
+            "SELECT CAST(year(pickup_datetime) AS BIGINT) AS year, count(*) AS trips FROM current_rows GROUP BY 1),"
+            " (VALUES (0.25), (0.5), (0.75), (0.95), (0.99)) AS q(probability)",
+        ),
+        "r14_observed_run": with_(
+            judged(),
+            "SELECT 'lineitem.parquet' AS source_file, count(*) AS total_rows,"
+            " count(*) FILTER (WHERE failure = 'ok') AS valid_rows,"
+            " count(*) FILTER (WHERE failure NOT IN ('ok', 'schema')) AS invalid_rows,"
+            " count(*) FILTER (WHERE failure = 'schema') AS schema_rejected_rows FROM verdict",
+        ),
+        "o5_stream_lag": with_(
+            VALID,
+            "SELECT CAST(0 AS BIGINT) AS partition, count(*) AS current_offset,"
+            " count(*) FILTER (WHERE write_seq = 1) AS committed_offset,"
+            " count(*) FILTER (WHERE write_seq = 2) AS lag FROM valid_rows",
+        ),
+        "o6_stream_rates": with_(
+            VALID,
+            "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS rejected FROM valid_rows WHERE write_seq = 1",
+        ),
+        "t1_bounded_flush": with_(
+            VALID, "SELECT TRUE AS within_bound, TRUE AS several, count(*) AS messages FROM valid_rows"
+        ),
+        "a8_update_mode": rollup("valid_rows", _HOUR, ["vendor_id"], HOURLY, VALID),
         "l2_latest_count": with_(CURRENT, "SELECT count(*) AS trips FROM current_rows"),
         "l3_repeat_check": with_(
             VALID,

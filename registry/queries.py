@@ -14,13 +14,14 @@ from tripline import workload
 from tripline.functions import codes, encode, identity, times, values
 from tripline.operators import dedup, enrich, gate, rollup, staging
 from tripline.plans import adhoc, dashboard, deadletters, generations, ingest, operations
-from tripline.schema import RAW_COLUMNS, TRIPS, raw_types
+from tripline.schema import MESSAGES, RAW_COLUMNS, TRIPS, raw_types
 from tripline.session import prepare
+from tripline.sinks import bucketed, sketches
 from tripline.sinks import deadletters as letter_sink
 from tripline.sinks import messages as message_sink
 from tripline.sinks.tables import FactTable, RollupTables, touched_days
 from tripline.sources import messages, rejects, trips, zones
-from tripline.streaming import jobs
+from tripline.streaming import jobs, progress
 from tripline.workload import AS_OF, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -416,13 +417,14 @@ def consumed(
     folder: str | None = None,
     unusable: str | None = None,
     batches: list[int] | None = None,
+    facts_only: bool = False,
 ):
     """Message files through the consuming stream into fresh tables."""
     folder = folder or message_folder(spark, sf_dir)
     facts = FactTable(spark, staging.new_folder(spark, "trips"))
     rollups = RollupTables(spark, staging.new_folder(spark, "rollups"))
     stream = messages.message_stream(spark, folder, maxFilesPerTrigger=str(per_trigger))
-    each = jobs.consume(facts, rollups, "consumer", unusable, now=now())
+    each = jobs.consume(facts, None if facts_only else rollups, "consumer", unusable, now=now())
 
     def delivered(batch: DataFrame, number: int) -> None:
         if batches is not None:
@@ -438,7 +440,7 @@ def consumed(
 
 @query("k5_deliver_then_commit")
 def _(spark, sf_dir):
-    facts, _rollups = consumed(spark, sf_dir, twice=True)
+    facts, _rollups = consumed(spark, sf_dir, twice=True, facts_only=True)
     return month_totals(facts)
 
 
@@ -739,6 +741,15 @@ def _(spark, sf_dir):
     return processed(spark, sf_dir).summary()
 
 
+@query("r14_observed_run")
+def _(spark, sf_dir):
+    """Run-log row of a staged run: what its writes counted, without another pass."""
+    done = processed(spark, sf_dir).staged()
+    return ingest.observed_run(done, "run", workload.NOW).select(
+        "source_file", "total_rows", "valid_rows", "invalid_rows", "schema_rejected_rows"
+    )
+
+
 # -- repeats and versions --------------------------------------------------
 
 
@@ -784,6 +795,81 @@ def _(spark, sf_dir):
     return drain(spark, once.select("trip_id", "vendor_id"), "once")
 
 
+@query("l4_stream_latest")
+def _(spark, sf_dir):
+    """Whole trips of a stream, the latest of the versions that came within the bound.
+
+    Both deliveries, the second correcting the first an hour later, and a message a day after that by
+    which the stream's clock passes all of them.
+    """
+    folder = staging.new_folder(spark, "messages")
+    valid = valid_trips(spark, sf_dir)
+    later = valid.limit(1).withColumns(
+        {"trip_id": F.lit("later"), "ingested_at": F.col("ingested_at") + F.expr("INTERVAL '2' DAY")}
+    )
+    for number in (1, 2):
+        part = message_sink.trip_messages(valid.filter(F.col("write_seq") == number))
+        message_sink.publish(part, folder, number, "load")
+    message_sink.publish(message_sink.trip_messages(later), folder, 3, "load")
+    stream = jobs.trip_stream(messages.message_stream(spark, folder))
+    return drain(spark, jobs.latest_within(stream, "90 minutes", "1 hour"), "latest").select(*TRIPS.names)
+
+
+@query("l1_bucketed")
+def _(spark, sf_dir):
+    """Latest versions from a table bucketed by trip id."""
+    name, folder = "trips_bucketed", staging.new_folder(spark, "bucketed")
+    bucketed.write_bucketed(versions(spark, sf_dir), name, folder, 8)
+    rows = bucketed.latest_of_bucketed(spark, name)
+    return rows.select(*dedup.TRIP_KEY, "ingested_at", "batch_id", "total_amount")
+
+
+@once
+def sketch_table(spark: SparkSession, sf_dir: str) -> sketches.SketchTable:
+    """Daily sketches, the days of the second delivery computed anew when it has come."""
+    valid = valid_trips(spark, sf_dir)
+    facts = FactTable(spark, staging.new_folder(spark, "trips"))
+    held = sketches.SketchTable(spark, staging.new_folder(spark, "sketches"))
+    for number in (1, 2):
+        part = valid.filter(F.col("write_seq") == number)
+        facts.append(part, number, "load")
+        held.refresh(facts, touched_days(part))
+    return held
+
+
+@query("l3_sketch_count")
+def _(spark, sf_dir):
+    """Different trip ids per month and in all, estimated without reading trips: off by how much."""
+    told = sketches.repeat_check(sketch_table(spark, sf_dir))
+    off = F.abs(F.col("distinct_trip_ids") / F.col("trips") - 1)
+    return told.select("month", "trips", (off <= sketches.COUNT_ERROR).alias("within_error"))
+
+
+@query("h1_sketch_quantiles")
+def _(spark, sf_dir):
+    """Fare quantiles of each year from merged daily sketches, by the exact ranks of what they tell."""
+    table = sketch_table(spark, sf_dir)
+    year = F.year("day").alias("year")
+    told = sketches.merged(table.read(), year).select(
+        "year",
+        "trips",
+        F.explode(F.array(*[
+            F.struct(F.lit(p).alias("probability"), sketches.quantile(p).alias("value")) for p in adhoc.QUANTILES
+        ])).alias("q"),
+    ).select("year", "trips", "q.*")
+    fares = store(spark, sf_dir).facts.current().select(
+        F.year("pickup_datetime").alias("of_year"), F.col("total_amount").cast("double").alias("fare")
+    )
+    counts = fares.groupBy("of_year", "fare").agg(F.count("*").alias("n"))
+    ranked = told.join(counts, F.col("year") == F.col("of_year")).groupBy("year", "trips", "probability").agg(
+        (F.sum(F.when(F.col("fare") < F.col("value"), F.col("n")).otherwise(0)) / F.sum("n")).alias("below"),
+        (F.sum(F.when(F.col("fare") <= F.col("value"), F.col("n")).otherwise(0)) / F.sum("n")).alias("upto"),
+    )
+    error = F.lit(sketches.RANK_ERROR)
+    near = (F.col("below") - error <= F.col("probability")) & (F.col("upto") + error >= F.col("probability"))
+    return ranked.select("year", "trips", "probability", near.alias("within_error"))
+
+
 # -- dead letters ----------------------------------------------------------
 
 
@@ -978,6 +1064,23 @@ def _(spark, sf_dir):
     return drain(spark, jobs.rollup_stream(trips_of, rollup.HOURLY, "2 hours"), "hourly")
 
 
+@query("a8_update_mode")
+def _(spark, sf_dir):
+    """Hourly rollup of a stream in update mode, batch by batch: open hours and late trips count."""
+    valid = valid_trips(spark, sf_dir)
+    folder = staging.new_folder(spark, "arriving")
+    parts = ["vendor_id = 'Unknown'", "vendor_id <> 'Unknown' AND payment_type = 'Cash'",
+             "vendor_id <> 'Unknown' AND payment_type <> 'Cash'"]
+    for part in parts:  # newest first is not needed: hours of all parts overlap
+        valid.filter(part).select(*TRIPS.names).coalesce(1).write.mode("append").parquet(folder)
+    trips_of = spark.readStream.schema(TRIPS).option("maxFilesPerTrigger", 1).parquet(folder)
+    tables = RollupTables(spark, staging.new_folder(spark, "rollups"))
+    changed = jobs.rollup_stream(trips_of, rollup.HOURLY, "5000 days")
+    each = jobs.update_rollup(tables, rollup.HOURLY)
+    jobs.start(changed, each, staging.new_folder(spark, "offsets"), drain=True, mode="update").awaitTermination()
+    return rollup.finish(tables.read(rollup.HOURLY), rollup.HOURLY)
+
+
 # -- dashboards ------------------------------------------------------------
 
 
@@ -1058,6 +1161,50 @@ def _(spark, sf_dir):
     return operations.total_lag(offsets(spark, sf_dir))
 
 
+@once
+def followed(spark: SparkSession, sf_dir: str):
+    """A drained stream of the first delivery, told by a listener; the second came after it."""
+    folder = staging.new_folder(spark, "messages")
+    valid = valid_trips(spark, sf_dir)
+    log = progress.ProgressLog(spark, staging.new_folder(spark, "progress"), held=2)
+    spark.streams.addListener(log)
+    try:
+        for number in (1, 2):
+            part = message_sink.trip_messages(valid.filter(F.col("write_seq") == number))
+            message_sink.publish(part, folder, number, "load")
+            if number == 1:
+                stream = messages.message_stream(spark, folder, maxFilesPerTrigger="3")
+                arrived = staging.new_folder(spark, "arrived")
+                run = (
+                    stream.writeStream.format("parquet").option("checkpointLocation", arrived + "-offsets")
+                    .queryName("followed").trigger(availableNow=True).start(arrived)
+                )
+                run.awaitTermination()
+                log.wait(run)
+    finally:
+        spark.streams.removeListener(log)
+    return log, folder
+
+
+@query("o5_stream_lag")
+def _(spark, sf_dir):
+    """What a stream has yet to read, from its own progress events."""
+    log, folder = followed(spark, sf_dir)
+    offsets = progress.with_published(log.offsets(), spark.read.parquet(folder))
+    return operations.partition_lag(offsets).select("partition", "current_offset", "committed_offset", "lag")
+
+
+@query("o6_stream_rates")
+def _(spark, sf_dir):
+    """Rows per second of a stream's run log, summed up again over its windows."""
+    log, _folder = followed(spark, sf_dir)
+    rates = operations.throughput(log.runs())
+    return rates.agg(
+        F.round(F.sum(F.col("persisted_per_second") * 60)).cast("bigint").alias("rows"),
+        F.round(F.sum(F.col("invalid_per_second") * 60)).cast("bigint").alias("rejected"),
+    )
+
+
 @query("o6_throughput")
 def _(spark, sf_dir):
     return operations.throughput(workload.event_runs(spark, sf_dir))
@@ -1109,12 +1256,37 @@ _adhoc("h4_vendor_comparison", adhoc.vendor_comparison)
 
 @query("t1_micro_batches")
 def _(spark, sf_dir):
-    """Small triggers, so many batches, give the same tables as large ones."""
+    """Small triggers, so many batches, give the same table as large ones."""
     batches: list[int] = []
-    facts, _rollups = consumed(spark, sf_dir, per_trigger=2, batches=batches)
+    facts, _rollups = consumed(spark, sf_dir, per_trigger=2, batches=batches, facts_only=True)
     return month_totals(facts).withColumn("several_batches", F.lit(len(set(batches)) > 2))
 
 
+@query("t1_bounded_flush")
+def _(spark, sf_dir):
+    """Micro-batches bounded by bytes: none holds more, and together they hold every message."""
+    folder = message_folder(spark, sf_dir)
+    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    largest, total = sizes.load(folder).agg(F.max("length"), F.sum("length")).first()
+    bound = max(largest, total // 4)
+    source = spark.readStream.schema(MESSAGES).option("maxBytesPerTrigger", str(bound)).parquet(folder)
+    log = staging.new_folder(spark, "flushes")
+
+    def each(batch: DataFrame, number: int) -> None:
+        files = batch.groupBy("file", "size").agg(F.count("*").alias("messages"))
+        flush = files.agg(F.sum("size").alias("bytes"), F.sum("messages").alias("messages"))
+        flush.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{log}/batch={number}")
+
+    marked = source.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+    jobs.start(marked, each, staging.new_folder(spark, "offsets"), drain=True).awaitTermination()
+    flushes = spark.read.parquet(log)
+    return flushes.agg(
+        (F.max("bytes") <= bound).alias("within_bound"),
+        (F.count("*") >= 4).alias("several"),
+        F.sum("messages").alias("messages"),
+    )
+
+
 @query("t2_stream_ingest")
 def _(spark, sf_dir):
     _facts, rollups = consumed(spark, sf_dir)
@@ -1127,7 +1299,7 @@ def _(spark, sf_dir):
     folder, aside = staging.new_folder(spark, "odd"), staging.new_folder(spark, "unusable")
     odd = odd_messages(spark, sf_dir).select(F.lit(None).cast("string").alias("key"), "value")
     message_sink.publish(odd, folder, 1, "load")
-    facts, _rollups = consumed(spark, sf_dir, folder=folder, unusable=aside)
+    facts, _rollups = consumed(spark, sf_dir, folder=folder, unusable=aside, facts_only=True)
     kept = spark.read.parquet(aside).select(F.substring_index("unusable", ":", 1).alias("outcome"))
     stored = facts.versions().select(F.lit("stored").alias("outcome"))
     return stored.unionByName(kept).groupBy("outcome").agg(F.count("*").alias("messages"))
@@ -1182,7 +1354,8 @@ def _(spark, sf_dir):
         stream = messages.message_stream(spark, folder)
         each = jobs.consume(facts, None, "consumer", now=now())
         jobs.start(stream, each, offsets_at, drain=True).awaitTermination()
-    return facts.versions().groupBy("write_seq").agg(F.count("*").alias("rows"))
+    drain = (F.col("write_seq") + 1).alias("write_seq")  # micro-batches are numbered from 0
+    return facts.versions().groupBy(drain).agg(F.count("*").alias("rows"))
 
 
 @query("t6_late_data")

@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripline.operators.sizing import Dimension, measure
-from tripline.operators.staging import Scratch, stage
 
-#: Repeats, or hashes, up to which they may be broadcast; their bytes are bounded as well.
+#: Repeats up to which they may be broadcast; their bytes are bounded as well.
 BROADCAST_ROWS = 1_000_000
 
 #: Sort key of the fact table: the columns that make two rows the same trip.
@@ -31,45 +30,26 @@ def later_rows(
     return rows.select(*position).join(first.select("_first.*").select(*position), position, "left_anti")
 
 
-def contested(df: DataFrame, name: str, scratch: Scratch | None = None) -> Dimension:
-    """Values of the hash column ``name`` that more than one row has, staged and measured.
-
-    Eight bytes a row are shuffled, after a partial count. Rows of equal keys have equal
-    hashes, so all rows that can repeat another are among those with such a value.
-    """
-    twice = df.groupBy(name).agg(F.count("*").alias("_n")).filter("_n > 1").select(name)
-    return small_side(stage(twice, "contested", scratch))
-
-
 def small_side(staged: DataFrame) -> Dimension:
     """A staged table of few narrow rows, to be broadcast only up to a size."""
     return measure(staged, max_rows=BROADCAST_ROWS)
 
 
 def mark_repeats(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    competes: Column,
-    position: list[str],
-    scratch: Scratch | None = None,
+    df: DataFrame, keys: list[str], order: str, competes: Column, position: list[str]
 ) -> DataFrame:
     """Add boolean ``repeat``: a competing row that is not the first of its key.
 
-    ``position`` tells every row from every other. Two narrow passes find the positions of
-    the repeats; whole rows are read once and marked where they lie, or joined by
-    position, never by the key, if the repeats are too many to broadcast.
+    ``position`` tells every row from every other. The first of a key is a partial ``min``
+    over narrow rows, so a hot key costs one row per task; whole rows are read once and joined
+    by position, never by the key.
     """
-    hashed = df.filter(competes).withColumn("_same", F.xxhash64(*keys))
-    side = contested(hashed, "_same", scratch)
-    if side.df.isEmpty():
-        return df.withColumn("repeat", F.lit(False))
-    few = hashed.join(side.side(), "_same", "left_semi")
-    later = stage(later_rows(few, keys, order, F.lit(True), position), "repeats", scratch)
-    later = small_side(later).side().withColumn("_later", F.lit(True))
-    return df.join(later, position, "left").select(
-        *df.columns, F.coalesce("_later", F.lit(False)).alias("repeat")
-    )
+    plays = F.coalesce(competes, F.lit(False))
+    ranked = list(dict.fromkeys([order, *position]))
+    first = df.filter(plays).groupBy(*keys).agg(F.min(F.struct(*ranked)).alias("_first"))
+    first = first.select("_first.*").select(*position, F.lit(True).alias("_is_first"))
+    repeat = plays & F.col("_is_first").isNull()
+    return df.join(first, position, "left").select(*df.columns, repeat.alias("repeat"))
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

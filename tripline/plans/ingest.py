@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from datetime import datetime
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tripline.functions import codes, identity, times, values
-from tripline.operators.dedup import contested, later_rows, small_side
+from tripline.operators.dedup import later_rows, small_side
 from tripline.operators.enrich import add_zones
 from tripline.operators.rules import Rule, describe, first_broken, knows_trip, position, trip_rules
 from tripline.operators.sizing import Dimension
 from tripline.operators.staging import Scratch, stage
-from tripline.schema import MONEY_FIELDS, RAW_COLUMNS, TRIPS, complete_raw, raw_types
+from tripline.schema import MONEY_FIELDS, RAW_COLUMNS, RUN_LOG, TRIPS, complete_raw, raw_types
 
 #: What tells a record from every other.
 POSITION = ["batch_id", "row_order"]
@@ -28,7 +29,9 @@ class Processed:
 
     ``records`` holds the raw record, its provenance, ``trip_id`` and ``failure``
     (position of the broken rule, 0 for none). Every output reads and judges the records
-    once. Call ``staged`` before using more than one output, so that all share one pass.
+    once; a window over the trips of a batch, which is a short run of rows, tells who was first.
+    Call ``staged`` before using more than one output, or with batches of any length: all
+    outputs then share one pass, and repeats are found from few columns.
     """
 
     records: DataFrame
@@ -36,43 +39,58 @@ class Processed:
     zones: Dimension
     ingested_at: Column
     keep: tuple[str, ...] = ()
-    #: The records before they were judged; none if every record is its own batch.
-    unjudged: DataFrame | None = None
+    one_by_one: bool = False
     #: Positions of the repeats, where they have been found already.
     found: DataFrame | None = None
+    #: Counts of the run, gathered by the writes of ``staged``.
+    totals: dict | None = None
 
     def staged(self, scratch: Scratch | None = None) -> Processed:
-        """Records are written as they were judged, unshuffled; repeats are few columns."""
-        done = replace(self, records=stage(self.records, "judged", scratch), unjudged=None)
-        if self.unjudged is None:
-            return done
-        return replace(done, found=stage(repeats(done.records), "repeats", scratch))
+        """Records are written as they were judged, unshuffled; repeats are few columns.
+
+        The writes count what passes them (``totals``): no job runs for that.
+        """
+        seen = Observation()
+        gated = [r.name for r in self.rules].count("schema")
+        at_gate, failure = F.col("failure").between(1, gated), F.col("failure")
+        counted = self.records.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.count(F.when(at_gate, 1)).alias("gate"),
+            F.count(F.when((failure > 0) & ~at_gate, 1)).alias("broken"),
+            F.min("source_file").alias("first_file"),
+            F.max("source_file").alias("last_file"),
+        )
+        done = replace(self, records=stage(counted, "judged", scratch))
+        again = {"again": 0}
+        if not self.one_by_one:
+            later = Observation()
+            found = repeats(done.records).observe(later, F.count(F.lit(1)).alias("again"))
+            done = replace(done, found=stage(found, "repeats", scratch))
+            again = later.get
+        return replace(done, totals={**seen.get, **again})
 
     @cached_property
     def repeats(self) -> Dimension | None:
-        """Positions of records that broke no rule but repeat a trip of their batch."""
-        if self.found is not None:
-            return small_side(self.found)
-        if self.unjudged is None:
-            return None
-        # Only records with the identity of another are judged to tell who was first.
-        same = F.xxhash64("batch_id", *identity_parts(self.unjudged))
-        hashed = self.unjudged.withColumn("_same", same)
-        side = contested(hashed, "_same")
-        if side.df.isEmpty():
-            return None
-        few = hashed.join(side.side(), "_same", "left_semi")
-        return small_side(stage(repeats(judge(few, self.rules)), "repeats"))
+        """Positions of records that broke no rule but repeat a trip of their batch, once staged."""
+        return None if self.found is None else small_side(self.found)
 
     @property
     def judged(self) -> DataFrame:
         """All records; repeats carry the position of the duplicate rule as ``failure``."""
-        if self.repeats is None:
+        if self.one_by_one:
             return self.records
         code = F.lit(position(self.rules, "duplicate"))
-        again = self.repeats.side().withColumn("_again", code)
-        marked = self.records.join(again, POSITION, "left")
-        failure = F.coalesce("_again", "failure").alias("failure")
+        if self.repeats is not None:
+            again = self.repeats.side().withColumn("_again", F.lit(True))
+            marked = self.records.join(again, POSITION, "left")
+        else:
+            sound = F.col("failure") == 0
+            # a record that broke a rule is alone with its place
+            trip = F.when(sound, F.col("trip_id")).otherwise(F.concat(F.lit("#"), F.col("row_order").cast("string")))
+            rank = F.row_number().over(Window.partitionBy("batch_id", trip).orderBy("row_order"))
+            marked = self.records.withColumn("_again", rank > 1)
+        failure = F.when(F.col("_again"), code).otherwise(F.col("failure")).alias("failure")
         return marked.select(*[failure if c == "failure" else c for c in self.records.columns])
 
     @property
@@ -81,6 +99,10 @@ class Processed:
         good = self.records.filter("failure = 0")
         if self.repeats is not None:
             good = good.join(self.repeats.side(), POSITION, "left_anti")
+        elif not self.one_by_one:
+            # Spark keeps each task's first of a trip before the shuffle; rejected records never meet it
+            trip = Window.partitionBy("batch_id", "trip_id").orderBy("row_order")
+            good = good.withColumn("_rank", F.row_number().over(trip)).filter("_rank = 1").drop("_rank")
         return add_zones(build_trips(good, self.ingested_at, self.keep), self.zones).select(
             *TRIPS.names, *self.keep
         )
@@ -204,8 +226,7 @@ def process(
     records, missing = complete_raw(records)
     rules = trip_rules(raw_types(records), missing, now, schema_gate)
     clock = now if ingested_at is None else ingested_at
-    unjudged = None if one_by_one else records
-    return Processed(judge(records, rules), rules, zones, clock, keep, unjudged)
+    return Processed(judge(records, rules), rules, zones, clock, keep, one_by_one)
 
 
 def run_log(done: Processed, started_at: Column, ended_at: Column) -> DataFrame:
@@ -221,3 +242,18 @@ def run_log(done: Processed, started_at: Column, ended_at: Column) -> DataFrame:
         F.count(F.when(at_gate, 1)).alias("schema_rejected_rows"),
         F.count(F.when(F.col("failure") == 0, 1)).alias("persisted_rows"),
     )
+
+
+def observed_run(done: Processed, name: str, started_at: datetime) -> DataFrame:
+    """One run-log row for a staged run, from what its writes counted; no record is read again.
+
+    ``source_file`` is null if the run had several.
+    """
+    seen = done.totals
+    broken = seen["broken"] + seen["again"]
+    valid = seen["rows"] - seen["gate"] - broken
+    file = seen["first_file"] if seen["first_file"] == seen["last_file"] else None
+    spark = done.records.sparkSession
+    counts = (seen["rows"], valid, broken, seen["gate"], valid)
+    row = spark.createDataFrame([(file, name, started_at, None, *counts)], RUN_LOG)
+    return row.withColumn("ended_at", F.current_timestamp())

@@ -241,11 +241,16 @@ def between(low: datetime, high: datetime) -> Column:
     )
 
 
+def day_list(days: list[date]) -> str:
+    """Days as a list in SQL: one text is planned far faster than a literal for each day."""
+    return ", ".join(f"DATE '{d}'" for d in sorted(set(days)))
+
+
 def on_days(days: list[date]) -> Column:
     """Pickup on one of the days: months prune folders, the range from first to last day
     row groups, and the set of days the rows."""
     months = sorted({d.year * 100 + d.month for d in days})
-    listed = ", ".join(f"DATE '{d}'" for d in sorted(set(days)))
+    listed = day_list(days)
     return F.expr(
         f"pickup_month IN ({', '.join(map(str, months))})"
         f" AND pickup_datetime >= TIMESTAMP '{min(days)} 00:00:00'"
@@ -303,7 +308,7 @@ class RollupTables:
             states = build(trips, spec).withColumn("rollup_month", month_of(F.col(spec.grain)))
             held = [f for f, m in files.folders().items() if m in months]
             if held:  # read and overwritten: the new months are staged before the old ones go
-                other = files.read(held).filter(~F.to_date(spec.grain).isin(days))
+                other = files.read(held).filter(f"to_date({spec.grain}) NOT IN ({day_list(days)})")
                 states = stage(states.unionByName(other), "rollup", scratch)
             files.write(states, spec.key_columns)
 
@@ -313,6 +318,21 @@ class RollupTables:
                 trips = stage(trips, "days", scratch)
             _together(one, specs)
 
+    def upsert(self, states: DataFrame, spec: RollupSpec) -> None:
+        """Put in groups with all that has been counted of them; stored ones of the same key go."""
+        files = self.files(spec)
+        new = states.select(*spec.key_columns, *spec.states)
+        new = new.withColumn("rollup_month", month_of(F.col(spec.grain)))
+        with Scratch(self.spark) as scratch:
+            new = stage(new, "changed", scratch)
+            months = {r.rollup_month for r in new.select("rollup_month").distinct().collect()}
+            held = [f for f, m in files.folders().items() if m in months]
+            if held:
+                same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in spec.key_columns]
+                other = files.read(held).alias("old").join(new.alias("new"), same, "left_anti")
+                new = stage(new.unionByName(other), "rollup", scratch)
+            files.write(new, spec.key_columns)
+
     def append_raw(
         self, trips: DataFrame, sequence: int, writer: str, specs=tuple(ROLLUPS)
     ) -> None:

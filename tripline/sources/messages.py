@@ -20,13 +20,29 @@ FIRST_PICKUP, PICKUP_SLACK = "2009-01-01 00:00:00", "INTERVAL '2' DAY"
 
 
 def message_stream(
-    spark: SparkSession, location: str, fmt: str = "parquet", **options: str
+    spark: SparkSession,
+    location: str,
+    fmt: str = "parquet",
+    most_rows: int | None = None,
+    most_bytes: int | None = None,
+    **options: str,
 ) -> DataFrame:
     """Key/value messages from the earliest on.
 
+    A micro-batch takes at most ``most_rows`` messages of a topic, or files of at most ``most_bytes``
+    (or one file, if that is larger): how much a flush holds is bounded, whatever has piled up.
+
     ``fmt="kafka"`` takes ``location`` as the topic and needs the connector on
     the classpath; file formats take a folder that other jobs write into.
     """
+    if most_rows is not None:
+        if fmt != "kafka":
+            raise ValueError("files are bounded by bytes")
+        options["maxOffsetsPerTrigger"] = str(most_rows)
+    if most_bytes is not None:
+        if fmt == "kafka":
+            raise ValueError("topics are bounded by rows")
+        options["maxBytesPerTrigger"] = str(most_bytes)
     if fmt == "kafka":
         source = spark.readStream.format("kafka").option("subscribe", location)
         source = source.option("startingOffsets", "earliest").options(**options)

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from tripline.operators.sizing import Dimension
 from tripline.operators.staging import Scratch, stage
 from tripline.plans.deadletters import dead_letters, replay, stage_letters
-from tripline.plans.ingest import process, run_log
+from tripline.plans.ingest import observed_run, process
 from tripline.operators.rollup import RollupSpec, components
 from tripline.schema import RUN_LOG, TRIPS
 from tripline.sinks.deadletters import send
@@ -42,9 +42,10 @@ def start(
     checkpoint: str,
     drain: bool = False,
     every: str = FLUSH_EVERY,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Run ``each`` per micro-batch; ``drain`` consumes what is there and stops."""
-    writer: DataStreamWriter = stream.writeStream.foreachBatch(each).option(
+    writer: DataStreamWriter = stream.writeStream.foreachBatch(each).outputMode(mode).option(
         "checkpointLocation", checkpoint
     )
     writer = writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=every)
@@ -86,7 +87,7 @@ def produce(
             letters = stage_letters(dead_letters(done.rejected, clock), scratch)
             failed = send(letters, to.letters_topic, to.letters_folder, number, writer, to.fmt)
             if to.run_log:
-                log_rows = run_log(done, F.lit(began), F.current_timestamp())
+                log_rows = observed_run(done, f"{writer}/{number}", began)
                 write_run_log(log_rows, to.run_log, number, writer, failed)
             undelivered(failed, to)
 
@@ -200,6 +201,32 @@ def rollup_stream(trips: DataFrame, spec: RollupSpec, lateness: str) -> DataFram
     return built.agg(*components(spec)).select(grain.alias(spec.grain), *spec.keys, *spec.states)
 
 
+def update_rollup(rollups: RollupTables, spec: RollupSpec) -> Callable[[DataFrame, int], None]:
+    """Per micro-batch of ``rollup_stream`` in update mode: changed groups replace their stored ones.
+
+    Groups come with all that has been counted of them, open ones too, so a batch that runs again
+    changes nothing, and a late trip within the watermark corrects an hour already stored.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        rollups.upsert(batch, spec)
+
+    return each
+
+
+def latest_within(trips: DataFrame, within: str, lateness: str) -> DataFrame:
+    """One row per trip: of versions ingested no further than ``within`` apart, the latest.
+
+    A trip waits in the state until no version has come for ``within``, by the stream's ingestion
+    clock less ``lateness``; a later correction until then replaces what came before. One that
+    comes after is a row of its own, for the fact table to put in order.
+    """
+    version = F.struct("ingested_at", "batch_id")
+    newest = F.max_by(F.struct(*TRIPS.names), version).alias("trip")
+    closed = F.session_window("ingested_at", within)
+    return trips.withWatermark("ingested_at", lateness).groupBy(closed, "trip_id").agg(newest).select("trip.*")
+
+
 def trip_stream(messages: DataFrame) -> DataFrame:
     """Typed trips of a message stream; ``sorted_trips`` also tells what is left out."""
     return trip_rows(decode(messages, TRIP_WIRE)).select(*TRIPS.names)
