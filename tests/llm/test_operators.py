@@ -28,7 +28,7 @@ from tripline.llm import (
     simhash,
     warc,
 )
-from tripline.llm.common import components, small_batches
+from tripline.llm.common import components, popcount, small_batches
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 SYLLABLES = "an th er in re on at en nd st es ng of te ed or ti hi as to".split()
@@ -114,6 +114,21 @@ def test_balls_of_linked_fingerprints_meet(flips, value):
     assert ball(value) & ball(other)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2**64 - 1), st.integers(0, 2**64 - 1))
+def test_bits_are_counted_with_the_sign(a, b):
+    values = np.array([a, b], np.uint64).view(np.int64)
+    assert popcount(values[:1] ^ values[1:]).tolist() == [bits_apart(a, b)]
+
+
+@pytest.mark.parametrize("bit", [0, 21, 22, 42, 43, 62, 63])
+def test_links_at_every_bit(spark, bit):
+    other = 0x123456789ABCDEF0 ^ 1 << bit ^ 1 << (bit + 7) % 64
+    signed = [x - 2**64 if x >> 63 else x for x in (0x123456789ABCDEF0, other, 0x0FEDCBA987654321)]
+    found = simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long")).collect()
+    assert [(r.src, r.dst) for r in found] == [(min(signed[:2]), max(signed[:2]))]
+
+
 def test_forest_connects_what_links_connect():
     rng = random.Random(1)
     for _ in range(20):

@@ -94,7 +94,8 @@ def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
 
 
 def popcount(values: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(values)
+    """Bits set in 64-bit integers; of signed ones numpy would count those of the absolute value."""
+    return np.bitwise_count(values.view(np.uint64))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ fingerprint; leaving out a block finds the same pairs with a sixteenth of the ro
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -115,19 +115,18 @@ def forest(values: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
     return edges
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(variant, fp)`` sorted by variant to edges between fingerprints that link."""
-    kept_variants, kept = np.empty(0, np.int64), np.empty(0, np.int64)
+def linked_by(radius: int) -> Callable:
+    """A scan of rows ``(variant, fp)`` sorted by variant to edges of at most ``radius`` bits."""
 
     def edges_of(variants: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
         starts = np.flatnonzero(np.concatenate(([True], variants[1:] != variants[:-1])))
         sizes = np.diff(np.append(starts, len(variants)))
         two = starts[sizes == 2]
-        close = popcount(values[two] ^ values[two + 1]) <= RADIUS
+        close = popcount(values[two] ^ values[two + 1]) <= radius
         source, target = values[two][close], values[two + 1][close]
         more = []
         for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-            more += forest(values[start : start + size])
+            more += forest(values[start : start + size], radius)
         if more:
             a, b = np.array(more, np.int64).T
             source, target = np.concatenate((source, a)), np.concatenate((target, b))
@@ -136,17 +135,21 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(pairs[0]), pa.array(pairs[1])], names=["src", "dst"]
         )
 
-    for batch in batches:
-        variants = np.concatenate((kept_variants, batch.column(0).to_numpy(zero_copy_only=False)))
-        values = np.concatenate((kept, batch.column(1).to_numpy(zero_copy_only=False)))
-        if not len(variants):
-            continue
-        cut = int(np.searchsorted(variants, variants[-1]))  # the last variant may go on
-        if cut:
-            yield edges_of(variants[:cut], values[:cut])
-        kept_variants, kept = variants[cut:], values[cut:]
-    if len(kept):
-        yield edges_of(kept_variants, kept)
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_variants, kept = np.empty(0, np.int64), np.empty(0, np.int64)
+        for batch in batches:
+            variants = np.concatenate((kept_variants, batch.column(0).to_numpy(zero_copy_only=False)))
+            values = np.concatenate((kept, batch.column(1).to_numpy(zero_copy_only=False)))
+            if not len(variants):
+                continue
+            cut = int(np.searchsorted(variants, variants[-1]))  # the last variant may go on
+            if cut:
+                yield edges_of(variants[:cut], values[:cut])
+            kept_variants, kept = variants[cut:], values[cut:]
+        if len(kept):
+            yield edges_of(kept_variants, kept)
+
+    return scan
 
 
 def links(distinct: DataFrame) -> DataFrame:
@@ -163,7 +166,7 @@ def links(distinct: DataFrame) -> DataFrame:
         dealt.select(F.explode(ball(F.col("fp"))).alias("variant"), "fp")
         .repartition("variant")
         .sortWithinPartitions("variant")
-        .mapInArrow(released(_verified), "src long, dst long")
+        .mapInArrow(released(linked_by(RADIUS)), "src long, dst long")
         .distinct()
     )
 
