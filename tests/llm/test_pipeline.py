@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from tripline.llm import decontaminate, simhash
+from tripline.llm import decontaminate, nearcopies
 from tripline.llm.oracle import ORACLE
 from tripline.llm.queries import QUERIES
 
@@ -43,7 +43,7 @@ def test_stages_take_effect(spark, stages):
     assert all(set(b) <= set(a) for a, b in zip(ids, ids[1:]))
     labels = {r.doc_id: r for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
     assert not [k for k in set(ids[0]) - set(ids[1]) if k in labels and labels[k].quality and not labels[k].toxic]
-    found = simhash.near_duplicates(good).collect()
+    found = nearcopies.near_copies(good).collect()
     assert set(ids[2]) == {r.component_id for r in found}
     benchmark = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
     assert not decontaminate.contamination(clean, benchmark).where(decontaminate.contaminated()).count()

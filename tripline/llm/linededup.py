@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripline.llm.common import released, staged, utf8
+from tripline.llm.common import LOWER, released, staged, utf8
 
 RUN_WORDS = 50
 #: Words of the pieces whose hashes are winnowed.
@@ -34,6 +34,7 @@ STRETCH = RUN_WORDS - PIECE_WORDS + 1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[list(b" \t\n\r\x0b\x0c")] = True
+_LOWER = np.frombuffer(LOWER, np.uint8)
 #: Random summands by a byte's place in its word; longer words are hashed one by one.
 _SUMMANDS = np.random.default_rng(10).integers(0, 2**64, (32, 256), np.uint64)
 
@@ -72,11 +73,12 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 class Words:
     """Words of all texts of an Arrow column: hashes, and where each text's begin."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, lower: bool = False):
         texts = texts.cast(pa.large_binary())
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         raw = texts.buffers()[2]
         data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw else np.empty(0, np.uint8)
+        data = _LOWER[data] if lower else data
         starts, ends = word_bounds(data, offsets - offsets[0])
         self.hashes = word_hashes(data, starts, ends)
         self.bounds = np.searchsorted(starts, offsets - offsets[0])
