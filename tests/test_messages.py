@@ -306,9 +306,9 @@ def test_letters_that_reach_nowhere(spark, tmp_path):
 def test_many_small_batches_leave_few_segments(spark):
     facts = FactTable(spark, new_folder(spark, "trips"))
     tables = RollupTables(spark, new_folder(spark, "rollups"))
-    each = jobs.consume(facts, tables, "c", fold_every=5)
+    each = jobs.consume(facts, tables, "c", fold_every=3)
     valid = done(spark, *[{"tip_amount": float(i)} for i in range(1)]).valid
-    for number in range(30):
+    for number in range(8):
         batch = trip_messages(valid.withColumn("trip_id", F.lit(f"t{number % 7}")))
         each(batch, number)
     assert len(facts.deliveries.folders("writer=*/number=*/")) <= 5
