@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -262,24 +263,18 @@ def test_mixing_prefers_good_documents(spark):
     assert extra[0] > 1.5 * extra[1]
 
 
-def kneser_ney(trained: list[list[bytes]], vocabulary: int):
-    """log p of a document under the model, straight from its definition."""
-    counts = Counter(t for doc in trained for t in doc)
-    words = sorted((w for w in counts if len(w) <= 64), key=lambda w: (-counts[w], w))[: vocabulary - 2]
-    known, others = set(words), max(len(counts) - len(words), 1)
-
-    def ids(doc):
-        return ["<s>"] + [t if t in known else None for t in doc]
-
-    pairs = Counter(p for doc in trained for p in zip(ids(doc), ids(doc)[1:]))
+def kneser_ney(trained: list[list[bytes]]):
+    """log p of a document under the model of all trained words, straight from its definition."""
+    types = len({t for doc in trained for t in doc})
+    pairs = Counter(p for doc in trained for p in zip(["<s>", *doc], doc))
     high = quality.discounts([sum(c == k for c in pairs.values()) for k in (1, 2, 3, 4)])
     before = Counter(w for _, w in pairs)
     low = quality.discounts([sum(c == k for c in before.values()) for k in (1, 2, 3, 4)])
-    all_before, size = sum(before.values()), len(words) + 1
+    all_before = sum(before.values())
     freed = sum(low[min(c, 3)] for c in before.values()) / all_before
 
     def unigram(w):
-        return max(before[w] - low[min(before[w], 3)], 0) / all_before + freed / size
+        return max(before[w] - low[min(before[w], 3)], 0) / all_before + freed / (types + 1)
 
     def p(v, w):
         follow = [c for (a, _), c in pairs.items() if a == v]
@@ -288,20 +283,17 @@ def kneser_ney(trained: list[list[bytes]], vocabulary: int):
         mass = sum(high[min(c, 3)] for c in follow) / sum(follow)
         return max(pairs[v, w] - high[min(pairs[v, w], 3)], 0) / sum(follow) + mass * unigram(w)
 
-    def log_p(doc):
-        own = ids(doc)
-        return sum(math.log(p(v, w)) - (math.log(others) if w is None else 0) for v, w in zip(own, own[1:]))
-
-    return log_p
+    return lambda doc: sum(math.log(p(v, w)) for v, w in zip(["<s>", *doc], doc))
 
 
-def test_language_model(spark, docs, labels):
+@pytest.mark.parametrize("cached, shards", [(120, 3), (0, 7), (100_000, 1)])
+def test_language_model(spark, docs, labels, cached, shards):
     roles = quality.with_roles(docs, labels)
     rows = roles.collect()
     trained = [bytes(r.text).split() for r in rows if r.role == 1]
-    model, counts = quality.train(roles, vocabulary=120, shards=3)
-    got = quality.log_probabilities(roles, model, counts, shards=3).collect()
-    log_p = kneser_ney(trained, 120)
+    model = quality.train(roles, cached=cached, shards=shards)
+    got = quality.log_probabilities(roles, model).collect()
+    log_p = kneser_ney(trained)
     want = Counter((r.key, r.role, len(bytes(r.text or b"").split())) for r in rows)
     assert Counter((r.key, r.role, r.n) for r in got) == want
     texts = {r.key: bytes(r.text or b"").split() for r in rows}
@@ -310,6 +302,58 @@ def test_language_model(spark, docs, labels):
             assert math.isclose(r.log_p, log_p(texts[r.key]), rel_tol=1e-9, abs_tol=1e-9)
 
 
+def odds(toxic: list[str], other: list[str]) -> dict[bytes, float]:
+    """Weights of telling words, straight from their definition."""
+
+    def holders(texts):
+        firsts = {}
+        for text in texts:
+            words = re.split("[^0-9a-z\x80-\U0010ffff]+", text.lower())
+            words = [w for w in words if w]
+            least = min(
+                xxhash.xxh3_64_intdigest(" ".join(words[i : i + 5]).encode()) >> 1 for i in range(max(len(words) - 4, 1))
+            )
+            firsts.setdefault(least, set(words))
+        return len(firsts), Counter(w for words in firsts.values() for w in words)
+
+    (n1, of_toxic), (n0, of_other) = holders(toxic), holders(other)
+    found = {}
+    for w, c in of_toxic.items():
+        a, b = c + 0.5, of_other[w] + 0.5
+        found[w.encode()] = math.log(a / (n1 + 1)) - math.log(b / (n0 + 1)) - 3 * math.sqrt(1 / a + 1 / b)
+    return {w: x for w, x in found.items() if x > 0}
+
+
+def test_quality_rejects_toxic_documents(spark):
+    rng = random.Random(5)
+    words = [sentence(rng, 1) for _ in range(80)]
+    bad = ["gonk", "Blarg", "zwif"]
+    rows, told = [], []
+    for i in range(600):
+        text = rng.choices(words, k=rng.randint(30, 300))
+        toxic = i % 6 == 0
+        for _ in range(3 * toxic):
+            text.insert(rng.randrange(len(text)), rng.choice(bad) + rng.choice(["", "!", ","]))
+        rows.append((i, " ".join(text), "en"))
+        if i % 2 == 0 or i % 9 == 0:
+            told.append((i, 1, int(toxic)))
+    rows += [(1000 + i, "scaffold of mistakes " + rows[0][1], "en") for i in range(30)]  # near copies: count once
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(told + [(1000 + i, 1, 1) for i in range(30)], "doc_id long, quality int, toxic int")
+    roles = quality.with_roles(frame, labels)
+    fit = {r.key: (r.told, bytes(r.text).decode()) for r in roles.where("told is not null").collect()}
+    weights = quality.telling_words(roles)
+    want = odds([t for _, (k, t) in sorted(fit.items()) if k], [t for _, (k, t) in sorted(fit.items()) if not k])
+    assert weights.keys() == want.keys() and all(math.isclose(weights[w], want[w]) for w in want)
+    assert {b"gonk", b"blarg", b"zwif"} <= weights.keys() and b"scaffold" not in weights
+    text = b"gonk " + b"x " * 15 + b"BLARG, zwif"
+    plain = [weights.get(w, 0.0) for w in quality.plain_words(text)]
+    most = max(sum(plain[i : i + quality.STRETCH]) for i in range(len(plain)))
+    assert math.isclose(quality.worst_stretch(text, weights), most) and quality.worst_stretch(b"", weights) == 0
+    found = quality.judged(frame, labels).collect()
+    assert {r.doc_id for r in found if not r.kept} == {*range(0, 600, 6), *range(1000, 1030)}
+
+
 def test_quality_rejects_junk(spark, labels):
     rng = random.Random(9)
     words = [sentence(rng, 1) for _ in range(60)]

@@ -1,23 +1,29 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney bigram model.
 
 The model is trained on trusted documents (labelled good and not toxic), all of them but a
-held-out tenth. Tokens are split at ASCII white space. The vocabulary is the most frequent
-``vocabulary`` trusted tokens, a parameter of the model; other tokens share one class and pay
-its number of types. Whatever is kept per word is therefore bounded by the vocabulary and is
-broadcast; whatever is kept per bigram grows with the corpus and stays sharded by its hash.
-
-The log-probability of a document splits into a part that needs words only, summed where the
-document lies, and one correction for each bigram that training has seen. Documents send their
-bigrams, packed by shard, to the shard's counts and get back one sum from each shard: texts
-are not shuffled, and the bigrams of a document take a few bytes each.
+held-out tenth. Tokens are split at ASCII white space, and every one of them counts. A word is
+known by a 64-bit hash, but for the ``cached`` most frequent ones, which have short ids and
+whose statistics are broadcast: that saves shuffling and changes no score. All other
+statistics, of words, of histories and of bigrams, stay distributed rows.
+
+The log-probability of a document is a sum: what cached words say by themselves, added up where
+the document lies, and one entry for each rarer word, each rarer history and each bigram that
+training has seen. Documents send their keys, packed by shard, to the shard's entries and get
+back one sum from each shard: texts are not shuffled. There are as many shards as the entries
+need, so a shard's entries stay of one size however much is trained on.
+
+Perplexity is a mean and does not see a few insults in ordinary prose. So the worst stretch of
+a document counts as well: words that documents labelled toxic hold more often than others,
+weighted by the lower confidence bound of their log odds, summed over ``STRETCH`` words. These
+weights are fitted on a bounded sample of labelled documents.
 """
 
 from __future__ import annotations
 
 import struct
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -27,81 +33,129 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tripline.llm.common import released, staged, utf8, without
+from tripline.llm.common import LOWER, drop_staged, released, staged, utf8, without
 from tripline.llm.mixing import bounded
 
-#: Ids: 0 begins a document, 1 stands for all tokens outside the vocabulary.
-BEGIN, OTHER, FIRST_WORD = 0, 1, 2
-VOCABULARY = 1 << 16
-#: Longer tokens are never words of the vocabulary, which bounds its size.
+#: Id 0 begins a document. Ids below ``1 << ID_BITS`` are cached words, keys from 2^63 hashes.
+BEGIN, FIRST_WORD, ID_BITS = 0, 1, 17
+CACHED = (1 << ID_BITS) - FIRST_WORD
+#: Longer tokens are never cached, which bounds the size of what is broadcast.
 TOKEN_BYTES = 64
-SHARDS = 32
+#: Entries of a shard; there are at least as many shards as shuffle partitions.
+SHARD_ENTRIES = 1 << 20
 #: One trusted document of so many is held out to place the thresholds.
 HOLD_OUT = 10
-#: Share of held-out trusted documents of a language that the threshold keeps.
+#: Share of held-out trusted documents of a language that the thresholds keep.
 QUANTILE = 0.995
+#: Added to the thresholds: nats per token, and nats of a stretch's log odds.
+SLACK, STRETCH_SLACK = 0.1, 0.5
 #: A document is judged as if it had so many more tokens of its language's median quality.
 PRIOR_TOKENS = 20
 #: Resolution of scores, in nats per token, for the quantiles.
 STEP = 0.001
 #: Entries a task gathers before it hands them on.
 GATHERED = 1 << 18
+#: About so many toxic and other labelled documents, drawn by a hash, fit the word weights ...
+TOXIC_SAMPLE, OTHER_SAMPLE = 20_000, 200_000
+#: ... of which the largest are kept, lower by so many standard errors than estimated.
+TELLING, ERRORS = 1 << 16, 3.0
+#: Words of a stretch.
+STRETCH = 16
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def pack(values: np.ndarray) -> bytes:
-    """Integers as byte planes, zstd-compressed: the high bytes of small ids cost little."""
-    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T
+_HASHED = np.uint64(1 << 63)
+_AS_HISTORY = np.uint64(1 << 62)
+#: Bytes of a key sent to a shard: a false match has a chance of 1 in 2^27 at a full shard.
+_SENT = 6
+#: Lower-cases A-Z and turns other ASCII signs than letters and digits into spaces.
+_PLAIN = bytes(LOWER[b] if b > 127 or chr(b).isalnum() else 32 for b in range(256))
+
+
+def pack(values: np.ndarray, width: int = 4) -> bytes:
+    """Integers below 256 ** ``width`` as byte planes, zstd-compressed: high bytes of small
+    numbers cost little."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width]
     return struct.pack("<I", len(values)) + pa.compress(
         np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True
     )
 
 
-def unpack(packed: bytes) -> np.ndarray:
+def unpack(packed: bytes, width: int = 4) -> np.ndarray:
     (n,) = struct.unpack_from("<I", packed)
-    planes = np.frombuffer(pa.decompress(packed[4:], 4 * n, codec="zstd", asbytes=True), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()
+    planes = np.zeros((8, n), np.uint8)
+    planes[:width] = np.frombuffer(
+        pa.decompress(packed[4:], width * n, codec="zstd", asbytes=True), np.uint8
+    ).reshape(width, n)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     mixed = (keys.astype(np.uint64) + np.uint64(1)) * _MIX
-    return ((mixed >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
+    return ((mixed >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+
+
+def sent(keys: np.ndarray) -> np.ndarray:
+    """Keys as shards know them: hashes lose their high bits, which chose the shard with others."""
+    top = np.uint64(1 << (8 * _SENT - 1))
+    return np.where(keys >= _HASHED, (keys & (top - np.uint64(1))) | top, keys)
+
 
+def word_keys(text: bytes, ids: dict[bytes, int]) -> np.ndarray:
+    """Ids or hashes of a text's tokens, ``BEGIN`` first."""
+    tokens, get, digest = text.split(), ids.get, xxhash.xxh3_64_intdigest
+    found = np.fromiter((get(t) or digest(t) | (1 << 63) for t in tokens), np.uint64, len(tokens))
+    return np.concatenate((np.array([BEGIN], np.uint64), found))
 
-def word_ids(text: bytes, ids: dict[bytes, int]) -> np.ndarray:
-    """Ids of a text's tokens, ``BEGIN`` first."""
-    tokens = text.split()
-    get = ids.get
-    found = np.fromiter((get(t, OTHER) for t in tokens), np.uint32, len(tokens))
-    return np.concatenate((np.array([BEGIN], np.uint32), found))
 
+def pair_keys(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Keys of bigrams: both ids side by side, or a hash where one of the words is one."""
+    mixed = (v ^ (v >> np.uint64(31))) * _MIX + w
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * _MIX
+    mixed ^= mixed >> np.uint64(29)
+    return np.where((v < _AS_HISTORY) & (w < _AS_HISTORY), (v << np.uint64(ID_BITS)) | w, mixed | _HASHED)
 
-def bigrams(ids: np.ndarray) -> np.ndarray:
-    """Previous id in the high half, id in the low half."""
-    return (ids[:-1] << np.uint32(16)) | ids[1:]
+
+def history_keys(v: np.ndarray) -> np.ndarray:
+    """Keys of hashed words as histories."""
+    return pair_keys(v, np.full(len(v), _AS_HISTORY))
 
 
 @dataclass
 class Model:
-    """What training keeps per word: bounded by the vocabulary."""
+    """What training keeps per cached word, and a few numbers."""
 
     words: list[bytes]
-    other_types: int
     #: log of the back-off weight of a history, log of the lower-order probability
     back_off: np.ndarray
     unigram: np.ndarray
     #: occurrences of a history
     total: np.ndarray
-    discounts: np.ndarray
-
-    def corrections(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """log p(w|v) of seen bigrams, less the backed-off value documents have summed."""
-        v, w = keys >> 16, keys & 0xFFFF
-        backed = self.back_off[v] + self.unigram[w]
-        discount = self.discounts[np.minimum(counts, 3)]
-        own = np.maximum(counts - discount, 0.0) / self.total[v]
-        return np.log(own + np.exp(backed)) - backed
+    #: discounts of bigrams and of words, bigram types, log-probability of an unknown word
+    high: np.ndarray
+    low: np.ndarray
+    seen: int
+    unknown: float
+    #: weights of telling words
+    telling: dict[bytes, float] = field(default_factory=dict)
+
+    def ids(self) -> dict[bytes, int]:
+        return {w: i for i, w in enumerate(self.words, FIRST_WORD)}
+
+    def log_back_off(self, total, once, twice, more) -> np.ndarray:
+        mass = self.high[1] * once + self.high[2] * twice + self.high[3] * more
+        return np.log(np.where(total > 0, mass / np.maximum(total, 1), 1.0))
+
+    def log_unigram(self, histories: np.ndarray) -> np.ndarray:
+        kept = np.maximum(histories - self.low[np.minimum(histories, 3).astype(int)], 0.0)
+        return np.log(kept / max(self.seen, 1) + np.exp(self.unknown))
+
+    def base(self, keys: np.ndarray) -> float:
+        """Back-off weights and lower-order probabilities of cached words, others as unknown."""
+        known = (keys < _AS_HISTORY).nonzero()[0]
+        ids = keys[known].astype(np.int64)
+        words = known > 0
+        total = self.unigram[ids[words]].sum() + self.unknown * (len(keys) - 1 - words.sum())
+        return float(total + self.back_off[ids[known < len(keys) - 1]].sum())
 
 
 def discounts(counts_of_counts: np.ndarray) -> np.ndarray:
@@ -117,35 +171,29 @@ def discounts(counts_of_counts: np.ndarray) -> np.ndarray:
     return np.array([0.0, *(min(max(d, 0.01), k - 0.01) for k, d in enumerate(found, 1))])
 
 
-def fitted(words: list[bytes], other_types: int, stats: np.ndarray, counts_of_counts) -> Model:
-    """``stats`` has a row per id: occurrences as history, followers seen once, twice, more
-    often, and the number of different histories before it."""
-    total, once, twice, more, histories = stats.T.astype(float)
-    high = discounts(counts_of_counts)
-    mass = high[1] * once + high[2] * twice + high[3] * more
-    back_off = np.log(np.where(total > 0, mass / np.maximum(total, 1), 1.0))
-    low = discounts([(histories == k).sum() for k in (1, 2, 3, 4)])
-    seen = max(histories.sum(), 1.0)
-    kept = np.maximum(histories - low[np.minimum(histories.astype(int), 3)], 0.0)
-    spread = 1.0 - kept.sum() / seen
-    known = FIRST_WORD + len(words)
-    unigram = np.full(len(histories), -np.inf)
-    unigram[:known] = np.log(kept[:known] / seen + spread / (known - 1))
-    return Model(words, max(other_types, 1), back_off, unigram, np.maximum(total, 1), high)
-
-
 def with_roles(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``(key, lang, role, text)``: role 1 trains, 2 is held out, 0 is neither.
+    """``(key, lang, role, told, text)``: role 1 trains, 2 is held out, 0 is neither.
 
-    Labels of a document that disagree do not make it trusted.
+    ``told`` is 1 for toxic and 0 for other documents of the sample that fits word weights, else
+    null; held-out documents are not in it. Labels of a document that disagree do not make it
+    trusted, and make it toxic.
     """
     each = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("label_key"))
-    trusted = each.agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).where("q = 1 and t = 0")
-    fold = F.pmod(F.xxhash64(F.col("label_key").cast("string")), F.lit(HOLD_OUT)) == 0
-    roles = trusted.select("label_key", F.when(fold, 2).otherwise(1).alias("role"))
+    each = each.agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
+    hashed = F.xxhash64(F.col("label_key").cast("string"))
+    fold = F.pmod(hashed, F.lit(HOLD_OUT)) == 0
+    trusted = F.coalesce((F.col("q") == 1) & (F.col("t") == 0), F.lit(False))
+    n = each.agg(F.count(F.when(F.col("t") == 1, 1)), F.count(F.when(F.col("t") == 0, 1))).first()
+    draw = F.shiftrightunsigned(hashed, 33) / float(1 << 31)
+    share = F.when(F.col("t") == 1, TOXIC_SAMPLE / max(n[0], 1)).when(F.col("t") == 0, OTHER_SAMPLE / max(n[1], 1))
+    roles = each.select(
+        "label_key",
+        F.when(trusted & fold, 2).when(trusted, 1).otherwise(0).alias("role"),
+        F.when((draw < share) & ~(trusted & fold), F.col("t").cast("int")).alias("told"),
+    ).where("role > 0 or told is not null")
     narrow = docs.select(F.col(key).alias("key"), "lang", utf8("text").alias("text"))
     joined = narrow.join(bounded(roles), F.col("key") == F.col("label_key"), "left")
-    return joined.select("key", "lang", F.coalesce("role", F.lit(0)).alias("role"), "text")
+    return joined.select("key", "lang", F.coalesce("role", F.lit(0)).alias("role"), "told", "text")
 
 
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,29 +215,30 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield out()
 
 
-def _bigram_counts(ids_sent, shards: int):
+def _bigram_counts(words_sent):
+    """``(v, w, n)`` of texts, summed within the task; keys as signed integers."""
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = {w: i for i, w in enumerate(ids_sent.value, FIRST_WORD)}
+        ids = {w: i for i, w in enumerate(words_sent.value, FIRST_WORD)}
         held: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            shard = shard_of(keys, shards)
-            rows = [(s, keys[shard == s], counts[shard == s]) for s in np.unique(shard).tolist()]
+            v = np.concatenate([h[:-1] for h in held])
+            w = np.concatenate([h[1:] for h in held])
+            order = np.lexsort((w, v))
+            v, w = v[order], w[order]
+            first = np.flatnonzero(np.concatenate(([True], (v[1:] != v[:-1]) | (w[1:] != w[:-1]))))
+            n = np.diff(first, append=len(v))
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([s for s, _, _ in rows], pa.int32()),
-                    pa.array([pack(np.diff(k, prepend=np.uint32(0))) for _, k, _ in rows], pa.binary()),
-                    pa.array([pack(np.minimum(c, 0xFFFFFFFF)) for _, _, c in rows], pa.binary()),
-                ],
-                names=["shard", "keys", "counts"],
+                [pa.array(v[first].view(np.int64)), pa.array(w[first].view(np.int64)), pa.array(n)],
+                names=["v", "w", "n"],
             )
 
         size = 0
         for batch in batches:
             for text in batch.column(0):
-                held.append(bigrams(word_ids(text.as_py() or b"", ids)))
-                size += len(held[-1])
+                held.append(word_keys(text.as_py() or b"", ids))
+                size += len(held[-1]) - 1
             if size > 4 * GATHERED:
                 yield out()
                 held, size = [], 0
@@ -199,178 +248,305 @@ def _bigram_counts(ids_sent, shards: int):
     return gather
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each shard, from rows sorted by shard."""
+def _columns(df: DataFrame) -> list[np.ndarray]:
+    return [c.to_numpy() for c in df.toArrow().columns]
 
-    def out(shard: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        keys, counts = _summed(parts)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([shard], pa.int32()),
-                pa.array([pack(np.diff(keys, prepend=np.uint32(0)))], pa.binary()),
-                pa.array([pack(np.minimum(counts, 0xFFFFFFFF))], pa.binary()),
-            ],
-            names=["shard", "keys", "counts"],
-        )
 
-    now, parts = None, []
-    for batch in batches:
-        for shard, keys, counts in zip(*(batch.column(i) for i in range(3)), strict=True):
-            if now is not None and shard.as_py() != now:
-                yield out(now, parts)
-                parts = []
-            now = shard.as_py()
-            parts.append((np.cumsum(unpack(keys.as_py()), dtype=np.uint32), unpack(counts.as_py()).astype(np.int64)))
-            if sum(len(k) for k, _ in parts[1:]) > 4 * GATHERED:
-                parts = [_summed(parts)]
-    if now is not None:
-        yield out(now, parts)
-
-
-def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([k for k, _ in parts])
-    counts = np.concatenate([c for _, c in parts])
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, int)
-    return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
-
-
-def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per id ``(id, total, once, twice, more, histories)``; id -k has counts of count k."""
-    for batch in batches:
-        for _, packed_keys, packed_counts in zip(*(batch.column(i) for i in range(3)), strict=True):
-            keys = np.cumsum(unpack(packed_keys.as_py()), dtype=np.uint32)
-            counts = unpack(packed_counts.as_py())
-            v, w = (keys >> 16).astype(np.int64), (keys & 0xFFFF).astype(np.int64)
-            table = np.zeros((VOCABULARY, 5), np.int64)
-            table[:, 0] = np.bincount(v, counts, VOCABULARY)
-            for column, which in ((1, counts == 1), (2, counts == 2), (3, counts >= 3)):
-                table[:, column] = np.bincount(v[which], minlength=VOCABULARY)
-            table[:, 4] = np.bincount(w, minlength=VOCABULARY)
-            used = np.flatnonzero(table.any(1))
-            of = np.array([[(counts == k).sum(), 0, 0, 0, 0] for k in (1, 2, 3, 4)])
-            rows = np.concatenate((table[used], of))
-            names = np.concatenate((used, [-1, -2, -3, -4]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names), *(pa.array(np.ascontiguousarray(c)) for c in rows.T)],
-                names=["id", "total", "once", "twice", "more", "histories"],
+def _entries(model_sent, shards: int, keys_and_values: Callable):
+    """Rows to packed ``(shard, keys, counts)``: sorted keys and the value of each."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = model_sent.value
+        held: list[pa.RecordBatch] = []
+
+        def out() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            columns = [c.fill_null(0).to_numpy() for c in table.columns]
+            keys, values = keys_and_values(model, *columns)
+            shard, keys = shard_of(keys, shards), sent(keys)
+            order = np.lexsort((keys, shard))
+            shard, keys, values = shard[order], keys[order], values[order]
+            which, first = np.unique(shard, return_index=True)
+            limits = np.append(first, len(shard))
+            spans = list(zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True))
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(which, pa.int32()),
+                    pa.array([pack(keys[a:b], _SENT) for a, b in spans], pa.binary()),
+                    pa.array([values[a:b].astype("<f8").tobytes() for a, b in spans], pa.binary()),
+                ],
+                names=["shard", "keys", "counts"],
             )
 
+        size = 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.num_rows
+            if size > 4 * GATHERED:
+                yield out()
+                held, size = [], 0
+        if size:
+            yield out()
 
-def train(roles: DataFrame, vocabulary: int = VOCABULARY, shards: int = SHARDS) -> tuple[Model, DataFrame]:
-    """The model's part per word, and its bigram counts ``(shard, keys, counts)``, staged."""
+    return scan
+
+
+def _bigram_values(model: Model, v, w, n, total, once, twice, more, histories):
+    """log p(w|v) of seen bigrams, less the backed-off value that words give by themselves."""
+    of_v, of_w = np.maximum(v, 0), np.maximum(w, 0)
+    total = np.where(v < 0, total, model.total[of_v])
+    back_off = np.where(v < 0, model.log_back_off(total, once, twice, more), model.back_off[of_v])
+    unigram = np.where(w < 0, model.log_unigram(histories), model.unigram[of_w])
+    own = np.maximum(n - model.high[np.minimum(n, 3)], 0.0) / total
+    backed = back_off + unigram
+    return pair_keys(v.view(np.uint64), w.view(np.uint64)), np.log(own + np.exp(backed)) - backed
+
+
+def _word_values(model: Model, w, histories):
+    return w.view(np.uint64), model.log_unigram(histories) - model.unknown
+
+
+def _history_values(model: Model, v, total, once, twice, more):
+    return history_keys(v.view(np.uint64)), model.log_back_off(total, once, twice, more)
+
+
+@dataclass
+class Trained:
+    """A model, and its entries ``(shard, keys, counts)``, counts the packed values."""
+
+    model: Model
+    entries: DataFrame
+    shards: int
+    copies: list[DataFrame]
+
+
+def train(roles: DataFrame, cached: int = CACHED, shards: int | None = None) -> Trained:
+    """The model of the trusted documents among ``roles``."""
     spark = roles.sparkSession
     text = roles.where("role = 1").select("text")
     counted = text.mapInArrow(released(_token_counts), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counted = staged(counted, "quality_words")
-    types = counted.count()
     frequent = counted.where(F.length("word") <= TOKEN_BYTES).orderBy(F.desc("n"), "word")
-    words = [bytes(r.word) for r in frequent.limit(vocabulary - FIRST_WORD).collect()]
-    sent = spark.sparkContext.broadcast(words)
-    parts = text.mapInArrow(released(_bigram_counts(sent, shards)), "shard int, keys binary, counts binary")
-    merged = parts.repartition(shards, "shard").sortWithinPartitions("shard")
-    merged = staged(merged.mapInArrow(released(_merged), parts.schema), "quality_bigrams")
+    words = [bytes(r.word) for r in frequent.select("word").limit(cached).collect()]
+    words_sent = spark.sparkContext.broadcast(words)
+    pairs = text.mapInArrow(released(_bigram_counts(words_sent)), "v long, w long, n long")
+    pairs = staged(pairs.groupBy("v", "w").agg(F.sum("n").alias("n")), "quality_bigrams")
+
+    def of_count(column: str, k: int) -> Column:
+        return F.count(F.when(F.col(column) == k, 1))
+
+    followers = [of_count("n", 1).alias("once"), of_count("n", 2).alias("twice")]
+    followers.append(F.count(F.when(F.col("n") > 2, 1)).alias("more"))
+    histories = pairs.groupBy("v").agg(F.sum("n").alias("total"), *followers)
+    histories = staged(histories, "quality_histories")
+    befores = staged(pairs.groupBy("w").agg(F.count("*").alias("histories")), "quality_words")
+    seen, *of_pairs = pairs.agg(F.count("*"), *(of_count("n", k) for k in (1, 2, 3, 4))).first()
+    types, *of_words = befores.agg(F.count("*"), *(of_count("histories", k) for k in (1, 2, 3, 4))).first()
+    low = discounts(of_words)
+    freed = low[1] * of_words[0] + low[2] * of_words[1] + low[3] * (types - of_words[0] - of_words[1])
+    unknown = float(np.log((freed / seen if seen else 1.0) / (types + 1)))
+    size = FIRST_WORD + len(words)
+    blank = np.zeros(size)
+    model = Model(words, blank, blank, blank, discounts(of_pairs), low, seen, unknown)
+    table = np.zeros((4, size), np.int64)
+    at, *found = _columns(histories.where("v >= 0"))
+    table[:, at] = found
+    before = np.zeros(size, np.int64)
+    at, found = _columns(befores.where("w >= 0"))
+    before[at] = found
+    model.total = np.maximum(table[0], 1).astype(float)
+    model.back_off, model.unigram = model.log_back_off(*table), model.log_unigram(before)
+
+    shards = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen // SHARD_ENTRIES), 1)
+    model_sent = spark.sparkContext.broadcast(model)
+    rare_v, rare_w = histories.where("v < 0"), befores.where("w < 0")
+    # A cached word has nothing to find; a value no hash takes spreads its rows over all tasks.
+    spread = F.shiftrightunsigned(F.xxhash64("v", "w"), 1)
+    rare = pairs.where("v < 0 or w < 0").withColumns(
+        {"of_v": F.when(F.col("v") < 0, F.col("v")).otherwise(spread), "of_w": F.when(F.col("w") < 0, F.col("w")).otherwise(spread)}
+    )
+    rare = rare.join(rare_v.withColumnRenamed("v", "of_v"), "of_v", "left")
+    rare = rare.join(rare_w.withColumnRenamed("w", "of_w"), "of_w", "left")
     names = ["total", "once", "twice", "more", "histories"]
-    stats = merged.mapInArrow(released(_statistics), "id long, " + ", ".join(f"{n} long" for n in names))
-    stats = stats.groupBy("id").agg(*(F.sum(n).alias(n) for n in names)).collect()
-    table, of_counts = np.zeros((VOCABULARY, 5), np.int64), np.zeros(4)
-    for row in stats:
-        if row.id >= 0:
-            table[row.id] = row[1:]
-        else:
-            of_counts[-row.id - 1] = row.total
-    return fitted(words, types - len(words), table, of_counts), merged
+    plain = pairs.where("v >= 0 and w >= 0").withColumns({c: F.lit(None).cast("long") for c in names})
+    made = [(half.select("v", "w", "n", *names), _bigram_values) for half in (plain, rare)]
+    made += [(rare_w.select("w", "histories"), _word_values)]
+    made += [(rare_v.select("v", *names[:4]), _history_values)]
+    schema = "shard int, keys binary, counts binary"
+    parts = [df.mapInArrow(released(_entries(model_sent, shards, values)), schema) for df, values in made]
+    entries = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    return Trained(model, entries, shards, [pairs, histories, befores])
+
+
+def plain_words(text: bytes) -> list[bytes]:
+    """Words as the odds see them: A-Z lower-cased, split at ASCII signs and white space."""
+    return text.translate(_PLAIN).split()
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least hash of a text's five-word shingles, by which near copies are known."""
+    digest = xxhash.xxh3_64_intdigest
+    for batch in batches:
+        least = []
+        for text in batch.column(2):
+            words = plain_words(text.as_py() or b"")
+            last = max(len(words) - 4, 1)
+            least.append(min(digest(b" ".join(words[i : i + 5])) for i in range(last)) >> 1)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(least, pa.int64())], names=["key", "told", "sketch"]
+        )
+
+
+def _holders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(word, toxic, other)``: documents of either kind that hold a word, within the task."""
+    counts: dict[int, Counter[bytes]] = {0: Counter(), 1: Counter()}
+
+    def out() -> pa.RecordBatch:
+        words = list(counts[0].keys() | counts[1].keys())
+        columns = [pa.array([counts[k][w] for w in words], pa.int64()) for k in (1, 0)]
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), *columns], names=["word", "toxic", "other"])
+
+    for batch in batches:
+        for told, text in zip(*(batch.column(i) for i in range(2)), strict=True):
+            words = set(plain_words(text.as_py() or b""))
+            counts[told.as_py()].update(w for w in words if len(w) <= TOKEN_BYTES)
+        if len(counts[0]) + len(counts[1]) > GATHERED:
+            yield out()
+            counts = {0: Counter(), 1: Counter()}
+    if counts[0] or counts[1]:
+        yield out()
+
+
+def telling_words(roles: DataFrame) -> dict[bytes, float]:
+    """Weights above zero of words that toxic documents of the sample hold more often.
+
+    A weight is the log odds between both kinds of documents, with a half added to each count,
+    less ``ERRORS`` standard errors. Near copies (one least shingle hash) of a kind count once.
+    """
+    told = roles.where("told is not null")
+    kind = roles.schema["key"].dataType.simpleString()
+    each = told.select("key", "told", "text").mapInArrow(released(_sketch), f"key {kind}, told int, sketch long")
+    firsts = each.groupBy("told", "sketch").agg(F.min("key").alias("first_key"))
+    firsts = staged(firsts.select("told", "first_key").distinct(), "quality_told")
+    n = dict(firsts.groupBy("told").count().collect())
+    chosen = told.join(bounded(firsts.select("first_key")), F.col("key") == F.col("first_key"), "left_semi")
+    held = chosen.select("told", "text").mapInArrow(released(_holders), "word binary, toxic long, other long")
+    held = held.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).where("toxic > 0")
+    toxic, other = F.col("toxic") + 0.5, F.col("other") + 0.5
+    odds = F.log(toxic / (n.get(1, 0) + 1.0)) - F.log(other / (n.get(0, 0) + 1.0))
+    weight = odds - ERRORS * F.sqrt(1 / toxic + 1 / other)
+    top = held.select("word", weight.alias("weight")).where("weight > 0").orderBy(F.desc("weight"), "word")
+    found = {bytes(r.word): r.weight for r in top.limit(TELLING).collect()}
+    drop_staged(firsts)
+    return found
+
+
+def worst_stretch(text: bytes, telling: dict[bytes, float]) -> float:
+    """The largest sum of weights over ``STRETCH`` words that follow one another."""
+    words = plain_words(text)
+    if telling.keys().isdisjoint(words):
+        return 0.0
+    get = telling.get
+    upto = np.cumsum(np.fromiter((get(w, 0.0) for w in words), float, len(words)))
+    upto[STRETCH:] -= upto[:-STRETCH].copy()
+    return float(upto.max())
 
 
 _ROWS = (
-    "shard int, salt int, kind int, batch binary, keys binary, counts binary, "
-    "docs array<struct<key:{key},lang:string,role:int,n:long,base:double>>"
+    "shard int, kind int, batch binary, keys binary, counts binary, "
+    "docs array<struct<key:{key},lang:string,role:int,n:long,base:double,worst:double>>"
 )
 
 
-def _scattered(model_sent, shards: int, salts: int, key_type: pa.DataType):
-    """Documents to one row with what words alone say, and a row of bigrams for each shard."""
+def _scattered(model_sent, shards: int, key_type: pa.DataType):
+    """Documents to one row with what words alone say, and a row of keys for each shard."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = model_sent.value
-        ids = {w: i for i, w in enumerate(model.words, FIRST_WORD)}
-        other = np.log(model.other_types)
-        doc = pa.struct(
-            [("key", key_type), ("lang", pa.string()), ("role", pa.int32()), ("n", pa.int64()), ("base", pa.float64())]
-        )
+        ids = model.ids()
+        kinds = [("lang", pa.string()), ("role", pa.int32()), ("n", pa.int64())]
+        doc = pa.struct([("key", key_type), *kinds, ("base", pa.float64()), ("worst", pa.float64())])
         for batch in batches:
             texts = [x.as_py() or b"" for x in batch.column(3)]
             if not texts:
                 continue
             name = xxhash.xxh128()
-            keys, owners, docs = [], [], []
+            keys, times, owners, docs = [], [], [], []
             whose = zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
             for at, (text, (key, lang, role)) in enumerate(zip(texts, whose, strict=True)):
                 name.update(repr((key, lang, role, len(text))).encode())
                 name.update(text)
-                found = word_ids(text, ids)
+                found = word_keys(text, ids)
                 v, w = found[:-1], found[1:]
-                base = float((model.back_off[v] + model.unigram[w]).sum()) - other * int((w == OTHER).sum())
-                docs.append({"key": key, "lang": lang, "role": role, "n": len(w), "base": base})
-                keys.append(bigrams(found))
-                owners.append(np.full(len(w), at))
+                worst = worst_stretch(text, model.telling)
+                docs.append(
+                    {"key": key, "lang": lang, "role": role, "n": len(w), "base": model.base(found), "worst": worst}
+                )
+                own = np.concatenate((pair_keys(v, w), w[w >= _HASHED], history_keys(v[v >= _HASHED])))
+                own, n = np.unique(own, return_counts=True)
+                keys.append(own)
+                times.append(n)
+                owners.append(np.full(len(own), at))
             digest = name.digest()
-            salt = digest[0] % salts
-            keys, owners = np.concatenate(keys), np.concatenate(owners)
+            keys, times, owners = np.concatenate(keys), np.concatenate(times), np.concatenate(owners)
             shard = shard_of(keys, shards)
             order = np.argsort(shard, kind="stable")
-            keys, owners = keys[order], owners[order]
-            limits = np.searchsorted(shard[order], np.arange(shards + 1))
+            keys, times, owners, shard = sent(keys)[order], times[order], owners[order], shard[order]
+            which, first = np.unique(shard, return_index=True)
+            limits = np.append(first, len(shard)).tolist()
             rows = [
-                (s, pack(keys[a:b]), pack(np.bincount(owners[a:b], minlength=len(texts))))
-                for s, (a, b) in enumerate(zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True))
-                if b > a
+                (s, pack(keys[a:b], _SENT), pack(np.stack((owners[a:b], times[a:b])).ravel()))
+                for s, a, b in zip(which.tolist(), limits[:-1], limits[1:], strict=True)
             ]
             n = len(rows)
+            place = int.from_bytes(digest[:4], "little") % shards
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([s for s, _, _ in rows] + [digest[1] % shards], pa.int32()),
-                    pa.array([salt] * (n + 1), pa.int32()),
+                    pa.array([s for s, _, _ in rows] + [place], pa.int32()),
                     pa.array([1] * n + [2], pa.int32()),
                     pa.array([digest] * (n + 1), pa.binary()),
                     pa.array([k for _, k, _ in rows] + [None], pa.binary()),
                     pa.array([c for _, _, c in rows] + [None], pa.binary()),
                     pa.array([None] * n + [docs], pa.list_(doc)),
                 ],
-                names=["shard", "salt", "kind", "batch", "keys", "counts", "docs"],
+                names=["shard", "kind", "batch", "keys", "counts", "docs"],
             )
 
     return scan
 
 
-def _looked_up(model_sent, doc_type: pa.DataType):
-    """Rows sorted by shard, the shard's counts first, to sums of corrections by document."""
+def _looked_up(doc_type: pa.DataType):
+    """Rows sorted by shard, the shard's entries first, to sums of values by document."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = model_sent.value
-        here, known, correction = None, np.empty(0, np.uint32), np.empty(0)
+        here, parts = None, []
+        known, value = np.empty(0, np.uint64), np.empty(0)
         for rows in batches:
             out = []
             for i in range(rows.num_rows):
-                place = (rows.column(0)[i].as_py(), rows.column(1)[i].as_py())
-                kind, batch = rows.column(2)[i].as_py(), rows.column(3)[i].as_py()
-                if place != here:
-                    here, known, correction = place, np.empty(0, np.uint32), np.empty(0)
+                shard, kind, batch = (rows.column(c)[i].as_py() for c in range(3))
+                if shard != here:
+                    here, parts = shard, []
+                    known, value = np.empty(0, np.uint64), np.empty(0)
                 if kind == 2:
-                    out.append((batch, None, None, rows.column(6).slice(i, 1)))
+                    out.append((batch, None, None, rows.column(5).slice(i, 1)))
                     continue
-                keys, counts = (unpack(rows.column(c)[i].as_py()) for c in (4, 5))
+                keys, counts = unpack(rows.column(3)[i].as_py(), _SENT), rows.column(4)[i].as_py()
                 if kind == 0:
-                    known = np.cumsum(keys, dtype=np.uint32)
-                    correction = model.corrections(known, counts.astype(np.int64))
+                    parts.append((keys, np.frombuffer(counts, "<f8")))
+                    continue
+                if parts:
+                    known, value = (np.concatenate(x) for x in zip(*parts, strict=True))
+                    order, parts = np.argsort(known, kind="stable"), []
+                    known, value = known[order], value[order]
+                if not len(known):
                     continue
-                sums = np.zeros(len(counts))
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                    gains = np.where(known[at] == keys, correction[at], 0.0)
-                    sums = np.bincount(np.repeat(np.arange(len(counts)), counts), gains, len(counts))
-                out.append((batch, place[0], sums.tobytes(), None))
+                owners, times = unpack(counts).reshape(2, -1)
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                gains = np.where(known[at] == keys, value[at], 0.0) * times
+                sums = np.bincount(owners.astype(np.int64), gains)
+                if sums.any():
+                    out.append((batch, shard, pa.compress(sums.tobytes(), codec="zstd", asbytes=True), None, len(sums)))
             if out:
                 empty = pa.array([None], doc_type)
                 yield pa.RecordBatch.from_arrays(
@@ -378,9 +554,10 @@ def _looked_up(model_sent, doc_type: pa.DataType):
                         pa.array([x[0] for x in out], pa.binary()),
                         pa.array([x[1] for x in out], pa.int32()),
                         pa.array([x[2] for x in out], pa.binary()),
+                        pa.array([x[4] if len(x) > 4 else None for x in out], pa.int32()),
                         pa.concat_arrays([x[3] if x[3] is not None else empty for x in out]),
                     ],
-                    names=["batch", "shard", "sums", "docs"],
+                    names=["batch", "shard", "sums", "n_sums", "docs"],
                 )
 
     return scan
@@ -388,20 +565,21 @@ def _looked_up(model_sent, doc_type: pa.DataType):
 
 def _gathered(key_type: pa.DataType):
     """Rows sorted by batch to documents with their log-probability."""
-    kinds = [("lang", pa.string()), ("role", pa.int32()), ("n", pa.int64()), ("log_p", pa.float64())]
-    schema = pa.schema([("key", key_type), *kinds])
+    kinds = [("lang", pa.string()), ("role", pa.int32()), ("n", pa.int64())]
+    schema = pa.schema([("key", key_type), *kinds, ("log_p", pa.float64()), ("worst", pa.float64())])
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
-        metas = [docs for _, _, docs in rows if docs is not None]
-        parts = sorted(((s, sums) for s, sums, docs in rows if docs is None), key=lambda x: x[0])
+        metas = [docs for _, _, _, docs in rows if docs is not None]
+        parts = sorted(((s, sums, n) for s, sums, n, docs in rows if docs is None), key=lambda x: x[0])
         docs = metas[0]
         logs = np.array([d["base"] for d in docs])
-        for _, sums in parts:  # the same batch read twice came twice from every shard
-            logs = logs + np.frombuffer(sums) / len(metas)
+        for _, sums, n in parts:  # the same batch read twice came twice from every shard
+            found = np.frombuffer(pa.decompress(sums, 8 * n, codec="zstd", asbytes=True))
+            logs[:n] += found / len(metas)
         many = docs * len(metas)
         return pa.RecordBatch.from_pylist(
             [
-                {k: d[k] for k in ("key", "lang", "role", "n")} | {"log_p": float(x)}
+                {k: d[k] for k in ("key", "lang", "role", "n", "worst")} | {"log_p": float(x)}
                 for d, x in zip(many, np.tile(logs, len(metas)).tolist(), strict=True)
             ],
             schema,
@@ -410,45 +588,48 @@ def _gathered(key_type: pa.DataType):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
         for rows in batches:
-            for batch, shard, sums, docs in zip(*(rows.column(i) for i in range(4)), strict=True):
+            for batch, *rest in zip(*(rows.column(i) for i in range(5)), strict=True):
                 if now is not None and batch.as_py() != now:
                     yield out(held)
                     held = []
                 now = batch.as_py()
-                held.append((shard.as_py(), sums.as_py(), docs.as_py()))
+                held.append(tuple(x.as_py() for x in rest))
         if held:
             yield out(held)
 
     return scan
 
 
-def log_probabilities(roles: DataFrame, model: Model, counts: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``(key, lang, role, n, log_p)`` for every row; n tokens, log_p their natural log sum."""
+def log_probabilities(roles: DataFrame, trained: Trained) -> DataFrame:
+    """``(key, lang, role, n, log_p, worst)`` for every row.
+
+    n tokens, log_p their natural log sum, worst the text's ``worst_stretch``.
+    """
     spark = roles.sparkSession
-    sent = spark.sparkContext.broadcast(model)
-    salts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // shards)
+    model_sent = spark.sparkContext.broadcast(trained.model)
     kind = roles.schema["key"].dataType
     schema = _ROWS.format(key=kind.simpleString())
-    rows = roles.mapInArrow(released(_scattered(sent, shards, salts, to_arrow_type(kind))), schema)
-    model_rows = counts.select(
+    narrow = roles.select("key", "lang", "role", "text")
+    rows = narrow.mapInArrow(released(_scattered(model_sent, trained.shards, to_arrow_type(kind))), schema)
+    model_rows = trained.entries.select(
         "shard",
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"),
         F.lit(0).alias("kind"),
         F.lit(None).cast("binary").alias("batch"),
         "keys",
         "counts",
         F.lit(None).cast(rows.schema["docs"].dataType).alias("docs"),
     )
-    placed = model_rows.union(rows).repartition(shards * salts, "shard", "salt")
-    placed = placed.sortWithinPartitions("shard", "salt", "kind")
+    placed = model_rows.union(rows).repartition(trained.shards, "shard")
+    placed = placed.sortWithinPartitions("shard", "kind")
     docs_type = rows.schema["docs"].dataType
     summed = placed.mapInArrow(
-        released(_looked_up(sent, to_arrow_type(docs_type))),
-        f"batch binary, shard int, sums binary, docs {docs_type.simpleString()}",
+        released(_looked_up(to_arrow_type(docs_type))),
+        f"batch binary, shard int, sums binary, n_sums int, docs {docs_type.simpleString()}",
     )
     gathered = summed.repartition("batch").sortWithinPartitions("batch")
     return gathered.mapInArrow(
-        released(_gathered(to_arrow_type(kind))), f"key {kind.simpleString()}, lang string, role int, n long, log_p double"
+        released(_gathered(to_arrow_type(kind))),
+        f"key {kind.simpleString()}, lang string, role int, n long, log_p double, worst double",
     )
 
 
@@ -474,23 +655,28 @@ def _with_quantile(df: DataFrame, held: DataFrame, step: Column, share: float, n
 
 
 def judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``(key, lang, n_tokens, perplexity, score, threshold, kept)`` for every row of ``docs``.
+    """``(key, lang, n_tokens, perplexity, score, threshold, toxic_score, toxic_threshold, kept)``
+    for every row of ``docs``.
 
     ``perplexity`` is exp of the mean negative log-probability per token (null without
     tokens). ``score`` is that mean, drawn towards the median of the language's held-out
     trusted documents by ``PRIOR_TOKENS`` tokens of that value, so that a few odd words do not
     condemn a short text. ``threshold`` is the ``QUANTILE`` of the scores of the language's
-    held-out trusted documents, plus a tenth; a language without any uses those of all. Documents
-    above it are not kept.
+    held-out trusted documents, plus ``SLACK``. ``toxic_score`` is the ``worst_stretch`` and
+    ``toxic_threshold`` the same quantile of it, plus ``STRETCH_SLACK``. A language without
+    held-out documents uses the quantiles of all. Documents above either are not kept.
 
     Null or empty texts have no tokens and are kept: there is nothing to judge. Null
     languages form a language. Without trusted documents every document is kept. Repeated
     rows are each answered. Columns other than key, text and lang are not read.
     """
     roles = with_roles(docs, labels, key)
-    model, counts = train(roles)
-    scored = log_probabilities(roles, model, counts).withColumn("mean", -F.col("log_p") / F.greatest("n", F.lit(1)))
+    trained = train(roles)
+    trained.model.telling = telling_words(roles)
+    scored = log_probabilities(roles, trained).withColumn("mean", -F.col("log_p") / F.greatest("n", F.lit(1)))
     scored = staged(scored, "quality_scores")
+    for copy in trained.copies:
+        drop_staged(copy)
     held = "role = 2 and n > 0"
     near = F.round(F.col("mean") / STEP).cast("long")
     scored = _with_quantile(scored, scored.where(held), near, 0.5, "centre")
@@ -499,15 +685,20 @@ def judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame
     scored = scored.withColumn("score", F.coalesce(score, mean))
     above = F.ceil(F.col("score") / STEP).cast("long")
     out = _with_quantile(scored, scored.where(held), above, QUANTILE, "threshold")
-    limit = F.col("threshold")
+    above = F.ceil(F.col("worst") / STEP).cast("long")
+    out = _with_quantile(out, scored.where(held), above, QUANTILE, "toxic_threshold")
+    limit, toxic_limit = F.col("threshold") + SLACK, F.col("toxic_threshold") + STRETCH_SLACK
+    fine = (F.col("score") <= limit) & (F.col("worst") <= toxic_limit)
     return out.select(
         F.col("key").alias(key),
         "lang",
         F.col("n").alias("n_tokens"),
         F.when(F.col("n") > 0, F.exp("mean")).alias("perplexity"),
         "score",
-        (limit + 0.1).alias("threshold"),
-        F.coalesce((F.col("n") == 0) | (F.col("score") <= limit + 0.1), F.lit(True)).alias("kept"),
+        limit.alias("threshold"),
+        F.col("worst").alias("toxic_score"),
+        toxic_limit.alias("toxic_threshold"),
+        F.coalesce((F.col("n") == 0) | fine, F.lit(True)).alias("kept"),
     )
 
 
