@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 from functools import wraps
@@ -37,6 +38,16 @@ def drop_staged(df: DataFrame) -> None:
         drop_folder(df.sparkSession, folder)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Free the disk of shuffles whose frames nobody holds any more.
+
+    Spark deletes their files once the driver has collected their plans, which it may not do
+    for half an hour; frames still in use lose nothing.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_folder(spark: SparkSession, folder: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(folder)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

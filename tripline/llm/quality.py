@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tripline.llm.common import LOWER, drop_staged, released, staged, utf8, without
+from tripline.llm.common import LOWER, drop_shuffles, drop_staged, released, staged, utf8, without
 from tripline.llm.mixing import bounded
 
 #: Id 0 begins a document. Ids below ``1 << ID_BITS`` are cached words, keys from 2^63 hashes.
@@ -53,6 +53,9 @@ SLACK, STRETCH_SLACK = 0.1, 0.5
 PRIOR_TOKENS = 20
 #: Resolution of scores, in nats per token, for the quantiles.
 STEP = 0.001
+#: Documents are looked up in so many rounds, each with a part of the shards, so that only that
+#: part of their keys is on disk at a time.
+ROUNDS = 2
 #: Entries a task gathers before it hands them on.
 GATHERED = 1 << 18
 #: About so many toxic and other labelled documents, drawn by a hash, fit the word weights ...
@@ -295,8 +298,8 @@ def _entries(model_sent, shards: int, keys_and_values: Callable):
 def _bigram_values(model: Model, v, w, n, total, once, twice, more, histories):
     """log p(w|v) of seen bigrams, less the backed-off value that words give by themselves."""
     of_v, of_w = np.maximum(v, 0), np.maximum(w, 0)
-    total = np.where(v < 0, total, model.total[of_v])
     back_off = np.where(v < 0, model.log_back_off(total, once, twice, more), model.back_off[of_v])
+    total = np.where(v < 0, total, model.total[of_v])
     unigram = np.where(w < 0, model.log_unigram(histories), model.unigram[of_w])
     own = np.maximum(n - model.high[np.minimum(n, 3)], 0.0) / total
     backed = back_off + unigram
@@ -313,12 +316,11 @@ def _history_values(model: Model, v, total, once, twice, more):
 
 @dataclass
 class Trained:
-    """A model, and its entries ``(shard, keys, counts)``, counts the packed values."""
+    """A model, and its entries ``(shard, keys, counts)``, staged; counts are the values."""
 
     model: Model
     entries: DataFrame
     shards: int
-    copies: list[DataFrame]
 
 
 def train(roles: DataFrame, cached: int = CACHED, shards: int | None = None) -> Trained:
@@ -331,6 +333,8 @@ def train(roles: DataFrame, cached: int = CACHED, shards: int | None = None) ->
     words_sent = spark.sparkContext.broadcast(words)
     pairs = text.mapInArrow(released(_bigram_counts(words_sent)), "v long, w long, n long")
     pairs = staged(pairs.groupBy("v", "w").agg(F.sum("n").alias("n")), "quality_bigrams")
+    del counted, frequent
+    drop_shuffles(spark)
 
     def of_count(column: str, k: int) -> Column:
         return F.count(F.when(F.col(column) == k, 1))
@@ -374,8 +378,12 @@ def train(roles: DataFrame, cached: int = CACHED, shards: int | None = None) ->
     made += [(rare_v.select("v", *names[:4]), _history_values)]
     schema = "shard int, keys binary, counts binary"
     parts = [df.mapInArrow(released(_entries(model_sent, shards, values)), schema) for df, values in made]
-    entries = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
-    return Trained(model, entries, shards, [pairs, histories, befores])
+    entries = staged(parts[0].union(parts[1]).union(parts[2]).union(parts[3]), "quality_entries")
+    for copy in (pairs, histories, befores):
+        drop_staged(copy)
+    del parts, made, rare, plain, text
+    drop_shuffles(spark)
+    return Trained(model, entries, shards)
 
 
 def plain_words(text: bytes) -> list[bytes]:
@@ -458,8 +466,9 @@ _ROWS = (
 )
 
 
-def _scattered(model_sent, shards: int, key_type: pa.DataType):
-    """Documents to one row with what words alone say, and a row of keys for each shard."""
+def _scattered(model_sent, shards: int, turn: int, key_type: pa.DataType):
+    """Documents to a row of keys for each shard of a round, in the first also to one row with
+    what words alone say."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = model_sent.value
@@ -478,11 +487,11 @@ def _scattered(model_sent, shards: int, key_type: pa.DataType):
                 name.update(text)
                 found = word_keys(text, ids)
                 v, w = found[:-1], found[1:]
-                worst = worst_stretch(text, model.telling)
-                docs.append(
-                    {"key": key, "lang": lang, "role": role, "n": len(w), "base": model.base(found), "worst": worst}
-                )
+                if turn == 0:
+                    base, worst = model.base(found), worst_stretch(text, model.telling)
+                    docs.append({"key": key, "lang": lang, "role": role, "n": len(w), "base": base, "worst": worst})
                 own = np.concatenate((pair_keys(v, w), w[w >= _HASHED], history_keys(v[v >= _HASHED])))
+                own = own[shard_of(own, shards) % ROUNDS == turn]
                 own, n = np.unique(own, return_counts=True)
                 keys.append(own)
                 times.append(n)
@@ -498,16 +507,16 @@ def _scattered(model_sent, shards: int, key_type: pa.DataType):
                 (s, pack(keys[a:b], _SENT), pack(np.stack((owners[a:b], times[a:b])).ravel()))
                 for s, a, b in zip(which.tolist(), limits[:-1], limits[1:], strict=True)
             ]
-            n = len(rows)
-            place = int.from_bytes(digest[:4], "little") % shards
+            n, last = len(rows), [docs] if turn == 0 else []
+            place = [int.from_bytes(digest[:4], "little") % shards for _ in last]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([s for s, _, _ in rows] + [place], pa.int32()),
-                    pa.array([1] * n + [2], pa.int32()),
-                    pa.array([digest] * (n + 1), pa.binary()),
-                    pa.array([k for _, k, _ in rows] + [None], pa.binary()),
-                    pa.array([c for _, _, c in rows] + [None], pa.binary()),
-                    pa.array([None] * n + [docs], pa.list_(doc)),
+                    pa.array([s for s, _, _ in rows] + place, pa.int32()),
+                    pa.array([1] * n + [2 for _ in last], pa.int32()),
+                    pa.array([digest] * (n + len(last)), pa.binary()),
+                    pa.array([k for _, k, _ in rows] + [None for _ in last], pa.binary()),
+                    pa.array([c for _, _, c in rows] + [None for _ in last], pa.binary()),
+                    pa.array([None] * n + last, pa.list_(doc)),
                 ],
                 names=["shard", "kind", "batch", "keys", "counts", "docs"],
             )
@@ -610,22 +619,30 @@ def log_probabilities(roles: DataFrame, trained: Trained) -> DataFrame:
     kind = roles.schema["key"].dataType
     schema = _ROWS.format(key=kind.simpleString())
     narrow = roles.select("key", "lang", "role", "text")
-    rows = narrow.mapInArrow(released(_scattered(model_sent, trained.shards, to_arrow_type(kind))), schema)
-    model_rows = trained.entries.select(
-        "shard",
-        F.lit(0).alias("kind"),
-        F.lit(None).cast("binary").alias("batch"),
-        "keys",
-        "counts",
-        F.lit(None).cast(rows.schema["docs"].dataType).alias("docs"),
-    )
-    placed = model_rows.union(rows).repartition(trained.shards, "shard")
-    placed = placed.sortWithinPartitions("shard", "kind")
-    docs_type = rows.schema["docs"].dataType
-    summed = placed.mapInArrow(
-        released(_looked_up(to_arrow_type(docs_type))),
-        f"batch binary, shard int, sums binary, n_sums int, docs {docs_type.simpleString()}",
-    )
+    rounds = []
+    for turn in range(ROUNDS):
+        rows = narrow.mapInArrow(released(_scattered(model_sent, trained.shards, turn, to_arrow_type(kind))), schema)
+        docs_type = rows.schema["docs"].dataType
+        model_rows = trained.entries.where(F.col("shard") % ROUNDS == turn).select(
+            "shard",
+            F.lit(0).alias("kind"),
+            F.lit(None).cast("binary").alias("batch"),
+            "keys",
+            "counts",
+            F.lit(None).cast(docs_type).alias("docs"),
+        )
+        placed = model_rows.union(rows).repartition(trained.shards, "shard")
+        placed = placed.sortWithinPartitions("shard", "kind")
+        summed = placed.mapInArrow(
+            released(_looked_up(to_arrow_type(docs_type))),
+            f"batch binary, shard int, sums binary, n_sums int, docs {docs_type.simpleString()}",
+        )
+        rounds.append(staged(summed, "quality_sums"))
+        del rows, model_rows, placed, summed
+        drop_shuffles(spark)
+    summed = rounds[0]
+    for other in rounds[1:]:
+        summed = summed.union(other)
     gathered = summed.repartition("batch").sortWithinPartitions("batch")
     return gathered.mapInArrow(
         released(_gathered(to_arrow_type(kind))),
@@ -673,10 +690,13 @@ def judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame
     roles = with_roles(docs, labels, key)
     trained = train(roles)
     trained.model.telling = telling_words(roles)
-    scored = log_probabilities(roles, trained).withColumn("mean", -F.col("log_p") / F.greatest("n", F.lit(1)))
+    summed = log_probabilities(roles, trained)
+    scored = summed.withColumn("mean", -F.col("log_p") / F.greatest("n", F.lit(1)))
     scored = staged(scored, "quality_scores")
-    for copy in trained.copies:
+    for copy in (summed, trained.entries):
         drop_staged(copy)
+    del summed
+    drop_shuffles(docs.sparkSession)
     held = "role = 2 and n > 0"
     near = F.round(F.col("mean") / STEP).cast("long")
     scored = _with_quantile(scored, scored.where(held), near, 0.5, "centre")
