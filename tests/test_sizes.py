@@ -82,3 +82,31 @@ def test_usable_messages_are_staged_without_their_text(spark, tmp_path, monkeypa
     assert sorted(held, key=str) == [("b", b"[", False), (None, None, True)]
     assert [bytes(r.value) for r in spark.read.parquet(str(tmp_path / "aside")).collect()] == [b"["]
     assert [r.trip_id for r in facts.current().collect()] == ["t"]
+
+
+def test_one_output_of_a_replay_is_not_written(spark, tables, monkeypatch):
+    monkeypatch.setattr(queries.ingest, "stage", lambda *_: pytest.fail("the replay was written"))
+    monkeypatch.setattr(queries.deadletters, "stage", lambda *_: pytest.fail("letters were written"))
+    summary = queries.QUERIES["q6_recovery_summary"](spark, tables).first()
+    assert summary.total_replayed == summary.recovered + summary.still_invalid > 0
+
+
+def test_arriving_files_are_bounded(spark, tables, monkeypatch):
+    monkeypatch.setattr(queries, "ARRIVING_ROWS", 50)
+    seen = []
+    update = jobs.update_rollup
+
+    def counted(tables_, spec):
+        each = update(tables_, spec)
+
+        def run(batch, number):
+            seen.append(number)
+            each(batch, number)
+
+        return run
+
+    monkeypatch.setattr(jobs, "update_rollup", counted)
+    monkeypatch.setitem(queries._derived, (spark.sparkContext.applicationId, tables, "valid_trips"),
+                        queries.valid_trips(spark, tables).repartition(8))
+    trips = queries.QUERIES["a8_update_mode"](spark, tables).agg(F.sum("trips")).first()[0]
+    assert trips == queries.valid_trips(spark, tables).count() and len(seen) > 3
