@@ -110,3 +110,16 @@ def test_arriving_files_are_bounded(spark, tables, monkeypatch):
                         queries.valid_trips(spark, tables).repartition(8))
     trips = queries.QUERIES["a8_update_mode"](spark, tables).agg(F.sum("trips")).first()[0]
     assert trips == queries.valid_trips(spark, tables).count() and len(seen) > 3
+
+
+def test_fields_are_read_once(spark):
+    sent = spark.createDataFrame([("k", b'{"trip_id":"t"}')], "key string, value binary")
+    rows = messages.trip_rows(messages.decode(sent, messages.TRIP_WIRE))
+    optimized = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("validate_utf8") <= 1 and optimized.count("decimal(38,6)") <= 5
+    kinds = [b'{"passenger_count":"2"}', b'{"passenger_count":2.9}', b'{"passenger_count":" -1.5 "}',
+             b'{"passenger_count":"NaN"}', b'{"passenger_count":99999}', b' {"passenger_count":7}', b"", b"\xff{}"]
+    odd = spark.createDataFrame([(n, v) for n, v in enumerate(kinds)], "n int, value binary")
+    judged = messages.sorted_trips(messages.decode(odd, messages.TRIP_WIRE)).orderBy("n").collect()
+    assert [r.trip.passenger_count for r in judged] == [2, 2, -1, 0, 0, 7, 0, 0]
+    assert [r.malformed for r in judged] == [False] * 6 + [True] * 2
