@@ -123,3 +123,17 @@ def test_fields_are_read_once(spark):
     judged = messages.sorted_trips(messages.decode(odd, messages.TRIP_WIRE)).orderBy("n").collect()
     assert [r.trip.passenger_count for r in judged] == [2, 2, -1, 0, 0, 7, 0, 0]
     assert [r.malformed for r in judged] == [False] * 6 + [True] * 2
+
+
+def test_messages_are_stored_in_the_pass_that_reads_them(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "stage", lambda *_: pytest.fail("messages were written twice"))
+    sound = b'{"trip_id":"t","vendor_id":"v","pickup_datetime":"2014-01-02T03:04:05+00:00","total_amount":"1.5"}'
+    facts = jobs.FactTable(spark, str(tmp_path / "trips"))
+    tables = jobs.RollupTables(spark, str(tmp_path / "rollups"))
+    each = jobs.consume(facts, tables, "w")
+    each(spark.createDataFrame([("a", sound)], "key string, value binary"), 0)
+    assert [r.trip_id for r in facts.delivered(0, "w").collect()] == ["t"]
+    assert [r.n for r in tables.read(queries.rollup.DAILY).collect()] == [1]
+    with pytest.raises(ValueError, match="cannot be stored: not a JSON object$"):
+        each(spark.createDataFrame([("a", sound), ("b", b"[")], "key string, value binary"), 1)
+    assert [r.write_seq for r in facts.versions().collect()] == [0]
