@@ -137,3 +137,10 @@ def test_messages_are_stored_in_the_pass_that_reads_them(spark, tmp_path, monkey
     with pytest.raises(ValueError, match="cannot be stored: not a JSON object$"):
         each(spark.createDataFrame([("a", sound), ("b", b"[")], "key string, value binary"), 1)
     assert [r.write_seq for r in facts.versions().collect()] == [0]
+
+
+def test_state_of_the_latest_holds_a_value_once(spark, tmp_path):
+    stream = spark.readStream.schema(jobs.TRIPS).parquet(str(tmp_path))
+    plan = jobs.latest_within(stream, "90 minutes", "1 hour")._jdf.queryExecution().analyzed().toString()
+    (held,) = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert "max_by" not in held and "trip_id, trip_id" not in held and held.count("batch_id#") == 1
