@@ -144,3 +144,18 @@ def test_state_of_the_latest_holds_a_value_once(spark, tmp_path):
     plan = jobs.latest_within(stream, "90 minutes", "1 hour")._jdf.queryExecution().analyzed().toString()
     (held,) = [line for line in plan.splitlines() if "Aggregate" in line]
     assert "max_by" not in held and "trip_id, trip_id" not in held and held.count("batch_id#") == 1
+
+
+def test_stored_trips_are_read_in_small_splits(spark):
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+
+
+def test_digests_are_moved_as_bytes(spark, tables):
+    ids = ["ab", "AB", "abc", "", None, "t1", "00" * 32, "aB", "é"]
+    rows = spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "trip_id string, n int")
+    narrow = queries.identity.packed(rows, ["trip_id"])
+    assert [r.n for r in narrow.filter("_trip_id IS NOT NULL").orderBy("n").collect()] == [0, 3, 6]
+    assert [r.trip_id for r in queries.identity.unpacked(narrow, ["trip_id"]).orderBy("n").collect()] == ids
+    current = queries.stored_facts(spark, tables).current()
+    moved = [line for line in plan_of(current).splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 1 and "_trip_id" in moved[0]
