@@ -2,7 +2,7 @@
 
 The model is trained on trusted documents (labelled good and not toxic), all of them but a
 held-out tenth. Tokens are split at ASCII white space, and every one of them counts. A word is
-known by a 64-bit hash, but for the ``cached`` most frequent ones, which have short ids and
+known by a 64-bit hash, but for at most ``cached`` most frequent ones, which have short ids and
 whose statistics are broadcast: that saves shuffling and changes no score. All other
 statistics, of words, of histories and of bigrams, stay distributed rows.
 
@@ -24,6 +24,7 @@ import struct
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tripline.llm.common import LOWER, drop_shuffles, drop_staged, released, staged, utf8, without
@@ -53,9 +55,9 @@ SLACK, STRETCH_SLACK = 0.1, 0.5
 PRIOR_TOKENS = 20
 #: Resolution of scores, in nats per token, for the quantiles.
 STEP = 0.001
-#: Documents are looked up in so many rounds, each with a part of the shards, so that only that
-#: part of their keys is on disk at a time.
-ROUNDS = 2
+#: Documents are looked up in so many rounds, each with a part of them, so that only that part of
+#: their keys is on disk at a time. Every text is split into words in one round alone.
+ROUNDS = 5
 #: Entries a task gathers before it hands them on.
 GATHERED = 1 << 18
 #: About so many toxic and other labelled documents, drawn by a hash, fit the word weights ...
@@ -105,9 +107,13 @@ def sent(keys: np.ndarray) -> np.ndarray:
 
 def word_keys(text: bytes, ids: dict[bytes, int]) -> np.ndarray:
     """Ids or hashes of a text's tokens, ``BEGIN`` first."""
-    tokens, get, digest = text.split(), ids.get, xxhash.xxh3_64_intdigest
-    found = np.fromiter((get(t) or digest(t) | (1 << 63) for t in tokens), np.uint64, len(tokens))
-    return np.concatenate((np.array([BEGIN], np.uint64), found))
+    tokens = text.split()
+    found = np.zeros(len(tokens) + 1, np.uint64)
+    found[1:] = np.fromiter(map(ids.get, tokens, repeat(BEGIN)), np.uint64, len(tokens))
+    rare = np.flatnonzero(found[1:] == BEGIN)
+    hashed = map(xxhash.xxh3_64_intdigest, map(tokens.__getitem__, rare.tolist()))
+    found[1 + rare] = np.fromiter(hashed, np.uint64, len(rare)) | _HASHED
+    return found
 
 
 def pair_keys(v: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -323,17 +329,32 @@ class Trained:
     shards: int
 
 
+def frequent_words(text: DataFrame, cached: int) -> list[bytes]:
+    """The most frequent words, at most ``cached``; of words that are equally frequent all or none.
+
+    A count from which on words fit is found from the number of words of each count, of which there
+    are at most as many as the square root of twice the tokens: no task sends more words than are kept.
+    """
+    counted = text.mapInArrow(released(_token_counts), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = staged(counted.where(F.length("word") <= TOKEN_BYTES), "quality_counts")
+    n, words = _columns(counted.groupBy("n").agg(F.count("*")))
+    order = np.argsort(n)[::-1]
+    fits = n[order][np.cumsum(words[order]) <= cached]
+    found = counted.where(F.col("n") >= int(fits[-1])).toArrow() if len(fits) else None
+    drop_staged(counted)
+    if found is None:
+        return []
+    return found.sort_by([("n", "descending"), ("word", "ascending")]).column("word").to_pylist()
+
+
 def train(roles: DataFrame, cached: int = CACHED, shards: int | None = None) -> Trained:
     """The model of the trusted documents among ``roles``."""
     spark = roles.sparkSession
     text = roles.where("role = 1").select("text")
-    counted = text.mapInArrow(released(_token_counts), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    frequent = counted.where(F.length("word") <= TOKEN_BYTES).orderBy(F.desc("n"), "word")
-    words = [bytes(r.word) for r in frequent.select("word").limit(cached).collect()]
+    words = frequent_words(text, cached)
     words_sent = spark.sparkContext.broadcast(words)
     pairs = text.mapInArrow(released(_bigram_counts(words_sent)), "v long, w long, n long")
     pairs = staged(pairs.groupBy("v", "w").agg(F.sum("n").alias("n")), "quality_bigrams")
-    del counted, frequent
     drop_shuffles(spark)
 
     def of_count(column: str, k: int) -> Column:
@@ -364,25 +385,31 @@ def train(roles: DataFrame, cached: int = CACHED, shards: int | None = None) ->
     shards = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen // SHARD_ENTRIES), 1)
     model_sent = spark.sparkContext.broadcast(model)
     rare_v, rare_w = histories.where("v < 0"), befores.where("w < 0")
-    # A cached word has nothing to find; a value no hash takes spreads its rows over all tasks.
-    spread = F.shiftrightunsigned(F.xxhash64("v", "w"), 1)
-    rare = pairs.where("v < 0 or w < 0").withColumns(
-        {"of_v": F.when(F.col("v") < 0, F.col("v")).otherwise(spread), "of_w": F.when(F.col("w") < 0, F.col("w")).otherwise(spread)}
-    )
-    rare = rare.join(rare_v.withColumnRenamed("v", "of_v"), "of_v", "left")
-    rare = rare.join(rare_w.withColumnRenamed("w", "of_w"), "of_w", "left")
     names = ["total", "once", "twice", "more", "histories"]
-    plain = pairs.where("v >= 0 and w >= 0").withColumns({c: F.lit(None).cast("long") for c in names})
-    made = [(half.select("v", "w", "n", *names), _bigram_values) for half in (plain, rare)]
-    made += [(rare_w.select("w", "histories"), _word_values)]
-    made += [(rare_v.select("v", *names[:4]), _history_values)]
-    schema = "shard int, keys binary, counts binary"
-    parts = [df.mapInArrow(released(_entries(model_sent, shards, values)), schema) for df, values in made]
-    entries = staged(parts[0].union(parts[1]).union(parts[2]).union(parts[3]), "quality_entries")
+
+    def joined(pairs: DataFrame, *sides: tuple[DataFrame, str]) -> DataFrame:
+        """Statistics of the rare words alone, as cached ones have nothing to find."""
+        for side, key in sides:
+            pairs = pairs.join(side, key, "left")
+        none = {c: F.lit(None).cast("long") for c in names if c not in pairs.columns}
+        return pairs.withColumns(none).select("v", "w", "n", *names)
+
+    makers = [
+        (joined(pairs.where("v >= 0 and w >= 0")), _bigram_values),
+        (joined(pairs.where("v < 0 and w >= 0"), (rare_v, "v")), _bigram_values),
+        (joined(pairs.where("v >= 0 and w < 0"), (rare_w, "w")), _bigram_values),
+        (joined(pairs.where("v < 0 and w < 0"), (rare_v, "v"), (rare_w, "w")), _bigram_values),
+        (rare_w.select("w", "histories"), _word_values),
+        (rare_v.select("v", *names[:4]), _history_values),
+    ]
+    entries = None
+    for df, values in makers:  # one after the other, so that only one join is on disk at a time
+        made = df.mapInArrow(released(_entries(model_sent, shards, values)), "shard int, keys binary, counts binary")
+        made = staged(made, "quality_entries")
+        entries = made if entries is None else entries.union(made)
+        drop_shuffles(spark)
     for copy in (pairs, histories, befores):
         drop_staged(copy)
-    del parts, made, rare, plain, text
-    drop_shuffles(spark)
     return Trained(model, entries, shards)
 
 
@@ -398,8 +425,10 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = []
         for text in batch.column(2):
             words = plain_words(text.as_py() or b"")
-            last = max(len(words) - 4, 1)
-            least.append(min(digest(b" ".join(words[i : i + 5])) for i in range(last)) >> 1)
+            joined = b" ".join(words)
+            ends = list(accumulate(len(w) + 1 for w in words))
+            shingles = zip([0, *ends], ends[4:]) if len(words) > 4 else [(0, len(joined) + 1)]
+            least.append(min(digest(joined[a : b - 1]) for a, b in shingles) >> 1)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(least, pa.int64())], names=["key", "told", "sketch"]
         )
@@ -452,10 +481,10 @@ def telling_words(roles: DataFrame) -> dict[bytes, float]:
 def worst_stretch(text: bytes, telling: dict[bytes, float]) -> float:
     """The largest sum of weights over ``STRETCH`` words that follow one another."""
     words = plain_words(text)
-    if telling.keys().isdisjoint(words):
+    weights = np.fromiter(map(telling.get, words, repeat(0.0)), float, len(words))
+    if not weights.any():
         return 0.0
-    get = telling.get
-    upto = np.cumsum(np.fromiter((get(w, 0.0) for w in words), float, len(words)))
+    upto = np.cumsum(weights)
     upto[STRETCH:] -= upto[:-STRETCH].copy()
     return float(upto.max())
 
@@ -466,9 +495,8 @@ _ROWS = (
 )
 
 
-def _scattered(model_sent, shards: int, turn: int, key_type: pa.DataType):
-    """Documents to a row of keys for each shard of a round, in the first also to one row with
-    what words alone say."""
+def _scattered(model_sent, shards: int, key_type: pa.DataType):
+    """Documents to a row of keys for each shard, and to one row with what words alone say."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = model_sent.value
@@ -487,11 +515,9 @@ def _scattered(model_sent, shards: int, turn: int, key_type: pa.DataType):
                 name.update(text)
                 found = word_keys(text, ids)
                 v, w = found[:-1], found[1:]
-                if turn == 0:
-                    base, worst = model.base(found), worst_stretch(text, model.telling)
-                    docs.append({"key": key, "lang": lang, "role": role, "n": len(w), "base": base, "worst": worst})
+                base, worst = model.base(found), worst_stretch(text, model.telling)
+                docs.append({"key": key, "lang": lang, "role": role, "n": len(w), "base": base, "worst": worst})
                 own = np.concatenate((pair_keys(v, w), w[w >= _HASHED], history_keys(v[v >= _HASHED])))
-                own = own[shard_of(own, shards) % ROUNDS == turn]
                 own, n = np.unique(own, return_counts=True)
                 keys.append(own)
                 times.append(n)
@@ -507,16 +533,15 @@ def _scattered(model_sent, shards: int, turn: int, key_type: pa.DataType):
                 (s, pack(keys[a:b], _SENT), pack(np.stack((owners[a:b], times[a:b])).ravel()))
                 for s, a, b in zip(which.tolist(), limits[:-1], limits[1:], strict=True)
             ]
-            n, last = len(rows), [docs] if turn == 0 else []
-            place = [int.from_bytes(digest[:4], "little") % shards for _ in last]
+            n, place = len(rows), int.from_bytes(digest[:4], "little") % shards
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([s for s, _, _ in rows] + place, pa.int32()),
-                    pa.array([1] * n + [2 for _ in last], pa.int32()),
-                    pa.array([digest] * (n + len(last)), pa.binary()),
-                    pa.array([k for _, k, _ in rows] + [None for _ in last], pa.binary()),
-                    pa.array([c for _, _, c in rows] + [None for _ in last], pa.binary()),
-                    pa.array([None] * n + last, pa.list_(doc)),
+                    pa.array([s for s, _, _ in rows] + [place], pa.int32()),
+                    pa.array([1] * n + [2], pa.int32()),
+                    pa.array([digest] * (n + 1), pa.binary()),
+                    pa.array([k for _, k, _ in rows] + [None], pa.binary()),
+                    pa.array([c for _, _, c in rows] + [None], pa.binary()),
+                    pa.array([None] * n + [docs], pa.list_(doc)),
                 ],
                 names=["shard", "kind", "batch", "keys", "counts", "docs"],
             )
@@ -619,35 +644,32 @@ def log_probabilities(roles: DataFrame, trained: Trained) -> DataFrame:
     kind = roles.schema["key"].dataType
     schema = _ROWS.format(key=kind.simpleString())
     narrow = roles.select("key", "lang", "role", "text")
-    rounds = []
+    docs_type = T.StructType.fromDDL(schema)["docs"].dataType
+    entries = trained.entries.select(
+        "shard",
+        F.lit(0).alias("kind"),
+        F.lit(None).cast("binary").alias("batch"),
+        "keys",
+        "counts",
+        F.lit(None).cast(docs_type).alias("docs"),
+    )
+    found = None
     for turn in range(ROUNDS):
-        rows = narrow.mapInArrow(released(_scattered(model_sent, trained.shards, turn, to_arrow_type(kind))), schema)
-        docs_type = rows.schema["docs"].dataType
-        model_rows = trained.entries.where(F.col("shard") % ROUNDS == turn).select(
-            "shard",
-            F.lit(0).alias("kind"),
-            F.lit(None).cast("binary").alias("batch"),
-            "keys",
-            "counts",
-            F.lit(None).cast(docs_type).alias("docs"),
-        )
-        placed = model_rows.union(rows).repartition(trained.shards, "shard")
-        placed = placed.sortWithinPartitions("shard", "kind")
+        mine = narrow.where(F.pmod(F.xxhash64("key", "text"), F.lit(ROUNDS)) == turn)
+        rows = mine.mapInArrow(released(_scattered(model_sent, trained.shards, to_arrow_type(kind))), schema)
+        placed = entries.union(rows).repartition(trained.shards, "shard").sortWithinPartitions("shard", "kind")
         summed = placed.mapInArrow(
             released(_looked_up(to_arrow_type(docs_type))),
             f"batch binary, shard int, sums binary, n_sums int, docs {docs_type.simpleString()}",
         )
-        rounds.append(staged(summed, "quality_sums"))
-        del rows, model_rows, placed, summed
+        gathered = summed.repartition("batch").sortWithinPartitions("batch").mapInArrow(
+            released(_gathered(to_arrow_type(kind))),
+            f"key {kind.simpleString()}, lang string, role int, n long, log_p double, worst double",
+        )
+        gathered = staged(gathered, "quality_log_p")
+        found = gathered if found is None else found.union(gathered)
         drop_shuffles(spark)
-    summed = rounds[0]
-    for other in rounds[1:]:
-        summed = summed.union(other)
-    gathered = summed.repartition("batch").sortWithinPartitions("batch")
-    return gathered.mapInArrow(
-        released(_gathered(to_arrow_type(kind))),
-        f"key {kind.simpleString()}, lang string, role int, n long, log_p double, worst double",
-    )
+    return found
 
 
 def _with_quantile(df: DataFrame, held: DataFrame, step: Column, share: float, name: str) -> DataFrame:
@@ -690,6 +712,7 @@ def judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame
     roles = with_roles(docs, labels, key)
     trained = train(roles)
     trained.model.telling = telling_words(roles)
+    drop_shuffles(docs.sparkSession)
     summed = log_probabilities(roles, trained)
     scored = summed.withColumn("mean", -F.col("log_p") / F.greatest("n", F.lit(1)))
     scored = staged(scored, "quality_scores")
