@@ -400,3 +400,13 @@ def test_routing_key_of_letters_without_trip(spark):
     rows = [("t", "b"), (None, "b"), ("", "b")]
     df = spark.createDataFrame(rows, "trip_id string, batch_id string")
     assert [r.k for r in df.select(routing_key().alias("k")).collect()] == ["t", "b", "b"]
+
+
+def test_a_replay_stages_its_letters_once(spark, monkeypatch):
+    """What is still invalid goes from the judged copy to its files, without a copy of its own."""
+    folder, ledger, out = (new_folder(spark, n) for n in ("rejected", "ledger", "recovered"))
+    zones, soon = zone_dimension(zone_frame(spark)), F.lit("2024-06-01 00:00:00").cast("timestamp")
+    write_files(dead_letters(done(spark, {"passenger_count": 12.0}).rejected, soon), folder, 1, "load")
+    monkeypatch.setattr(deadletters, "stage", lambda *_: pytest.fail("letters were staged again"))
+    generations.replay_pending(spark, generations.ReplayRun(folder, ledger, out, 1), zones, soon)
+    assert read_rejects(spark, f"{folder}/writer=replay/generation=1")[0].count() == 1
