@@ -57,7 +57,7 @@ PRIOR_TOKENS = 20
 STEP = 0.001
 #: Documents are looked up in so many rounds, each with a part of them, so that only that part of
 #: their keys is on disk at a time. Every text is split into words in one round alone.
-ROUNDS = 5
+ROUNDS = 6
 #: Entries a task gathers before it hands them on.
 GATHERED = 1 << 18
 #: About so many toxic and other labelled documents, drawn by a hash, fit the word weights ...
@@ -395,18 +395,22 @@ def train(roles: DataFrame, cached: int = CACHED, shards: int | None = None) ->
         return pairs.withColumns(none).select("v", "w", "n", *names)
 
     makers = [
-        (joined(pairs.where("v >= 0 and w >= 0")), _bigram_values),
-        (joined(pairs.where("v < 0 and w >= 0"), (rare_v, "v")), _bigram_values),
-        (joined(pairs.where("v >= 0 and w < 0"), (rare_w, "w")), _bigram_values),
-        (joined(pairs.where("v < 0 and w < 0"), (rare_v, "v"), (rare_w, "w")), _bigram_values),
-        (rare_w.select("w", "histories"), _word_values),
-        (rare_v.select("v", *names[:4]), _history_values),
+        (lambda: joined(pairs.where("v >= 0 and w >= 0")), _bigram_values),
+        (lambda: joined(pairs.where("v < 0 and w >= 0"), (rare_v, "v")), _bigram_values),
+        (lambda: joined(pairs.where("v >= 0 and w < 0"), (rare_w, "w")), _bigram_values),
+        (lambda: joined(pairs.where("v < 0 and w < 0"), (rare_v, "v"), (rare_w, "w")), _bigram_values),
+        (lambda: rare_w.select("w", "histories"), _word_values),
+        (lambda: rare_v.select("v", *names[:4]), _history_values),
     ]
+    schema = "shard int, keys binary, counts binary"
+
+    def made(rows: Callable[[], DataFrame], values: Callable) -> DataFrame:
+        return staged(rows().mapInArrow(released(_entries(model_sent, shards, values)), schema), "quality_entries")
+
     entries = None
-    for df, values in makers:  # one after the other, so that only one join is on disk at a time
-        made = df.mapInArrow(released(_entries(model_sent, shards, values)), "shard int, keys binary, counts binary")
-        made = staged(made, "quality_entries")
-        entries = made if entries is None else entries.union(made)
+    for maker in makers:  # one after the other, so that only one join is on disk at a time
+        part = made(*maker)
+        entries = part if entries is None else entries.union(part)
         drop_shuffles(spark)
     for copy in (pairs, histories, befores):
         drop_staged(copy)
@@ -653,8 +657,9 @@ def log_probabilities(roles: DataFrame, trained: Trained) -> DataFrame:
         "counts",
         F.lit(None).cast(docs_type).alias("docs"),
     )
-    found = None
-    for turn in range(ROUNDS):
+
+    def one_round(turn: int) -> DataFrame:
+        """Its frames go when it returns, else their shuffles would stay through the next round."""
         mine = narrow.where(F.pmod(F.xxhash64("key", "text"), F.lit(ROUNDS)) == turn)
         rows = mine.mapInArrow(released(_scattered(model_sent, trained.shards, to_arrow_type(kind))), schema)
         placed = entries.union(rows).repartition(trained.shards, "shard").sortWithinPartitions("shard", "kind")
@@ -662,14 +667,18 @@ def log_probabilities(roles: DataFrame, trained: Trained) -> DataFrame:
             released(_looked_up(to_arrow_type(docs_type))),
             f"batch binary, shard int, sums binary, n_sums int, docs {docs_type.simpleString()}",
         )
-        gathered = summed.repartition("batch").sortWithinPartitions("batch").mapInArrow(
-            released(_gathered(to_arrow_type(kind))),
-            f"key {kind.simpleString()}, lang string, role int, n long, log_p double, worst double",
-        )
-        gathered = staged(gathered, "quality_log_p")
-        found = gathered if found is None else found.union(gathered)
+        return staged(summed, "quality_sums")
+
+    summed = None
+    for turn in range(ROUNDS):
+        part = one_round(turn)
+        summed = part if summed is None else summed.union(part)
         drop_shuffles(spark)
-    return found
+    gathered = summed.repartition("batch").sortWithinPartitions("batch")
+    return gathered.mapInArrow(
+        released(_gathered(to_arrow_type(kind))),
+        f"key {kind.simpleString()}, lang string, role int, n long, log_p double, worst double",
+    )
 
 
 def _with_quantile(df: DataFrame, held: DataFrame, step: Column, share: float, name: str) -> DataFrame:
