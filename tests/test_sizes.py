@@ -46,6 +46,22 @@ def test_tasks_grow_with_the_lines(spark, tables, monkeypatch):
     assert workload.raw_rides(spark, tables).rdd.getNumPartitions() == 20
 
 
+def test_facts_are_moved_once_as_lines(spark, tables, monkeypatch):
+    """Dealt by pickup, lines give the same trips, and storing these moves nothing more."""
+    monkeypatch.setattr(workload, "LINES_PER_TASK", 100)
+    by_time = queries.processed(spark, tables, by_time=True).valid
+    moved = [line for line in plan_of(by_time).splitlines() if "Exchange" in line and "Broadcast" not in line]
+    assert len(moved) == 1 and "rangepartitioning(pickup_minute" in moved[0]
+    assert "batch_id" not in moved[0].split("rangepartitioning")[0]
+    same = queries.processed(spark, tables).valid
+    assert by_time.exceptAll(same).isEmpty() and same.exceptAll(by_time).isEmpty()
+    facts = queries.filled_facts(spark, tables)
+    months = same.select(F.date_format("pickup_datetime", "yyyyMM")).distinct().count()
+    held = facts.versions()
+    assert held.count() == same.count() and held.filter("write_seq = 2").count() > 0
+    assert len(held.inputFiles()) <= 2 * (months + 20)  # a task's rides lie in few months
+
+
 def test_facts_alone_do_not_fill_rollups(spark, tables, monkeypatch):
     monkeypatch.setattr(queries.RollupTables, "refresh", lambda *_: pytest.fail("rollups were filled"))
     assert queries.QUERIES["a2_daily"](spark, tables).count() > 0

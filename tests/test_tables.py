@@ -54,6 +54,22 @@ def test_latest_version_and_redelivery(spark, facts):
     assert totals(facts) == want
 
 
+def test_load_is_every_append(spark, facts):
+    parts = [trips(spark, at(1, tip_amount=1.0), at(2, month=2)), trips(spark, at(1, tip_amount=4.0), hour=1)]
+    other = FactTable(spark, new_folder(spark, "trips"))
+    for number, part in enumerate(parts, 1):
+        other.append(part, number, "w")
+    facts.append(trips(spark, at(9)), 7, "w")  # the writer's deliveries are replaced
+    facts.append(trips(spark, at(8)), 1, "v")
+    both = parts[0].withColumn("write_seq", F.lit(1)).union(parts[1].withColumn("write_seq", F.lit(2)))
+    facts.load(both, "w")
+    assert facts.delivered(1, "w").exceptAll(other.delivered(1, "w")).isEmpty()
+    assert [facts.delivered(n, "w").count() for n in (1, 2, 7)] == [2, 1, 0]
+    assert totals(facts) == sorted([*totals(other), (8, RIDE["tip_amount"])])
+    with pytest.raises(Exception, match="without a pickup time"):
+        facts.load(both.withColumn("pickup_datetime", F.lit(None).cast("timestamp")), "x")
+
+
 def test_compact(spark, facts):
     facts.append(trips(spark, at(1, tip_amount=1.0)), 0, "w")
     facts.append(trips(spark, at(1, tip_amount=2.0), at(5, month=3), hour=1), 1, "w")
