@@ -9,6 +9,7 @@ from tripline.operators import rollup
 from tripline.operators.staging import new_folder
 from tripline.plans import adhoc, dashboard, operations
 from tripline.plans.ingest import process
+from tripline.sinks import tables as tables_module
 from tripline.sinks.tables import (
     FactTable,
     MonthFiles,
@@ -70,6 +71,27 @@ def test_load_is_every_append(spark, facts):
         facts.load(both.withColumn("pickup_datetime", F.lit(None).cast("timestamp")), "x")
 
 
+@pytest.mark.parametrize("most", [0, 1, 1000])
+def test_refresh_ranks_repeated_trips_alone(spark, facts, monkeypatch, most):
+    monkeypatch.setattr(tables_module, "BROADCAST_ROWS", most)
+    ranked, whole = [], FactTable._latest
+
+    def latest(rows):
+        ranked.append(rows.count())
+        return whole(rows)
+
+    facts.append(trips(spark, *[at(d, month=m) for m in (1, 2, 3) for d in (1, 2, 3)]), 1, "w")
+    facts.append(trips(spark, at(1, tip_amount=7.0), at(3, month=2, tip_amount=8.0), hour=1), 2, "w")
+    facts.append(trips(spark, at(1, tip_amount=9.0), hour=2), 3, "v")
+    want = rollup.build(facts.current(), rollup.DAILY)
+    monkeypatch.setattr(FactTable, "_latest", staticmethod(latest))
+    held = RollupTables(spark, new_folder(spark, "rollups"))
+    held.refresh(facts, touched_days(facts.versions()), [rollup.DAILY])
+    found = held.read(rollup.DAILY).select(*want.columns)
+    assert found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty() and found.count() == 9
+    assert sum(ranked) == {0: 9, 1: 5, 1000: 5}[most]  # months above the limit whole
+
+
 def test_compact(spark, facts):
     facts.append(trips(spark, at(1, tip_amount=1.0)), 0, "w")
     facts.append(trips(spark, at(1, tip_amount=2.0), at(5, month=3), hour=1), 1, "w")
