@@ -303,6 +303,12 @@ def test_batch_rows_and_recent_batches(spark, facts):
     rows = operations.rows_of_batch(facts.versions(), "b1")
     assert [r.pickup_datetime.day for r in rows.collect()] == [2]
     assert "EqualTo(batch_id,b1)" in plan_of(rows)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as of a table of any size
+    try:
+        wide = [x for x in plan_of(operations.rows_of_batch(facts.versions(), "b1")).splitlines() if "SortMergeJoin" in x]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not wide  # no move of versions for the keys of a batch
     stored = datetime(2024, 6, 1, 0, 30)
     recent = operations.recent_batches(facts, stored)
     assert sorted((r.batch_id, r.rows) for r in recent.collect()) == [("b1", 2), ("b2", 1)]
