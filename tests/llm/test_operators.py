@@ -744,3 +744,19 @@ def test_frequent_words_fit_without_ties(spark):
     """Words of one count are cached all or none, so that no task sends more of them than are kept."""
     texts = spark.createDataFrame([(bytearray(b"a a a b b c c d"),), (bytearray(b"a " + b"x" * 65),), (None,)], "text binary")
     assert [quality.frequent_words(texts, n) for n in (0, 1, 2, 3, 9)] == [[], [b"a"], [b"a"], [b"a", b"b", b"c"], [b"a", b"b", b"c", b"d"]]
+
+
+def test_model_entries_hold_counts_and_texts_are_split_once(spark, docs, labels, monkeypatch):
+    """What a value is computed from is small; the value itself took eight bytes."""
+    columns = [np.array([1, 1, 2, 300]), np.array([0, 7, 1 << 40, 3]), np.array([], np.int64)]
+    back = quality.unpack_columns(quality.pack_columns(columns))
+    assert [c.tolist() for c in back] == [c.tolist() for c in columns]
+    assert len(quality.pack_columns([np.ones(10_000, np.int64)])) < 100
+    roles = quality.with_roles(docs, labels)
+    model = quality.train(roles, cached=120, shards=3)
+    assert {r.form for r in model.entries.select("form").distinct().collect()} == set(range(6))
+    packed = model.entries.where("form = 3").select(F.sum(F.length("counts")), F.count("*")).first()
+    pairs = sum(len(quality.unpack(bytes(r["keys"]), 6)) for r in model.entries.where("form = 3").collect())
+    assert packed[0] < 8 * pairs
+    found = quality.log_probabilities(roles, model)
+    assert found.count() == roles.count()

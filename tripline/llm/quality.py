@@ -54,8 +54,8 @@ SLACK, STRETCH_SLACK = 0.1, 0.5
 PRIOR_TOKENS = 20
 #: Resolution of scores, in nats per token, for the quantiles.
 STEP = 0.001
-#: Documents are looked up in so many rounds, each with a part of the shards, so that only that
-#: part of their keys is on disk at a time.
+#: Documents are looked up in so many rounds, drawn by a hash of their key, so that only the keys of
+#: one round are on disk at a time and every text is split once.
 ROUNDS = 2
 #: Entries a task gathers before it hands them on.
 GATHERED = 1 << 18
@@ -104,14 +104,31 @@ def sent(keys: np.ndarray) -> np.ndarray:
     return np.where(keys >= _HASHED, (keys & (top - np.uint64(1))) | top, keys)
 
 
+def pack_columns(columns: list[np.ndarray]) -> bytes:
+    """Columns of counts, each as narrow as its largest: small counts cost next to nothing."""
+    widths = [max(1, (int(c.max(initial=0)).bit_length() + 7) // 8) for c in columns]
+    packed = [pack(c, w) for c, w in zip(columns, widths, strict=True)]
+    heads = [struct.pack("<BI", w, len(p)) for w, p in zip(widths, packed, strict=True)]
+    return b"".join(x for pair in zip(heads, packed, strict=True) for x in pair)
+
+
+def unpack_columns(packed: bytes) -> list[np.ndarray]:
+    columns, at = [], 0
+    while at < len(packed):
+        width, size = struct.unpack_from("<BI", packed, at)
+        at += 5 + size
+        columns.append(unpack(packed[at - size : at], width).astype(np.int64))
+    return columns
+
+
 def word_keys(text: bytes, ids: dict[bytes, int]) -> np.ndarray:
     """Ids or hashes of a text's tokens, ``BEGIN`` first."""
     tokens = text.split()
     found = np.zeros(len(tokens) + 1, np.uint64)
-    found[1:] = np.fromiter(map(ids.get, tokens, repeat(BEGIN)), np.uint64, len(tokens))
+    found[1:] = np.fromiter(map(ids.get, tokens, repeat(BEGIN)), np.int64, len(tokens)).view(np.uint64)
     rare = np.flatnonzero(found[1:] == BEGIN)
-    hashed = map(xxhash.xxh3_64_intdigest, map(tokens.__getitem__, rare.tolist()))
-    found[1 + rare] = np.fromiter(hashed, np.uint64, len(rare)) | _HASHED
+    hashed = b"".join(map(xxhash.xxh3_64_digest, map(tokens.__getitem__, rare.tolist())))
+    found[1 + rare] = np.frombuffer(hashed, ">u8").astype(np.uint64) | _HASHED
     return found
 
 
@@ -260,20 +277,20 @@ def _columns(df: DataFrame) -> list[np.ndarray]:
     return [c.to_numpy() for c in df.toArrow().columns]
 
 
-def _entries(model_sent, shards: int, keys_and_values: Callable):
-    """Rows to packed ``(shard, keys, counts)``: sorted keys and the value of each."""
+def _entries(shards: int, keys_of: Callable, kept: list[int]):
+    """Rows to packed ``(shard, keys, counts)``: sorted keys and the ``kept`` columns of each."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = model_sent.value
         held: list[pa.RecordBatch] = []
 
         def out() -> pa.RecordBatch:
             table = pa.Table.from_batches(held)
             columns = [c.fill_null(0).to_numpy() for c in table.columns]
-            keys, values = keys_and_values(model, *columns)
+            keys = keys_of(*columns)
             shard, keys = shard_of(keys, shards), sent(keys)
             order = np.lexsort((keys, shard))
-            shard, keys, values = shard[order], keys[order], values[order]
+            shard, keys = shard[order], keys[order]
+            columns = [columns[k][order] for k in kept]
             which, first = np.unique(shard, return_index=True)
             limits = np.append(first, len(shard))
             spans = list(zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True))
@@ -281,7 +298,7 @@ def _entries(model_sent, shards: int, keys_and_values: Callable):
                 [
                     pa.array(which, pa.int32()),
                     pa.array([pack(keys[a:b], _SENT) for a, b in spans], pa.binary()),
-                    pa.array([values[a:b].astype("<f8").tobytes() for a, b in spans], pa.binary()),
+                    pa.array([pack_columns([c[a:b] for c in columns]) for a, b in spans], pa.binary()),
                 ],
                 names=["shard", "keys", "counts"],
             )
@@ -300,7 +317,7 @@ def _entries(model_sent, shards: int, keys_and_values: Callable):
     return scan
 
 
-def _bigram_values(model: Model, v, w, n, total, once, twice, more, histories):
+def _bigram_values(model: Model, v, w, n, total, once, twice, more, histories) -> np.ndarray:
     """log p(w|v) of seen bigrams, less the backed-off value that words give by themselves."""
     of_v, of_w = np.maximum(v, 0), np.maximum(w, 0)
     back_off = np.where(v < 0, model.log_back_off(total, once, twice, more), model.back_off[of_v])
@@ -308,20 +325,40 @@ def _bigram_values(model: Model, v, w, n, total, once, twice, more, histories):
     unigram = np.where(w < 0, model.log_unigram(histories), model.unigram[of_w])
     own = np.maximum(n - model.high[np.minimum(n, 3)], 0.0) / total
     backed = back_off + unigram
-    return pair_keys(v.view(np.uint64), w.view(np.uint64)), np.log(own + np.exp(backed)) - backed
-
-
-def _word_values(model: Model, w, histories):
-    return w.view(np.uint64), model.log_unigram(histories) - model.unknown
-
-
-def _history_values(model: Model, v, total, once, twice, more):
-    return history_keys(v.view(np.uint64)), model.log_back_off(total, once, twice, more)
+    return np.log(own + np.exp(backed)) - backed
+
+
+def _pair_of(v, w, *_counts) -> np.ndarray:
+    return pair_keys(v.view(np.uint64), w.view(np.uint64))
+
+
+def _valued(model: Model, form: int, keys: np.ndarray, counts: list[np.ndarray]) -> np.ndarray:
+    """Values of packed entries of a form. A rare word of a bigram is -1, which tells that it is one."""
+    rare, none = np.full(len(keys), -1), np.zeros(len(keys), np.int64)
+    match form:
+        case 0:  # keys of two cached words are their ids
+            v, w = (keys >> np.uint64(ID_BITS)).astype(np.int64), (keys & np.uint64(CACHED)).astype(np.int64)
+            return _bigram_values(model, v, w, *counts, none, none, none, none, none)
+        case 1:
+            w, n, total, once, twice, more = counts
+            return _bigram_values(model, rare, w, n, total, once, twice, more, none)
+        case 2:
+            v, n, histories = counts
+            return _bigram_values(model, v, rare, n, none, none, none, none, histories)
+        case 3:
+            return _bigram_values(model, rare, rare, *counts)
+        case 4:
+            return model.log_unigram(*counts) - model.unknown
+        case _:
+            return model.log_back_off(*counts)
 
 
 @dataclass
 class Trained:
-    """A model, and its entries ``(shard, keys, counts)``, staged; counts are the values."""
+    """A model, and its entries ``(shard, form, keys, counts)``, staged.
+
+    A value takes eight bytes that nothing shrinks; what it is computed from are small numbers.
+    """
 
     model: Model
     entries: DataFrame
@@ -382,7 +419,6 @@ def train(roles: DataFrame, cached: int = CACHED, shards: int | None = None) ->
     model.back_off, model.unigram = model.log_back_off(*table), model.log_unigram(before)
 
     shards = shards or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-seen // SHARD_ENTRIES), 1)
-    model_sent = spark.sparkContext.broadcast(model)
     rare_v, rare_w = histories.where("v < 0"), befores.where("w < 0")
     names = ["total", "once", "twice", "more", "histories"]
 
@@ -393,22 +429,23 @@ def train(roles: DataFrame, cached: int = CACHED, shards: int | None = None) ->
         none = {c: F.lit(None).cast("long") for c in names if c not in pairs.columns}
         return pairs.withColumns(none).select("v", "w", "n", *names)
 
-    makers = [
-        (lambda: joined(pairs.where("v >= 0 and w >= 0")), _bigram_values),
-        (lambda: joined(pairs.where("v < 0 and w >= 0"), (rare_v, "v")), _bigram_values),
-        (lambda: joined(pairs.where("v >= 0 and w < 0"), (rare_w, "w")), _bigram_values),
-        (lambda: joined(pairs.where("v < 0 and w < 0"), (rare_v, "v"), (rare_w, "w")), _bigram_values),
-        (lambda: rare_w.select("w", "histories"), _word_values),
-        (lambda: rare_v.select("v", *names[:4]), _history_values),
+    makers = [  # by form: rows, their keys and the columns that make their values
+        (lambda: joined(pairs.where("v >= 0 and w >= 0")), _pair_of, [2]),
+        (lambda: joined(pairs.where("v < 0 and w >= 0"), (rare_v, "v")), _pair_of, [1, 2, 3, 4, 5, 6]),
+        (lambda: joined(pairs.where("v >= 0 and w < 0"), (rare_w, "w")), _pair_of, [0, 2, 7]),
+        (lambda: joined(pairs.where("v < 0 and w < 0"), (rare_v, "v"), (rare_w, "w")), _pair_of, [2, 3, 4, 5, 6, 7]),
+        (lambda: rare_w.select("w", "histories"), lambda w, *_: w.view(np.uint64), [1]),
+        (lambda: rare_v.select("v", *names[:4]), lambda v, *_: history_keys(v.view(np.uint64)), [1, 2, 3, 4]),
     ]
     schema = "shard int, keys binary, counts binary"
 
-    def made(rows: Callable[[], DataFrame], values: Callable) -> DataFrame:
-        return staged(rows().mapInArrow(released(_entries(model_sent, shards, values)), schema), "quality_entries")
+    def made(form: int, rows: Callable[[], DataFrame], keys_of: Callable, kept: list[int]) -> DataFrame:
+        packed = rows().mapInArrow(released(_entries(shards, keys_of, kept)), schema)
+        return staged(packed.withColumn("form", F.lit(form)), "quality_entries")
 
     entries = None
-    for maker in makers:  # one after the other, so that only one join is on disk at a time
-        part = made(*maker)
+    for form, maker in enumerate(makers):  # one after the other, so that only one join is on disk at a time
+        part = made(form, *maker)
         entries = part if entries is None else entries.union(part)
         drop_shuffles(spark)
     for copy in (pairs, histories, befores):
@@ -498,9 +535,8 @@ _ROWS = (
 )
 
 
-def _scattered(model_sent, shards: int, turn: int, key_type: pa.DataType):
-    """Documents to a row of keys for each shard of a round, in the first also to one row with
-    what words alone say."""
+def _scattered(model_sent, shards: int, key_type: pa.DataType):
+    """Documents to a row of keys for each shard, and one row with what words alone say."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = model_sent.value
@@ -519,11 +555,9 @@ def _scattered(model_sent, shards: int, turn: int, key_type: pa.DataType):
                 name.update(text)
                 found = word_keys(text, ids)
                 v, w = found[:-1], found[1:]
-                if turn == 0:
-                    base, worst = model.base(found), worst_stretch(text, model.telling)
-                    docs.append({"key": key, "lang": lang, "role": role, "n": len(w), "base": base, "worst": worst})
+                base, worst = model.base(found), worst_stretch(text, model.telling)
+                docs.append({"key": key, "lang": lang, "role": role, "n": len(w), "base": base, "worst": worst})
                 own = np.concatenate((pair_keys(v, w), w[w >= _HASHED], history_keys(v[v >= _HASHED])))
-                own = own[shard_of(own, shards) % ROUNDS == turn]
                 own, n = np.unique(own, return_counts=True)
                 keys.append(own)
                 times.append(n)
@@ -539,16 +573,15 @@ def _scattered(model_sent, shards: int, turn: int, key_type: pa.DataType):
                 (s, pack(keys[a:b], _SENT), pack(np.stack((owners[a:b], times[a:b])).ravel()))
                 for s, a, b in zip(which.tolist(), limits[:-1], limits[1:], strict=True)
             ]
-            n, last = len(rows), [docs] if turn == 0 else []
-            place = [int.from_bytes(digest[:4], "little") % shards for _ in last]
+            n, place = len(rows), int.from_bytes(digest[:4], "little") % shards
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([s for s, _, _ in rows] + place, pa.int32()),
-                    pa.array([1] * n + [2 for _ in last], pa.int32()),
-                    pa.array([digest] * (n + len(last)), pa.binary()),
-                    pa.array([k for _, k, _ in rows] + [None for _ in last], pa.binary()),
-                    pa.array([c for _, _, c in rows] + [None for _ in last], pa.binary()),
-                    pa.array([None] * n + last, pa.list_(doc)),
+                    pa.array([s for s, _, _ in rows] + [place], pa.int32()),
+                    pa.array([1] * n + [2], pa.int32()),
+                    pa.array([digest] * (n + 1), pa.binary()),
+                    pa.array([k for _, k, _ in rows] + [None], pa.binary()),
+                    pa.array([c for _, _, c in rows] + [None], pa.binary()),
+                    pa.array([None] * n + [docs], pa.list_(doc)),
                 ],
                 names=["shard", "kind", "batch", "keys", "counts", "docs"],
             )
@@ -556,10 +589,12 @@ def _scattered(model_sent, shards: int, turn: int, key_type: pa.DataType):
     return scan
 
 
-def _looked_up(doc_type: pa.DataType):
-    """Rows sorted by shard, the shard's entries first, to sums of values by document."""
+def _looked_up(model_sent, doc_type: pa.DataType):
+    """Rows sorted by shard, the shard's entries first (kind 0 less their form), to sums of values
+    by document."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model: Model = model_sent.value
         here, parts = None, []
         known, value = np.empty(0, np.uint64), np.empty(0)
         for rows in batches:
@@ -573,8 +608,8 @@ def _looked_up(doc_type: pa.DataType):
                     out.append((batch, None, None, rows.column(5).slice(i, 1)))
                     continue
                 keys, counts = unpack(rows.column(3)[i].as_py(), _SENT), rows.column(4)[i].as_py()
-                if kind == 0:
-                    parts.append((keys, np.frombuffer(counts, "<f8")))
+                if kind <= 0:
+                    parts.append((keys, _valued(model, -kind, keys, unpack_columns(counts))))
                     continue
                 if parts:
                     known, value = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -653,11 +688,12 @@ def log_probabilities(roles: DataFrame, trained: Trained) -> DataFrame:
     narrow = roles.select("key", "lang", "role", "text")
     rounds = []
     for turn in range(ROUNDS):
-        rows = narrow.mapInArrow(released(_scattered(model_sent, trained.shards, turn, to_arrow_type(kind))), schema)
+        part = narrow.where(F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(ROUNDS)) == turn)
+        rows = part.mapInArrow(released(_scattered(model_sent, trained.shards, to_arrow_type(kind))), schema)
         docs_type = rows.schema["docs"].dataType
-        model_rows = trained.entries.where(F.col("shard") % ROUNDS == turn).select(
+        model_rows = trained.entries.select(
             "shard",
-            F.lit(0).alias("kind"),
+            (-F.col("form")).alias("kind"),
             F.lit(None).cast("binary").alias("batch"),
             "keys",
             "counts",
@@ -666,11 +702,11 @@ def log_probabilities(roles: DataFrame, trained: Trained) -> DataFrame:
         placed = model_rows.union(rows).repartition(trained.shards, "shard")
         placed = placed.sortWithinPartitions("shard", "kind")
         summed = placed.mapInArrow(
-            released(_looked_up(to_arrow_type(docs_type))),
+            released(_looked_up(model_sent, to_arrow_type(docs_type))),
             f"batch binary, shard int, sums binary, n_sums int, docs {docs_type.simpleString()}",
         )
         rounds.append(staged(summed, "quality_sums"))
-        del rows, model_rows, placed, summed
+        del part, rows, model_rows, placed, summed
         drop_shuffles(spark)
     summed = rounds[0]
     for other in rounds[1:]:
