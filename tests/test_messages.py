@@ -1,6 +1,7 @@
 import gzip
 import json
 import os
+import pathlib
 import random
 from datetime import UTC, datetime, timedelta
 
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from registry import queries
 from tests.rides import PICKUP, RIDE, RIDE_ID, rides, zone_frame
 from tripline.operators.staging import new_folder
 from tripline.operators import rollup
@@ -410,3 +412,31 @@ def test_a_replay_stages_its_letters_once(spark, monkeypatch):
     monkeypatch.setattr(deadletters, "stage", lambda *_: pytest.fail("letters were staged again"))
     generations.replay_pending(spark, generations.ReplayRun(folder, ledger, out, 1), zones, soon)
     assert read_rejects(spark, f"{folder}/writer=replay/generation=1")[0].count() == 1
+
+
+def test_a_broken_file_is_no_smaller_result(spark, tmp_path):
+    """Where letters are taken for all there are, a file cut short fails; a replay then consumes nothing."""
+    folder, ledger, out = (new_folder(spark, n) for n in ("rejected", "ledger", "recovered"))
+    zones, soon = zone_dimension(zone_frame(spark)), F.lit("2024-06-01 00:00:00").cast("timestamp")
+    write_files(dead_letters(done(spark, {"passenger_count": 12.0}).rejected, soon), folder, 1, "load")
+    lines = "".join(json.dumps({"trip_id": str(random.Random(i).random()), "original_record": {}}) + "\n" for i in range(3000))
+    cut = pathlib.Path(folder.removeprefix("file:")) / "writer=load/generation=1/batch_bucket=00"
+    cut.mkdir(exist_ok=True)
+    gz(cut / "part-cut.txt.gz", lines, cut=15_000)
+    assert 1 < read_rejects(spark, folder)[0].count() < 3001
+    with pytest.raises(Exception, match="(?i)eof|unexpected end"):
+        read_rejects(spark, folder, whole=True)[0].count()
+    with pytest.raises(Exception, match="(?i)eof|unexpected end"):
+        generations.replay_pending(spark, generations.ReplayRun(folder, ledger, out, 1), zones, soon)
+    assert generations.consumed(spark, ledger).isEmpty()
+
+
+@pytest.mark.parametrize("lost", ["publish", "write_files"])
+def test_letters_that_are_not_delivered_are_an_error(spark, tmp_path, monkeypatch, lost):
+    def fails(*_args, **_options):
+        raise OSError("no room")
+
+    monkeypatch.setattr("tripline.sinks.deadletters." + lost, fails)
+    letters = dead_letters(done(spark, {"passenger_count": 12.0}).rejected)
+    with pytest.raises(RuntimeError, match="did not reach"):
+        queries.delivered(letters, str(tmp_path / "topic"), str(tmp_path / "files"), 1)
