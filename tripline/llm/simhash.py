@@ -93,19 +93,19 @@ def ball(fp: Column) -> Column:
     return F.array(*variants)
 
 
-def forest(values: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
-    """Edges that connect what links of at most ``radius`` bits connect, one less per tree.
+def trees(values: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
+    """Edges, as places in ``values``, that connect what links of at most ``radius`` bits connect.
 
     Walks breadth first; each step compares a few fingerprints with those not reached yet,
     so a dense group of n costs about n comparisons a step and gives n - 1 edges, not n².
     """
     edges = []
-    rest = values
+    rest = np.arange(len(values))
     while len(rest):
         frontier, rest = rest[:1], rest[1:]
         while len(frontier) and len(rest):
             here, frontier = frontier[:64], frontier[64:]
-            near = popcount(here[:, None] ^ rest[None, :]) <= radius
+            near = popcount(values[here][:, None] ^ values[rest][None, :]) <= radius
             reached = near.any(0)
             if reached.any():
                 parents = here[near[:, reached].argmax(0)]
@@ -115,6 +115,12 @@ def forest(values: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
     return edges
 
 
+def forest(values: np.ndarray, radius: int = RADIUS) -> list[tuple[int, int]]:
+    """Edges between fingerprints that connect what links of at most ``radius`` bits connect."""
+    found = trees(values, radius)
+    return [(int(values[a]), int(values[b])) for a, b in found]
+
+
 def linked_by(radius: int) -> Callable:
     """A scan of rows ``(variant, fp)`` sorted by variant to edges of at most ``radius`` bits."""
 
