@@ -175,3 +175,70 @@ def test_digests_are_moved_as_bytes(spark, tables):
     current = queries.stored_facts(spark, tables).current()
     moved = [line for line in plan_of(current).splitlines() if "Exchange hashpartitioning" in line]
     assert len(moved) == 1 and "_trip_id" in moved[0]
+
+
+def exchanges(plan) -> list[str]:
+    return [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+
+
+def test_letters_are_moved_once_as_lines(spark, tables, monkeypatch):
+    """Dealt by folder, lines give the same letters, and writing these to files moves nothing more."""
+    monkeypatch.setattr(workload, "LINES_PER_TASK", 100)
+    by_folder = queries.fresh_letters(spark, tables, by_folder=True)
+    moved = exchanges(plan_of(by_folder))
+    assert len(moved) == 1 and "rangepartitioning(batch_folder" in moved[0]
+    same = queries.fresh_letters(spark, tables)
+    assert same.count() > 0 and by_folder.exceptAll(same).isEmpty() and same.exceptAll(by_folder).isEmpty()
+    folder = staging.new_folder(spark, "rejected")
+    queries.letter_sink.write_files(by_folder, folder, 1, "load", moved=False)
+    files = spark.read.text(folder).inputFiles()
+    batches = same.select("batch_id").distinct().count()
+    assert len(files) <= batches + 20  # a task's letters belong to few folders
+
+
+@pytest.mark.parametrize("name", ["s8_rejected_scan", "k1_publish_messages"])
+def test_rows_read_once_are_not_staged(spark, tables, monkeypatch, name):
+    for module in (staging, queries.deadletters, queries.ingest):
+        monkeypatch.setattr(module, "stage", lambda *_: pytest.fail("rows were staged"))
+    queries._derived.pop((spark.sparkContext.applicationId, tables, "letters"), None)
+    queries._derived.pop((spark.sparkContext.applicationId, tables, "valid_trips"), None)
+    queries._derived.pop((spark.sparkContext.applicationId, tables, "message_folder"), None)
+    assert queries.QUERIES[name](spark, tables).count() > 0
+
+
+def test_messages_of_all_deliveries_in_one_pass(spark, tables):
+    folder = staging.new_folder(spark, "messages")
+    trips = queries.processed(spark, tables).valid
+    queries.message_sink.publish_all(queries.message_sink.trip_messages(trips, "write_seq"), folder, "load", "write_seq")
+    held = spark.read.parquet(folder)
+    for number in (1, 2):
+        sent = queries.message_sink.trip_messages(trips.filter(F.col("write_seq") == number))
+        stored = held.filter(F.col("delivery") == number).select("key", "value")
+        assert sent.count() > 0 and sent.exceptAll(stored).isEmpty() and stored.exceptAll(sent).isEmpty()
+
+
+def test_sketches_move_trips_of_several_versions_only(spark, tables, monkeypatch):
+    seen = []
+    current = queries.FactTable.staged_current
+
+    def counted(self, columns, *args):
+        seen.append(columns)
+        return current(self, columns, *args)
+
+    monkeypatch.setattr(queries.FactTable, "staged_current", counted)
+    monkeypatch.setattr(queries.FactTable, "current", lambda *_: pytest.fail("all trips were ranked"))
+    held, facts = queries.sketch_table(spark, tables)
+    monkeypatch.undo()
+    assert len(seen) == 2 and held.read().agg(F.sum("trips")).first()[0] == facts.current().count()
+
+
+def test_buckets_hold_their_ids_with_digests_moved_as_bytes(spark, tables):
+    trips = queries.filled_facts(spark, tables).versions()
+    odd = trips.limit(3).withColumn("trip_id", F.lit("no digest"))
+    folder = staging.new_folder(spark, "bucketed")
+    queries.bucketed.write_bucketed(trips.unionByName(odd), "in_buckets", folder, 3)
+    held = spark.table("in_buckets")
+    assert held.filter("trip_id = 'no digest'").count() == 3 and held.count() == trips.count() + 3
+    assert trips.exceptAll(held.select(*trips.columns)).isEmpty()
+    assert len(held.inputFiles()) == 3 and not exchanges(plan_of(held.groupBy("trip_id").count()))
+    assert held.groupBy("trip_id").count().count() == trips.select("trip_id").distinct().count() + 1
