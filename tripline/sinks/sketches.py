@@ -37,6 +37,10 @@ STATES = T.StructType(
 )
 
 
+#: Columns the sketches are built from.
+SKETCH_INPUT = ["pickup_datetime", "total_amount", "trip_id"]
+
+
 def daily_sketches(trips: DataFrame) -> DataFrame:
     """A row per pickup day. Sketches are built per task and merged: a hot day is a row a task."""
     fare = F.col("total_amount").cast("double")
@@ -84,10 +88,11 @@ class SketchTable:
         if not days:
             return
         months = {d.year * 100 + d.month for d in days}
-        states = daily_sketches(facts.current(on_days(days), months))
-        states = states.withColumn("sketch_month", month_of(F.col("day")))
         held = [f for f, m in self.files.folders().items() if m in months]
         with Scratch(self.spark) as scratch:
+            # only trips of several versions are moved to be ranked
+            trips = facts.staged_current(SKETCH_INPUT, on_days(days), months, scratch)
+            states = daily_sketches(trips).withColumn("sketch_month", month_of(F.col("day")))
             if held:
                 other = self.files.read(held).filter(f"day NOT IN ({day_list(days)})")
                 states = stage(states.unionByName(other), "sketches", scratch)
